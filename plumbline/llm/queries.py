@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .line_dedup import line_dedup
+from .mixing import mix
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +20,19 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(documents(spark, sf_dir))
+    return out.select("doc_id", "n_chunks_removed", "n_lines_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_mixing": op4_mixing,
+    "op6_line_dedup": op6_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
