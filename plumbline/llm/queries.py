@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .mixing import mix
+from .simhash import simhash_components
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(documents(spark, sf_dir))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -31,6 +36,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_simhash": op2_simhash,
     "op4_mixing": op4_mixing,
     "op6_line_dedup": op6_line_dedup,
 }
