@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encode
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .mixing import mix
@@ -34,11 +35,23 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chunks_removed", "n_lines_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def tokenizer_path() -> str:
+    """The public byte-level vocabulary that the queries encode with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(documents(spark, sf_dir), tokenizer_path(), with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
     "op4_mixing": op4_mixing,
     "op6_line_dedup": op6_line_dedup,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLES: dict[str, str] = {
