@@ -11,6 +11,7 @@ from .bpe import encode
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .mixing import mix
+from .rules import quality_rules
 from .simhash import simhash_components
 
 
@@ -46,12 +47,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(documents(spark, sf_dir), tokenizer_path(), with_ids=False)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
     "op4_mixing": op4_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op9_bpe": op9_bpe,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
@@ -62,4 +68,28 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM d JOIN g USING (t)
     """,
+    "op10_quality_rules": r"""
+        WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT doc_id, host, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+        e AS (SELECT doc_id, generate_subscripts(ws, 1) AS i, ws FROM w WHERE len(ws) >= 3),
+        g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram FROM e WHERE i + 2 <= len(ws)),
+        twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM g) WHERE c > 1),
+        rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) AS o(k) GROUP BY doc_id),
+        l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+        dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+        c AS (
+          SELECT doc_id, host, len(ws)::BIGINT AS n_words,
+            length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+            (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+            coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+          FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id)
+        ), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
+        h AS (SELECT host, count(*) AS n, sum(base_failed::INT)::DOUBLE AS f FROM b GROUP BY host),
+        p AS (SELECT avg(f / n) AS m, coalesce(var_samp(f / n), 0) AS v, avg(1.0 / n) AS inv FROM h),
+        k AS (SELECT m, greatest(1.0, least(1e6, m * (1 - m) / greatest(v - m * (1 - m) * inv, 1e-9) - 1)) AS k FROM p),
+        r AS (SELECT host, round((f + m * k) / (n + k), 9) AS host_rate FROM h, k)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rate,
+          NOT base_failed AND host_rate <= 0.5 AS kept
+        FROM b JOIN r ON b.host IS NOT DISTINCT FROM r.host
+    """,
 }
