@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode
@@ -13,6 +13,8 @@ from .line_dedup import line_dedup
 from .mixing import mix
 from .rules import quality_rules
 from .simhash import simhash_components
+from .toxicity import score as score_toxicity
+from .toxicity import train as train_toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +38,21 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chunks_removed", "n_lines_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def remainder(n: int) -> Column:
+    """crc32 of the id as text, modulo n: what folds are cut by."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), F.coalesce(remainder(5) == 0, F.lit(False))
+    model = train_toxicity(docs, labels(spark, sf_dir), ~held_out)
+    return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def tokenizer_path() -> str:
     """The public byte-level vocabulary that the queries encode with."""
     import public_tokenizers
@@ -56,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_mixing": op4_mixing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_bpe": op9_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
