@@ -11,6 +11,8 @@ from .bpe import encode
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .mixing import mix
+from .quality import score as score_quality
+from .quality import train as train_quality
 from .rules import quality_rules
 from .simhash import simhash_components
 from .toxicity import score as score_toxicity
@@ -47,6 +49,12 @@ def remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), F.coalesce(remainder(4) == 2, F.lit(False))
+    model = train_quality(docs, labels(spark, sf_dir), ~held_out)
+    return score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = documents(spark, sf_dir), F.coalesce(remainder(5) == 0, F.lit(False))
     model = train_toxicity(docs, labels(spark, sf_dir), ~held_out)
@@ -72,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
     "op4_mixing": op4_mixing,
+    "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op9_bpe": op9_bpe,
