@@ -15,6 +15,8 @@ from .quality import score as score_quality
 from .quality import train as train_quality
 from .rules import quality_rules
 from .simhash import simhash_components
+from .substring_dedup import substring_dedup
+from .suffix_array import suffix_array_dedup
 from .toxicity import score as score_toxicity
 from .toxicity import train as train_toxicity
 
@@ -31,6 +33,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -61,6 +67,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array_dedup(documents(spark, sf_dir))
+
+
 def tokenizer_path() -> str:
     """The public byte-level vocabulary that the queries encode with."""
     import public_tokenizers
@@ -79,10 +89,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_suffix_array": op8_suffix_array,
     "op9_bpe": op9_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
