@@ -12,7 +12,7 @@ their bytes are compared by gathering the distinct contents of a key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import WORD, let, upto
@@ -53,13 +53,16 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = keyed.groupBy("h").agg(F.count("*").alias("n"), first, F.collect_set("body").alias("bodies")).where("n > 1")
     groups = stash(groups, "chunks")
     same = groups.where(F.size("bodies") == 1).select("h", "first")
-    places = keyed.select("id", "row", "at", "h").join(same, "h").where(~F.struct("id", "row", "at").eqNullSafe(F.col("first")))
-    # keys that two different contents share: compare these by their bytes
+    places = keyed.select("id", "row", "at", "h").join(same.hint("merge"), "h").where(~F.struct("id", "row", "at").eqNullSafe(F.col("first")))
+    places = places.select("id", "row", "at")
     mixed = groups.where(F.size("bodies") > 1).select("h")
+    if mixed.isEmpty():
+        return places
+    # keys that two different contents share: compare these by their bytes
     apart = keyed.join(mixed, "h", "left_semi")
     firsts = apart.groupBy("h", "body").agg(F.count("*").alias("n"), first).where("n > 1")
     apart = apart.join(firsts, ["h", "body"]).where(~F.struct("id", "row", "at").eqNullSafe(F.col("first")))
-    return places.select("id", "row", "at").unionByName(apart.select("id", "row", "at"))
+    return places.unionByName(apart.select("id", "row", "at"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spacing: int = SPACING, window: int = WINDOW) -> DataFrame:
@@ -72,7 +75,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     places = repeated_chunks(docs, id_col, text_col, spacing, window)
     drops = stash(places.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(F.collect_set("at").alias("_drop")), "drops")
-    joined = docs.join(drops, docs[id_col].eqNullSafe(drops["_id"]) & (F.xxhash64(docs[text_col]) == drops["_row"]), "left")
+    # by merging at every size: what is dropped grows with the corpus
+    joined = docs.join(drops.hint("merge"), docs[id_col].eqNullSafe(drops["_id"]) & (F.xxhash64(docs[text_col]) == drops["_row"]), "left")
 
     def rebuilt(all_chunks: Column) -> Column:
         flagged = F.transform(all_chunks, lambda c, i: F.struct(c["body"].alias("body"), c["lines"].alias("lines"), F.array_contains(F.col("_drop"), i).alias("out")))
