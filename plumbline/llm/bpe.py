@@ -326,7 +326,7 @@ def _rows(encoder: Encoder, vocabulary: Vocabulary, column: list[str | None], wi
     for row in range(len(column)):
         n, ids_sha, text_sha, decoder, ids = states[row]
         text_sha.update(decoder.feed(np.zeros(0, np.int64), True).encode())
-        yield n, ids_sha.hexdigest(), text_sha.hexdigest(), np.concatenate(ids).tolist() if with_ids and ids else []
+        yield n, ids_sha.hexdigest(), text_sha.hexdigest(), np.concatenate([np.zeros(0, np.int32), *ids])
 
 
 def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
@@ -349,7 +349,8 @@ def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
             columns = [x.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns, names = [*columns, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                columns, names = [*columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -312,4 +312,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` without the rows that are near-duplicates of a row with a smaller id."""
     found = simhash_components(docs, id_col, text_col)
     keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_id"]), "left_semi")
+    # by merging at every size: what stays grows with the corpus
+    return docs.join(stash(keep, "keep").hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
