@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: The 29 code points that count as white space (fixed values).
 SPACE = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -25,7 +26,7 @@ def squeezed(value: Column) -> Column:
     return F.trim(F.regexp_replace(value, SPACE + "+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(values: pd.Series) -> pd.Series:
     """Compatibility composition; the JVM has no SQL function for it."""
     return values.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
