@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from . import words as wt
 from .store import bound_batches, stash
 
@@ -267,28 +268,6 @@ def _chunked(rows: DataFrame, bucket: int) -> DataFrame:
     return pairs.select("fp", F.concat("key", F.encode(F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")), "UTF-8")).alias("key"))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node, root``: the smallest node of each one's component, for nodes with an edge.
-
-    Large-star and small-star steps take turns: nodes hook onto the least neighbour they have, and
-    paths halve. Both sides of a step are grouped by node with ``min`` and joined, so no node's
-    neighbours are gathered in one place.
-    """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stash(both.where("a != b").distinct(), "edges")
-    label = stash(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")), "labels")
-    while True:
-        # the least label among neighbours, then the label of that label
-        near = both.join(label, F.col("b") == F.col("node")).groupBy(F.col("a").alias("n")).agg(F.min("root").alias("near"))
-        hooked = label.join(near, F.col("node") == F.col("n")).select("node", "root", F.least("root", "near").alias("low"))
-        # roots hook too: the least label that any of its nodes saw
-        pulled = hooked.groupBy(F.col("root").alias("r")).agg(F.min("low").alias("pull"))
-        jump = stash(hooked.join(pulled, F.col("low") == F.col("r"), "left").select("node", "root", F.least("low", F.coalesce("pull", "low")).alias("low")), "labels")
-        if jump.where("low != root").isEmpty():
-            return jump.select("node", "root")
-        label = jump.select("node", F.col("low").alias("root"))
-
-
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
     """Near-duplicate components: ``id_col, fingerprint, component_id``, a row for each row.
 

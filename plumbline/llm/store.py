@@ -1,40 +1,12 @@
-"""Tables that cut lineage, kept in the folder that all executors share."""
+"""Tables that cut lineage, and bounds on what goes to Python workers."""
 
 from __future__ import annotations
 
-import atexit
-import uuid
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
+from ..tables import shared_folder, stash
 
-#: Used only where the session names no folder, as in tests.
-LOCAL_FOLDER = "/tmp/checkpoints/plumbline"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FOLDER).rstrip("/")
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # the session has ended already; the folder's owner cleans up
-        pass
-
-
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    Unlike a cached table the files outlive any executor. They go when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["bound_batches", "shared_folder", "stash"]
 
 
 def bound_batches(spark: SparkSession, rows: int = 2000, megabytes: int = 16) -> None:
