@@ -7,7 +7,7 @@ out. The other goes on to meet the next. So each expectation holds exactly and,
 keeps the words of the pair, a source ends within one document of its target.
 
 The meetings form a reduction tree: documents fall into cells of some tens by a hash of their
-id, each cell is folded in one row, and the residuals of the cells are the next level's
+id, each cell is folded in one row from its longest document to its shortest, and the residuals of the cells are the next level's
 documents. A level costs a shuffle of a fortieth of the level before; a source with a third of
 all rows has just more cells. Random draws are hashes of ids, so reruns agree.
 """
@@ -103,7 +103,7 @@ def round_fractions(docs: DataFrame, cell: int = CELL) -> DataFrame:
             break
         # cells by hash: a part's number of cells follows its rows, so no cell grows with the part
         cells = left.join(per_part.select(F.col("part").alias("_part"), F.ceil(F.col("n") / cell).alias("cells")), F.col("part").eqNullSafe(F.col("_part"))).select("part", "id", "f", "size", F.pmod(F.xxhash64(F.lit(level), "id"), F.col("cells")).alias("cell"))
-        folded = cells.groupBy("part", "cell").agg(F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(level), "id").alias("k"), "id", "f", "size"))).alias("all"))
+        folded = cells.groupBy("part", "cell").agg(F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("k"), F.xxhash64(F.lit(level), "id").alias("j"), "id", "f", "size"))).alias("all"))
         plain = F.transform("all", lambda x: F.struct(x["id"].alias("id"), x["f"].alias("f"), x["size"].alias("size")))
         folded = stash(folded.select("part", plain.alias("all")).select("part", _fold(F.col("all"), level).alias("out")), "mix")
         done.append(folded.select("part", F.explode("out.settled").alias("x")).select("part", "x.id", (F.col("x.f") > 0.5).alias("up")))
@@ -111,7 +111,8 @@ def round_fractions(docs: DataFrame, cell: int = CELL) -> DataFrame:
         # a meeting may settle both at once; then the residual is whole already
         done.append(rest.where("f <= 1e-12 or f >= 1 - 1e-12").select("part", "id", (F.col("f") > 0.5).alias("up")))
         left, level = rest.where("f > 1e-12 and f < 1 - 1e-12"), level + 1
-    done.append(left.select("part", "id", (_unit(F.col("id"), F.lit("last")) < F.col("f")).alias("up")))
+    # a part's last document goes where it is nearer: no other is left to take its words
+    done.append(left.select("part", "id", (F.col("f") >= 0.5).alias("up")))
     return reduce(DataFrame.unionByName, done)
 
 
