@@ -98,13 +98,12 @@ def host_rates(judged: DataFrame) -> DataFrame:
     more the rates vary than single documents' chance explains, kept between 1 and 10^6.
     """
     hosts = judged.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
+    hosts = stash(hosts, "hosts")
     rate = F.col("failed") / F.col("n")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.coalesce(F.var_samp(rate), F.lit(0.0)).alias("v"), F.avg(1 / F.col("n")).alias("inv"))
-    chance = F.col("m") * (1 - F.col("m"))
-    between = F.greatest(F.col("v") - chance * F.col("inv"), F.lit(1e-9))
-    prior = prior.select("m", F.greatest(F.lit(1.0), F.least(F.lit(1e6), chance / between - 1)).alias("k"))
-    # one row of sums joins all hosts
-    return hosts.join(F.broadcast(prior), F.lit(True)).select("host", ((F.col("failed") + F.col("m") * F.col("k")) / (F.col("n") + F.col("k"))).alias("rate"))
+    m, v, inv = hosts.agg(F.avg(rate), F.coalesce(F.var_samp(rate), F.lit(0.0)), F.avg(1 / F.col("n"))).first()
+    m, chance = m or 0.0, (m or 0.0) * (1 - (m or 0.0))
+    k = max(1.0, min(1e6, chance / max(v - chance * (inv or 0.0), 1e-9) - 1))
+    return hosts.select("host", ((F.col("failed") + m * k) / (F.col("n") + k)).alias("rate"))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -115,6 +114,6 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     judged = text_counts(docs, id_col, text_col, host_col)
     judged = stash(judged.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))), "rules")
-    rates = stash(host_rates(judged), "hosts").withColumnRenamed("host", "_host")
+    rates = host_rates(judged).withColumnRenamed("host", "_host")
     joined = judged.join(rates, F.col("host").eqNullSafe(F.col("_host")), "left")
     return joined.select(F.col("id").alias(id_col), *COUNTS, "base_failed", F.round("rate", 9).alias("host_rate"), (~F.col("base_failed") & (F.round("rate", 9) <= max_host_rate)).alias("kept"))
