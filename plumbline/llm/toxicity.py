@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as wt
-from .store import bound_batches
+from .store import bound_batches, stash
 
 U = np.uint64
 #: At most about so many labelled rows are learned from, drawn by a hash of their id.
@@ -223,12 +223,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """About ``sample`` labelled rows ``text, y`` that may be learned from, by a hash of their id."""
+    """About ``sample`` labelled rows ``text, y`` that may be learned from, by a hash of their id.
+
+    They are written once, so documents are scanned once however often the rows are read.
+    """
     own = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & learn).select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("y"))
     n = own.count()
     some = own.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample / max(n, 1)) + 1)).limit(2 * sample)
     # at most 2 * sample rows of 12 bytes
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(some), "_id").select("text", "y")
+    return stash(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(some), "_id").select("text", "y"), "sample")
 
 
 def learn_letters(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -290,7 +293,6 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic
                 kind = y[lo:hi][own >> SPACE_BITS]
                 for k in (0, 1):
                     counts[k] += np.bincount(own[kind == k] & ((1 << SPACE_BITS) - 1), minlength=1 << SPACE_BITS).astype(np.int32)
-        # only pieces that a toxic text has can speak for toxicity, and those of clean texts are met again there
         at = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[0][at], n[0]).astype(np.int64)), pa.array(np.append(counts[1][at], n[1]).astype(np.int64))], ["k", "n0", "n1"])
 
