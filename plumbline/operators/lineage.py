@@ -38,7 +38,7 @@ def row_digest(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
 
 
-def content_fingerprint(rows: DataFrame, key: str, columns: list[str], ranges: int = 256) -> DataFrame:
+def content_fingerprint(rows: DataFrame, key: str, columns: list[str], ranges: int = 1 << 16) -> DataFrame:
     """One row ``n_rows, fingerprint`` that depends on all rows and on nothing else.
 
     Rows are digested, sorted digests of each of ``ranges`` key classes are digested together, and
