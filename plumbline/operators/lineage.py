@@ -55,6 +55,15 @@ def file_set_digest(files: DataFrame, path: str = "path", sha: str = "sha256") -
     return files.agg(F.count("*").alias("n_files"), F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list(pair))), 256).alias("revision"))
 
 
+def tensor_digest(name: Column, values: Column) -> Column:
+    """Digest of a named vector in a canonical text: name, type, length, and each value as the double it is.
+
+    Text stands in for raw bytes, so digests agree between our tables, not with files of tensors.
+    """
+    head = F.concat_ws(":", name, F.lit("float"), F.size(values).cast("string"))
+    return F.sha2(F.concat_ws(chr(10), head, F.concat_ws(",", F.transform(values, lambda v: v.cast("double").cast("string")))), 256)
+
+
 def differing_keys(left: Column, right: Column) -> Column:
     """Sorted keys of two maps whose values differ or are in one only."""
     keys = F.array_distinct(F.concat(F.map_keys(left), F.map_keys(right)))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as fa
 from ..functions import text as ft
+from ..functions.identity import identity_keys
 from ..functions.isbn import canonical_isbn, filename_identity
-from ..operators import dedupe, gates, journal, lineage, resolve, schedule, select, split
+from ..operators import dedupe, gallery, gates, journal, lineage, resolve, schedule, select, split
 from ..operators.components import group_ids, link_rows
 from ..tables import stash
 
@@ -647,3 +648,41 @@ def config_difference(spark, sf_dir):
     left = F.create_map(F.lit("segment"), segment, F.lit("nation"), nation)
     right = F.create_map(F.lit("segment"), F.when(i % 5 == 0, "OTHER").otherwise(segment), F.lit("nation"), F.when(i % 3 != 0, nation))
     return table(spark, sf_dir, "customer").select(i.alias("id"), F.concat_ws(",", lineage.differing_keys(left, right)).alias("differing"))
+
+
+@query()
+def row_identities(spark, sf_dir):
+    number = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("ISBN "), F.col("doc_id").cast("string"), F.lit("-x")))
+    keys = identity_keys(number, F.substring("text", 1, 40), F.when(F.col("doc_id") % 2 == 0, F.col("text")), F.col("source"), F.when(F.col("doc_id") % 5 == 0, F.col("lang")), F.col("doc_id") % 2 == 0)
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat_ws(" ", keys).alias("keys"))
+
+
+@query()
+def tensor_digests(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", lineage.tensor_digest(F.col("vec_id").cast("string"), F.col("embedding")).alias("digest"))
+
+
+@query(
+    f"""WITH s AS ({BY_ID_SQL}) SELECT doc_id FROM s WHERE split = 'validation' ORDER BY sha256(doc_id::VARCHAR), doc_id LIMIT 8"""
+)
+def validation_first(spark, sf_dir):
+    held = by_id(spark, sf_dir).where("split = 'validation'").select("doc_id")
+    return held.orderBy(select.hash_order(F.col("doc_id")), "doc_id").limit(8)
+
+
+@query("SELECT coalesce(tag, 'none') AS split, count(*) AS n FROM (" + ANCHORS_SQL + ") GROUP BY 1")
+def prior_counts(spark, sf_dir):
+    tag = F.when(F.col("toxic") == 1, "test").when(F.col("quality") == 0, "validation").otherwise("none")
+    return table(spark, sf_dir, "labels").groupBy(tag.alias("split")).agg(F.count("*").alias("n"))
+
+
+@query(
+    """WITH o AS (SELECT doc_id, seed, condition, condition || '/' || doc_id || '_' || seed || '.png' AS image, source AS caption
+      FROM documents, (VALUES (17::BIGINT), (18)) s(seed), (VALUES ('adapted'), ('base')) c(condition))
+    SELECT doc_id, seed, '<div>' || string_agg('<figure><img src="' || image || '"><figcaption>' || caption || '</figcaption></figure>', '' ORDER BY condition) || '</div>' AS html
+    FROM o GROUP BY doc_id, seed"""
+)
+def gallery_lines(spark, sf_dir):
+    rows = select.conditions(table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("caption")), ["base", "adapted"], [17, 18])
+    image = F.concat("condition", F.lit("/"), F.col("doc_id").cast("string"), F.lit("_"), F.col("seed").cast("string"), F.lit(".png"))
+    return gallery.paired_gallery(rows.withColumn("image", image), "doc_id", "seed", "condition", "image", "caption")
