@@ -11,8 +11,9 @@ under the windows of one anchor are its piece. So whatever repeats meets under i
 4. equal pieces collapse, and only distinct pieces under one hash are compared.
 
 Nothing is sampled: each window has exactly one anchor. Hashes with very many distinct pieces
-(a common phrase in ever other surroundings) are compared window by window instead, so no group
-grows with the corpus.
+(a common phrase in ever other surroundings, a crowd of near copies) are cut into shorter ranges
+of windows that share more than the anchor, in the end into single windows, so no group that is
+compared grows with the corpus.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ U = np.uint64
 #: Windows that are looked at together; their number fits the low bits of a key.
 BLOCK, LOW = 1 << 19, 20
 #: Distinct pieces under one hash up to which they are compared together.
-CROWD = 400
+CROWD = 1000
 
 
 def anchors(names: np.ndarray, first: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,16 +91,19 @@ class Words(Items):
 
 
 class Bytes(Items):
-    def __init__(self, window: int = 400, gram: int = 32):
+    """Grams have a power of two of bytes, eight at least."""
+
+    def __init__(self, window: int = 400, gram: int = 128):
         self.window, self.gram = window, gram
 
     def cut(self, raw, at):
         padded = np.concatenate([raw, np.zeros(8, np.uint8)])
         eight = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(raw) + 1,), (1,))
-        n = max(0, len(raw) - self.gram + 1)
-        h = np.zeros(n, U)
-        for k in range(0, self.gram, 8):
-            h = h * U(wt.BASE) + eight[k : k + n]
+        h, size = eight[: max(0, len(raw) - 7)].astype(U), 8
+        while size < self.gram:
+            h = h[:-size] * U(wt.BASE) + h[size:] if len(h) > size else h[:0]
+            h ^= h >> U(29)
+            size *= 2
         place = np.arange(len(raw) + 1)
         return wt.mix64(h), at, place[:-1], place[1:]
 
@@ -140,7 +144,7 @@ def candidates(docs: DataFrame, items: Items, repeated: Column) -> DataFrame:
 
 
 def pieces(cand: DataFrame, items: Items) -> DataFrame:
-    """``h, body, id, start, n``: each repeated anchor's piece of n windows from item ``start`` on.
+    """``h, body, id, start, a``: each repeated anchor's piece from item ``start`` on, the anchor at its item a.
 
     The items of a piece are joined by spaces if they are words.
     """
@@ -149,14 +153,14 @@ def pieces(cand: DataFrame, items: Items) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             lists = x.column(2)
-            for lo, raw, first, starts, ends, h, text, _, head, tail in _grouped(x.column(1), items):
+            for lo, raw, first, starts, ends, h, text, where, head, tail in _grouped(x.column(1), items):
                 keep = np.zeros(len(h), bool)
                 bounds = np.searchsorted(text, np.arange(len(first)))
                 for i in range(len(first) - 1):
                     a, b = bounds[i], bounds[i + 1]
                     if b > a:
                         keep[a:b] = np.isin(h[a:b], lists[lo + i].values.to_numpy())
-                h, text, head, tail = h[keep], text[keep], head[keep], tail[keep]
+                h, text, where, head, tail = h[keep], text[keep], where[keep], head[keep], tail[keep]
                 whole = raw.tobytes()
                 a, b = starts[head], ends[tail + items.window - 1] if len(head) else head
                 if space:
@@ -166,11 +170,11 @@ def pieces(cand: DataFrame, items: Items) -> DataFrame:
                 for k in range(0, len(h), 4000):
                     s = slice(k, k + 4000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[s]), pa.array(body[s], pa.binary()), x.column(0).take(pa.array(text[s] + lo)), pa.array(head[s] - first[text[s]]), pa.array(tail[s] - head[s] + 1)],
-                        ["h", "body", "id", "start", "n"],
+                        [pa.array(h[s]), pa.array(body[s], pa.binary()), x.column(0).take(pa.array(text[s] + lo)), pa.array(head[s] - first[text[s]]), pa.array(where[s] - head[s])],
+                        ["h", "body", "id", "start", "a"],
                     )
 
-    return cand.mapInArrow(run, f"h bigint, body binary, id {cand.schema['id'].dataType.simpleString()}, start bigint, n bigint")
+    return cand.mapInArrow(run, f"h bigint, body binary, id {cand.schema['id'].dataType.simpleString()}, start bigint, a bigint")
 
 
 Compare = Callable[[list[bytes], list], list[list[tuple]]]
@@ -205,41 +209,67 @@ def compared(distinct: DataFrame, compare: Compare, value: str, block: int = 1 <
     return rows.mapInArrow(run, f"key binary, runs array<struct<a: bigint, b: bigint, v: {value}>>")
 
 
-def windows_of(crowded: DataFrame, items: Items) -> DataFrame:
-    """``key, at, w, v`` of pieces ``body, key, v``: each window's place and the digest of its content."""
-    import hashlib
+def split_pieces(crowded: DataFrame, items: Items, size: int) -> DataFrame:
+    """``parent, off, h, body, a, v``: pieces ``key, body, a, v`` cut into ranges of ``size`` windows.
+
+    Ranges count from the anchor, so equal windows fall into equal ranges; all windows of a range
+    share the items between the last one's start and the first one's end, and ``h`` names these.
+    """
+    import xxhash
 
-    space, size = isinstance(items, Words), items.window
+    space, window = isinstance(items, Words), items.window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            for j in range(x.num_rows):
-                body = x.column(0)[j].as_py()
+            rows = []
+            for key, body, a, v in zip(*(c.to_pylist() for c in x.columns), strict=True):
                 parts = body.split(b" ") if space else body
-                w = [hashlib.blake2b(b" ".join(parts[i : i + size]) if space else parts[i : i + size], digest_size=16).digest() for i in range(len(parts) - size + 1)]
-                yield pa.RecordBatch.from_arrays([pa.array([x.column(1)[j].as_py()] * len(w), pa.binary()), pa.array(range(len(w)), pa.int64()), pa.array(w, pa.binary()), x.column(2).take(pa.array([j] * len(w)))], ["key", "at", "w", "v"])
+                join = b" ".join if space else bytes
+                n = len(parts) - window + 1
+                for r in range((a - n + 1) // size, a // size + 1):
+                    lo, hi = max(0, a - (r + 1) * size + 1), min(n - 1, a - r * size)
+                    core = join(parts[max(0, a - r * size) : a - (r + 1) * size + 1 + window])
+                    rows.append((key, lo, xxhash.xxh64_intdigest(core, r) - 2**63, join(parts[lo : hi + window]), a - lo, v))
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            types = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), x.column(3).type]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["parent", "off", "h", "body", "a", "v"])
 
-    return crowded.select("body", "key", "v").mapInArrow(run, f"key binary, at bigint, w binary, v {crowded.schema['v'].dataType.simpleString()}")
+    kind = crowded.schema["v"].dataType.simpleString()
+    return crowded.select("key", "body", "a", "v").mapInArrow(run, f"parent binary, off bigint, h bigint, body binary, a bigint, v {kind}")
 
 
-def judged(found: DataFrame, items: Items, value: Column, compare: Compare, over_windows: Column, keep_windows: Column, crowd: int = CROWD) -> DataFrame:
-    """Runs of windows of each piece: ``id, start, runs`` for all rows ``h, body, id, start, n``.
+def _key() -> Column:
+    """A piece's name: the digest of its hash and content."""
+    return F.unhex(F.sha2(F.concat(F.encode(F.col("h").cast("string"), "UTF-8"), F.col("body")), 256))
 
-    ``value`` is an aggregate over equal pieces (type bigint); ``over_windows`` the same over
-    windows' values, and ``keep_windows`` says which windows to report.
-    """
-    key = F.unhex(F.sha2("body", 256))
-    found = stash(found.withColumn("key", key), "pieces")
-    distinct = stash(found.groupBy("h", "key").agg(F.min("body").alias("body"), value.alias("v")), "distinct")
-    large = stash(distinct.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > crowd), "crowds")
+
+def _distinct(found: DataFrame, value: Column) -> DataFrame:
+    return stash(found.groupBy("h", "key").agg(F.min("body").alias("body"), F.min("a").alias("a"), value.alias("v")), "distinct")
+
+
+def _runs_of(distinct: DataFrame, items: Items, compare: Compare, over: Column, crowd: int, sizes: tuple[int, ...]) -> DataFrame:
+    """``key, runs`` of distinct pieces. Crowds under one hash are cut into shorter ranges, at last into windows."""
     kind = distinct.schema["v"].dataType.simpleString()
-    if large.isEmpty():
-        runs = compared(distinct, compare, kind)
-    else:
-        runs = compared(distinct.join(large, "h", "left_anti"), compare, kind)
-        each = stash(windows_of(distinct.join(large, "h", "left_semi"), items), "windows")
-        total = each.groupBy("w").agg(over_windows.alias("t")).where(keep_windows)
-        rows = each.join(total, "w").groupBy("key").agg(F.collect_list(F.struct(F.col("at").alias("a"), F.col("at").alias("b"), F.col("t").alias("v"))).alias("runs"))
-        runs = runs.unionByName(rows)
+    large = distinct.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > crowd)
+    large = stash(large.select("h"), "crowds") if sizes else None
+    if large is None or large.isEmpty():
+        return compared(distinct, compare, kind)
+    few = compared(distinct.join(large, "h", "left_anti"), compare, kind)
+    cut = stash(split_pieces(distinct.join(large, "h", "left_semi"), items, sizes[0]).withColumn("key", _key()), "ranges")
+    inner = stash(_runs_of(_distinct(cut, over), items, compare, over, crowd, sizes[1:]).where(F.size("runs") > 0), "inner")
+    moved = F.transform("runs", lambda r: F.struct((r["a"] + F.col("off")).alias("a"), (r["b"] + F.col("off")).alias("b"), r["v"].alias("v")))
+    back = cut.select("parent", "off", "key").join(inner, "key").groupBy(F.col("parent").alias("key")).agg(F.flatten(F.collect_list(moved)).alias("runs"))
+    return few.unionByName(back)
+
+
+def judged(found: DataFrame, items: Items, value: Column, compare: Compare, over: Column, crowd: int = CROWD) -> DataFrame:
+    """Runs of windows of each piece: ``id, start, runs`` for all rows ``h, body, a, id, start``.
+
+    ``value`` is an aggregate over equal pieces, ``over`` the same over values ``v``.
+    """
+    found = stash(found.withColumn("key", _key()), "pieces")
+    width = items.window - items.gram + 1
+    sizes = tuple(x for x in (64, 8, 1) if x < width)
+    runs = _runs_of(_distinct(found, value), items, compare, over, crowd, sizes)
     runs = stash(runs.where(F.size("runs") > 0), "runs")
     return found.select("id", "start", "key").join(runs.hint("merge"), "key").select("id", "start", "runs")

@@ -107,6 +107,33 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM d JOIN g USING (t)
     """,
+    "op3_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        w AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, ws FROM d WHERE len(ws) >= 50),
+        k AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS key FROM w),
+        r AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY key) AS least FROM k) WHERE least < doc_id),
+        gone AS (SELECT DISTINCT doc_id, i + j AS p FROM r, range(0, 50) AS o(j)),
+        p AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM d),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM p ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+        n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+    "op8_suffix_array": r"""
+        WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+        w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS key FROM d, range(0, (SELECT max(len(h)) FROM d) // 2) AS o(i) WHERE i + 400 <= len(h) // 2),
+        r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY key) AS c FROM w) WHERE c > 1),
+        m AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM r),
+        g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM m),
+        s AS (SELECT doc_id, k, min(i) AS a, max(i) + 400 AS b FROM g GROUP BY doc_id, k),
+        t AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+        e AS (
+          SELECT doc_id, h, sum(b - a) AS removed, count(a) AS spans, coalesce(string_agg(substr(h, (2 * before + 1)::BIGINT, (2 * (a - before))::BIGINT), '' ORDER BY a), '')
+            || substr(h, (2 * coalesce(max(b), 0) + 1)::BIGINT) AS rest
+          FROM d LEFT JOIN t USING (doc_id) GROUP BY doc_id, h
+        )
+        SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, spans::BIGINT AS n_spans, sha256(unhex(rest)) AS kept_sha256 FROM e
+    """,
     "op10_quality_rules": r"""
         WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS t FROM documents),
         w AS (SELECT doc_id, host, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),

@@ -26,6 +26,8 @@ from .columns import BLANKS, WORD
 from .store import bound_batches, stash
 
 WINDOW = 50
+#: Stands for a null id.
+LAST = 2**63 - 1
 #: Words of a reference up to which its automaton may be broadcast.
 BROADCAST_WORDS = 500_000
 
@@ -166,24 +168,28 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Texts without words of windows that a smaller id has: ``id_col, n_words, n_removed, kept_sha256``.
 
     Words are compared as they are; all windows are judged on the input. A null text has no words.
-    Ids must be whole numbers, unique and not null. ``kept`` holds the words that stay, joined by
+    Ids are whole numbers; a null id counts as larger than any, rows that repeat an id have none
+    smaller than each other and are cut each for itself. ``kept`` holds the words that stay, joined by
     one space, if asked. Empty table: no rows. Further columns play no part.
     """
     bound_batches(docs.sparkSession, rows=1000, megabytes=8)
     items = Words(window, max(1, window // 6))
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    cand = candidates(source, items, F.min("id") < F.max("id"))
+    # a null id is larger than any; rows that repeat an id but not its text stay apart
+    number = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
+    source = docs.select(F.struct(number.alias("id"), F.xxhash64(text_col).alias("row")).alias("id"), F.col(text_col).alias("text"))
+    cand = candidates(source, items, F.min("id.id") < F.max("id.id"))
     # a window's value is the smallest id that has it
-    runs = judged(pieces(cand, items), items, F.min("id"), _compare(window), F.min("v"), F.lit(True), crowd)
-    each = runs.select("id", "start", F.explode("runs").alias("r")).where(F.col("r.v") < F.col("id"))
+    runs = judged(pieces(cand, items), items, F.min("id.id"), _compare(window), F.min("v"), crowd)
+    each = runs.select("id", "start", F.explode("runs").alias("r")).where(F.col("r.v") < F.col("id.id"))
     spans = each.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct((F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b") + window).alias("b"))).alias("spans"))
     hit = cand.join(spans.hint("merge"), F.col("id") == F.col("_id")).select("id", "text", "spans")
-    cut = stash(_cut_batches(hit, id_col, lambda _, own: [(s["a"], s["b"]) for s in own], with_text), "cut")
+    cut = stash(_cut_batches(hit, "id", lambda _, own: [(s["a"], s["b"]) for s in own], with_text), "cut")
     # other texts stay as they are: their figures need no join of texts
     joined = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), BLANKS, " "))
     n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    whole = source.select(F.col("id").alias(id_col), n.alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.sha2(joined, 256).alias("kept_sha256"), *[joined.alias("kept")] * with_text)
-    return whole.join(cut.select(F.col(id_col).alias("_id")).hint("merge"), F.col(id_col) == F.col("_id"), "left_anti").unionByName(cut)
+    whole = source.select("id", n.alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.sha2(joined, 256).alias("kept_sha256"), *[joined.alias("kept")] * with_text)
+    rest = whole.join(cut.select(F.col("id").alias("_id")).distinct().hint("merge"), F.col("id") == F.col("_id"), "left_anti")
+    return rest.unionByName(cut).withColumn("id", F.nullif(F.col("id.id"), F.lit(LAST))).withColumnRenamed("id", id_col)
 
 
 def remove_reference(docs: DataFrame, reference: DataFrame, id_col: str = "doc_id", text_col: str = "text", reference_text: str = "text", window: int = WINDOW, with_text: bool = True) -> DataFrame:

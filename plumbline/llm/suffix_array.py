@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -163,9 +164,14 @@ def flag_runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def _compare(length: int):
     def compare(hashes: list[int], bodies: list[bytes], values: list[int]) -> list[list[tuple]]:
-        flags = repeated_starts(bodies, length)
-        # equal pieces came as one with their number
-        return [[(0, len(b) - length, 2)] if v > 1 else [(x, y, 2) for x, y in flag_runs(f)] for b, v, f in zip(bodies, values, flags, strict=True)]
+        # equal pieces came as one with their number; what is the same everywhere needs no sorting
+        runs = [[(0, len(b) - length, 2)] if v > 1 else [] for b, v in zip(bodies, values, strict=True)]
+        groups = (list(own) for _, own in groupby(range(len(bodies)), key=hashes.__getitem__))
+        other = [i for own in groups if len(own) > 1 for i in own]
+        for i, flags in zip(other, repeated_starts([bodies[i] for i in other], length) if other else [], strict=True):
+            if values[i] == 1:
+                runs[i] = [(x, y, 2) for x, y in flag_runs(flags)]
+        return runs
 
     return compare
 
@@ -191,14 +197,15 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else in the
     corpus, its own text included; overlaps count, strings never cross texts, and all are judged
-    on the input. A null text is empty. Ids must be unique and not null. What is left comes as
-    ``kept`` (bytes: a cut may split a character) if asked. Empty table: no rows.
+    on the input. A null text is empty; ids, null or repeated, only name rows, and each row counts.
+    What is left comes as ``kept`` (bytes: a cut may split a character) if asked. Empty table: no rows.
     """
     bound_batches(docs.sparkSession, rows=1000, megabytes=8)
-    items = Bytes(length, max(8, min(32, length // 16 * 8)))
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    items = Bytes(length, max(8, 1 << (length // 3).bit_length() - 1))
+    # rows that repeat an id but not its text stay apart
+    source = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row")).alias("id"), F.col(text_col).alias("text"))
     cand = candidates(source, items, F.sum("n") > 1)
-    runs = judged(pieces(cand, items), items, F.count("*"), _compare(length), F.sum("v"), F.col("t") > 1, crowd)
+    runs = judged(pieces(cand, items), items, F.count("*"), _compare(length), F.sum("v"), crowd)
     each = runs.select("id", "start", F.explode("runs").alias("r"))
     spans = each.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct((F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b") + length).alias("b"))).alias("spans"))
 
@@ -207,21 +214,16 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             rows = [(n, m, k, hashlib.sha256(left).hexdigest(), left) for n, m, k, left in cut_texts(x.column(1), x.column(2).to_pylist())]
             columns = list(zip(*rows, strict=True)) or [()] * 5
             arrays = [x.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())] + [pa.array(columns[4], pa.binary())] * with_bytes
-            yield pa.RecordBatch.from_arrays(arrays, [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_bytes)
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_bytes)
 
-    schema = f"`{id_col}` {source.schema['id'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_bytes
-    cut = cand.join(spans.hint("merge"), F.col("id") == F.col("_id")).select("id", "text", "spans").mapInArrow(run, schema)
-    if with_bytes:
-        rest = source.join(cut.select(F.col(id_col).alias("_id")), F.col("id") == F.col("_id"), "left_anti")
-        return cut.unionByName(_whole(rest, id_col, True))
-    # other texts stay as they are: their figures need no join of texts
-    cut = stash(cut, "cut")
-    whole = _whole(source, id_col, False)
-    return whole.join(cut.select(F.col(id_col).alias("_id")).hint("merge"), F.col(id_col) == F.col("_id"), "left_anti").unionByName(cut)
+    schema = f"id {source.schema['id'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_bytes
+    cut = stash(cand.join(spans.hint("merge"), F.col("id") == F.col("_id")).select("id", "text", "spans").mapInArrow(run, schema), "cut")
+    # other texts stay as they are: without their bytes no join of texts is needed
+    rest = _whole(source, with_bytes).join(cut.select(F.col("id").alias("_id")).distinct().hint("merge"), F.col("id") == F.col("_id"), "left_anti")
+    return rest.unionByName(cut).withColumn("id", F.col("id.id")).withColumnRenamed("id", id_col)
 
 
-def _whole(source: DataFrame, id_col: str, with_bytes: bool) -> DataFrame:
+def _whole(source: DataFrame, with_bytes: bool) -> DataFrame:
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     zero = F.lit(0).cast("long")
-    out = source.select(F.col("id").alias(id_col), F.octet_length(text).cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"), *[text.alias("kept")] * with_bytes)
-    return out
+    return source.select("id", F.octet_length(text).cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"), *[text.alias("kept")] * with_bytes)

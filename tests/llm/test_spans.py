@@ -88,6 +88,17 @@ def test_kept_texts_and_empty_tables(spark):
     assert sd.substring_dedup(docs.limit(0)).count() == 0
 
 
+def test_null_and_repeated_ids(spark):
+    long, other = " ".join(f"w{i}" for i in range(40)), "x " * 5
+    rows = [(1, long), (1, long), (1, other), (None, long), (None, None), (2, long + " tail")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(x.doc_id), x.n_words, x.n_removed) for x in sd.substring_dedup(docs, window=12).collect())
+    assert got == [("1", 5, 0), ("1", 40, 0), ("1", 40, 0), ("2", 41, 40), ("None", 0, 0), ("None", 40, 40)]
+    got = sorted((str(x.doc_id), x.n_bytes, x.n_removed) for x in sa.suffix_array_dedup(docs, length=48).collect())
+    n = len(long)
+    assert got == [("1", 10, 0), ("1", n, n), ("1", n, n), ("2", n + 5, n), ("None", 0, 0), ("None", n, n)]
+
+
 def test_reference_of_bounded_size(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "x a b c d y"), (2, "a b c"), (3, None)], "doc_id long, text string")
     reference = spark.createDataFrame([("q a b c d",), (None,)], "text string")
@@ -120,4 +131,4 @@ def test_each_window_has_one_anchor(monkeypatch):
         served = [(w, a) for a, p, q in zip(at, lo, hi, strict=True) for w in range(p, q + 1)]
         want = [(i, i + int(np.argmin(names[i : i + 17]))) for a, b in zip(first, first[1:], strict=False) for i in range(a, b - 19)]
         assert sorted(served) == want
-    assert Words(50).window == 50 and Bytes(400).gram == 32
+    assert Words(50).window == 50 and Bytes(400).gram == 128
