@@ -36,32 +36,41 @@ def _eight(data: np.ndarray, order: str) -> np.ndarray:
 
 
 class _Prefixes:
-    """Common prefixes of places up to a depth, by polynomial hashes and a binary search."""
+    """Common prefixes of places, by polynomial hashes and a binary search."""
 
-    def __init__(self, data: np.ndarray, depth: int):
-        self.n, self.depth = len(data), depth
+    def __init__(self, data: np.ndarray):
         self.power = wt._powers(wt.BASE, len(data) + 1)
         self.sums = np.concatenate([np.zeros(1, U), np.cumsum(wt._NAMES[data] * self.power[:-1], dtype=U)])
 
-    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        lo, hi = np.zeros(len(a), np.int64), np.minimum(self.depth, self.n - np.maximum(a, b))
-        while True:
-            open_ = lo < hi
-            if not open_.any():
-                return lo
+    def _same(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+        x = (self.sums[a + size] - self.sums[a]) * self.power[np.maximum(b - a, 0)]
+        return x == (self.sums[b + size] - self.sums[b]) * self.power[np.maximum(a - b, 0)]
+
+    def common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+        out = most.copy()
+        at = np.flatnonzero(~self._same(a, b, most))  # most places agree all the way
+        a, b, lo, hi = a[at], b[at], np.zeros(len(at), np.int64), most[at] - 1
+        while len(at):
+            done = lo >= hi
+            out[at[done]] = lo[done]
+            keep = ~done
+            at, a, b, lo, hi = at[keep], a[keep], b[keep], lo[keep], hi[keep]
             mid = (lo + hi + 1) // 2
-            x = (self.sums[a + mid] - self.sums[a]) * self.power[np.maximum(b - a, 0)]
-            y = (self.sums[b + mid] - self.sums[b]) * self.power[np.maximum(a - b, 0)]
-            same = x == y
-            lo, hi = np.where(open_ & same, mid, lo), np.where(open_ & ~same, mid - 1, hi)
+            same = self._same(a, b, mid)
+            lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
+        return out
 
 
-def _sort_directly(data: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """The suffixes ``at`` in the order of their first ``depth`` bytes."""
+def _sort_directly(data: np.ndarray, at: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """The suffixes ``at`` in order; each counts with its first ``reach`` bytes, ties in any order.
+
+    Ties on eight bytes form groups. The suffix of a group that reaches furthest is its pivot: the
+    others fall before or behind it by the byte after their common prefix with it, further away
+    the shorter that is, and those alike in both and in the next eight bytes are the next groups.
+    """
     word = _eight(data, ">u8")
-    n = len(data)
-    order = np.argsort(word[at].astype(U), kind="stable")
-    at = at[order]
+    byte = np.append(data, np.uint8(0))
+    at = at[np.lexsort((-reach[at], word[at].astype(U)))]
     first = word[at].astype(U)
     group = np.cumsum(np.concatenate([[False], first[1:] != first[:-1]])) if len(at) else np.zeros(0, np.int64)
     prefixes, todo = None, np.arange(len(at))
@@ -69,42 +78,37 @@ def _sort_directly(data: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
         g = group[todo]
         head = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
         size = np.diff(np.append(head, len(g)))
-        tied = np.repeat(size > 1, size)
-        todo = todo[tied]
-        if not len(todo):
-            return at
-        if prefixes is None:
-            prefixes = _Prefixes(data, depth)
-        head, size = np.cumsum(size[size > 1]) - size[size > 1], size[size > 1]
-        own = at[todo]
-        common = prefixes.common(np.repeat(own[head], size), own)
-        jump = np.minimum.reduceat(common, head)
-        ended = jump >= depth
-        keep = np.repeat(~ended, size)
-        todo, own, size, jump = todo[keep], own[keep], size[~ended], jump[~ended]
+        todo = todo[np.repeat(size > 1, size)]
         if not len(todo):
             return at
-        where = np.minimum(own + np.repeat(jump, size), n)
-        w, g = word[where].astype(U), group[todo]
-        short = (own + np.repeat(jump, size) < n).astype(np.int8)  # a suffix that ends is the smallest
-        order = np.lexsort((w, short, g))
+        prefixes = prefixes or _Prefixes(data)
+        size = size[size > 1]
+        own, g = at[todo], group[todo]
+        pivot = np.repeat(own[np.cumsum(size) - size], size)
+        common = prefixes.common(pivot, own, reach[own])
+        on = common < reach[own]  # the others begin the pivot, so they are smaller, and done
+        side = np.where(on & (byte[own + common] > byte[pivot + common]), 1, -1)
+        near = -side * common
+        w = np.where(on, word[own + common].astype(U), U(0))
+        order = np.lexsort((-reach[own], w, on, near, side, g))
         at[todo] = own[order]
-        w, short, g = w[order], short[order], g[order]
-        new = np.concatenate([[False], (w[1:] != w[:-1]) | (short[1:] != short[:-1]) | (g[1:] != g[:-1])])
+        keys = [k[order] for k in (g, side, near, on, w)]
+        new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
         group[todo] = todo[np.maximum.accumulate(np.where(new, np.arange(len(todo)), 0))]
+        todo = todo[keys[3]]
 
 
-def suffix_array(data: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """The suffixes of ``data`` in order; with ``depth``, of so many bytes (ties in any order)."""
+def suffix_array(data: np.ndarray, reach: np.ndarray | None = None) -> np.ndarray:
+    """The suffixes of ``data`` in order; with ``reach``, each by so many bytes of its own (ties in any order)."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64)
     d = data.astype(np.int16)
     # smaller than the successor: the next byte that differs is larger; the last suffix is not
     change = np.append(np.flatnonzero(d[1:] != d[:-1]), n - 1)
-    nxt = change[np.searchsorted(change, np.arange(n))]
+    nxt = np.repeat(change, np.diff(np.concatenate([[-1], change])))
     small = np.where(nxt < n - 1, d[nxt] < d[np.minimum(nxt + 1, n - 1)], False)
-    direct = _sort_directly(data, np.flatnonzero(small), depth or n)
+    direct = _sort_directly(data, np.flatnonzero(small), n - np.arange(n) if reach is None else reach)
     sa = np.full(n, -1, np.int64)
     count, n_small = np.bincount(data, minlength=256), np.bincount(data[direct], minlength=256)
     start = np.concatenate([[0], np.cumsum(count)[:-1]])
@@ -143,9 +147,10 @@ def repeated_starts(bodies: list[bytes], length: int = LENGTH) -> list[np.ndarra
     sizes = np.array([len(b) for b in bodies], np.int64)
     data = np.frombuffer(b"\0".join(bodies) + b"\0", np.uint8)
     ends = np.cumsum(sizes + 1) - 1
-    sa = suffix_array(data, length)
+    left = np.repeat(ends, sizes + 1) - np.arange(len(data))
+    sa = suffix_array(data, np.clip(left, 1, length))
     # common prefixes of neighbours, among suffixes that have the length within their body
-    sa = sa[ends[np.searchsorted(ends, sa)] - sa >= length]
+    sa = sa[left[sa] >= length]
     a, b, eight = sa[:-1], sa[1:], _eight(data, "<u8")
     live = np.arange(len(a))
     for k in [*range(0, length - 7, 8), length - 8]:
