@@ -1,9 +1,10 @@
 """Line deduplication over content-defined chunks of lines.
 
-Each line gets a 64-bit hash; a rolling hash over the last three line hashes decides where a
-chunk of lines ends. Whether a line ends a chunk depends only on itself and the lines just
-before it, so an inserted line moves no boundary but those next to it, and the chunks of a
-shared passage line up in all documents that hold it.
+Each line gets a 64-bit hash; a line whose hash is smaller than those of the lines before and
+after it ends a chunk. Whether it does depends on these three lines only, so an inserted line
+moves no boundary but those next to it, and the chunks of a shared passage line up in all
+documents that hold it. Two such lines are never neighbours, and neither the first line nor the
+last but one ends a chunk, so only a text of one line is a chunk of one line.
 
 Chunks of two lines or more that occur more than once in the corpus are removed wherever they
 repeat; the first occurrence (smallest id, then place) stays. Candidates share a 64-bit key;
@@ -18,11 +19,8 @@ from pyspark.sql import functions as F
 from .columns import WORD, let, upto
 from .store import stash
 
-#: One line in so many ends a chunk; lines that the rolling hash looks at.
-SPACING, WINDOW = 4, 3
 
-
-def chunks(text: Column, spacing: int = SPACING, window: int = WINDOW) -> Column:
+def chunks(text: Column) -> Column:
     """The chunks of a text, in order: ``array<struct<body, lines>>``; joined by \\n they give the text."""
 
     def cut(lines: Column) -> Column:
@@ -30,8 +28,8 @@ def chunks(text: Column, spacing: int = SPACING, window: int = WINDOW) -> Column
 
     def ends(lines: Column, hashes: Column) -> Column:
         n = F.size(lines)
-        rolled = lambda i: F.xxhash64(*[F.coalesce(F.get(hashes, i - 1 - k), F.lit(0).cast("long")) for k in range(window)])
-        stops = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | (F.pmod(rolled(i), F.lit(spacing)) == 0))
+        least = lambda i: (F.get(hashes, i - 1) < F.get(hashes, i - 2)) & (F.get(hashes, i - 1) < F.get(hashes, i))
+        stops = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | ((i > 1) & (i < n - 1) & least(i)))
         return let(stops, lambda s: F.transform(s, lambda e, k: body(lines, F.coalesce(F.get(s, k - 1), F.lit(0)), e)))
 
     def body(lines: Column, start: Column, end: Column) -> Column:
@@ -40,13 +38,13 @@ def chunks(text: Column, spacing: int = SPACING, window: int = WINDOW) -> Column
     return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), cut)
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spacing: int = SPACING, window: int = WINDOW) -> DataFrame:
+def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Places of multi-line chunks to remove: ``id, row, at``, at counting a text's chunks from 0.
 
     ``row`` is a hash of the text, so rows that repeat an id but not its text stay apart; of
     identical rows the first and the others look alike and all keep their first chunks.
     """
-    placed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row"), F.posexplode(chunks(F.col(text_col), spacing, window)).alias("at", "chunk")).where((F.col("chunk.lines") >= 2) & F.col("chunk.body").rlike(WORD))
+    placed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row"), F.posexplode(chunks(F.col(text_col))).alias("at", "chunk")).where((F.col("chunk.lines") >= 2) & F.col("chunk.body").rlike(WORD))
     keyed = placed.select("id", "row", "at", F.xxhash64("chunk.body").alias("h"), F.col("chunk.body").alias("body"))
     # combined before the shuffle: a chunk that a third of all documents share costs a row a task
     first = F.min(F.struct("id", "row", "at")).alias("first")
@@ -65,7 +63,7 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return places.unionByName(apart.select("id", "row", "at"))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spacing: int = SPACING, window: int = WINDOW) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated multi-line chunks taken out of ``text_col``; other columns as they are.
 
     Two columns are added: ``n_chunks_removed`` and ``n_lines_removed``. Texts without a repeated
@@ -73,7 +71,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and the first occurrence of a chunk stay. Rows that repeat both id and text count as one
     document. A document may end up empty. Extra columns may have any name but those two.
     """
-    places = repeated_chunks(docs, id_col, text_col, spacing, window)
+    places = repeated_chunks(docs, id_col, text_col)
     drops = stash(places.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(F.collect_set("at").alias("_drop")), "drops")
     # by merging at every size: what is dropped grows with the corpus
     joined = docs.join(drops.hint("merge"), docs[id_col].eqNullSafe(drops["_id"]) & (F.xxhash64(docs[text_col]) == drops["_row"]), "left")
@@ -82,7 +80,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         flagged = F.transform(all_chunks, lambda c, i: F.struct(c["body"].alias("body"), c["lines"].alias("lines"), F.array_contains(F.col("_drop"), i).alias("out")))
         return let(flagged, lambda x: F.struct(F.array_join(F.transform(F.filter(x, lambda c: ~c["out"]), lambda c: c["body"]), "\n").alias("text"), F.aggregate(F.filter(x, lambda c: c["out"]), F.lit(0).cast("long"), lambda a, c: a + c["lines"]).alias("lines")))
 
-    new = F.when(F.col("_drop").isNotNull(), let(chunks(F.col(text_col), spacing, window), rebuilt))
+    new = F.when(F.col("_drop").isNotNull(), let(chunks(F.col(text_col)), rebuilt))
     return joined.withColumn("_new", new).select(
         *[(F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.col("_new.text")).alias(c) if c == text_col else docs[c]) for c in docs.columns],
         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_chunks_removed"),

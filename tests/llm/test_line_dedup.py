@@ -52,3 +52,13 @@ def test_long_text_and_empty_table(spark):
     assert got[1].text == text and len(got[2].text) < 0.4 * len(text) and got[3].text.endswith("end")
     assert line_dedup(docs.limit(0)).count() == 0
     assert WORD
+
+
+def test_exact_copies_go_whole(spark):
+    r = random.Random(8)
+    texts = ["\n".join(f"{r.randrange(10**6)} of {r.randrange(10**6)}" for _ in range(n)) for n in range(2, 42)]
+    docs = spark.createDataFrame([(i + 100 * k, t) for k in range(2) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {x.doc_id: x.text for x in line_dedup(docs).collect()}
+    assert all(got[i] == t and got[i + 100] == "" for i, t in enumerate(texts))
+    sizes = [c["lines"] for x in docs.select(chunks(F.col("text")).alias("c")).collect() for c in x.c]
+    assert min(sizes) == 2 and sum(sizes) < 4 * len(sizes)
