@@ -10,7 +10,7 @@ from plumbline.llm.columns import WORD
 from plumbline.llm.line_dedup import line_dedup
 from plumbline.llm.mixing import mix
 from plumbline.llm.queries import documents, labels, remainder, tokenizer_path
-from plumbline.llm.simhash import keep_one
+from plumbline.llm.similar import keep_one_similar
 from plumbline.llm.store import stash
 from plumbline.llm.toxicity import score, train
 
@@ -33,8 +33,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near-duplicates."""
-    return keep_one(docs)
+    """The document with the smallest id of each component of texts that are 0.8 similar in shingles of five words."""
+    return keep_one_similar(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
