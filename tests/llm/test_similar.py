@@ -62,3 +62,9 @@ def test_copy_at_0_97_and_empty_table(spark):
     # 99 of 101, then 75 of 100 shingles
     assert sorted(x.doc_id for x in keep_one_similar(docs).collect()) == [2, 3]
     assert keep_one_similar(docs.limit(0)).count() == 0
+
+
+def test_one_row_of_repeated_and_null_ids(spark):
+    rows = [(7, "x y z"), (7, "x y z"), (None, "x y z"), (None, "u v"), (None, "u v"), (None, "q")]
+    got = keep_one_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id or 0, x.text) for x in got) == [(0, "q"), (0, "u v"), (7, "x y z")]
