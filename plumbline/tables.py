@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Used only where the session names no folder, as in tests.
+#: Used only where the session names no folder and all executors are threads of the driver.
 LOCAL_FOLDER = "/tmp/checkpoints/plumbline"
+#: Shuffle files go when the statement that made them has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_FOLDER).rstrip("/")
+    """The folder named in ``spark.checkpoint.dir``; a cluster without that setting is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (folder or LOCAL_FOLDER).rstrip("/")
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
@@ -30,13 +36,27 @@ def remove_path(spark: SparkSession, path: str) -> None:
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
-    Unlike a cached table the files outlive any executor. They go when the driver ends.
+    Unlike a cached table the files outlive any executor. They go when the driver ends, or with
+    ``unstash``; what was shuffled to make them goes at once, as nothing asks for it again.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     atexit.register(remove_path, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stashed = path
+    return out
+
+
+def unstash(*tables: DataFrame) -> None:
+    """Remove tables that ``stash`` returned and that no later step reads."""
+    for table in tables:
+        remove_path(table.sparkSession, table._stashed)
 
 
 def with_ordinal(df: DataFrame, order: list, name: str = "ordinal") -> DataFrame:
