@@ -20,3 +20,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def upto(n: Column) -> Column:
     """The array 0 .. n-1; empty for n < 1."""
     return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
+def spare(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores behind it as make it none of ``taken``; case is ignored."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name

@@ -4,8 +4,8 @@ Fingerprints: each shingle's XXH64 votes on 64 bits; a bit is 1 if over half of
 
 Links: fingerprints with at most ``radius`` different bits. Cut into radius + 1 bands, two such
 fingerprints agree in a band, so distinct fingerprints meet in buckets by (band, bits). A bucket
-that outgrows ``bucket`` rows is dealt again by the bands of its other bits; one that still does
-is a crowd of near copies and is compared chunk by chunk, in tasks of bounded size. In a bucket 64
+that outgrows ``bucket`` rows is dealt again by the bands of its other bits, until few bits are
+free; what is still larger is compared chunk by chunk, in tasks of bounded size. In a bucket 64
 bit planes hold the fingerprints vertically, one lane each; a query's bits are compared with a
 plane at a time, carry-save counters add up all lanes' distances at once, and a block of lanes is
 left as soon as every distance in it exceeds the radius. A bucket emits a spanning forest of its
@@ -34,12 +34,13 @@ SHINGLE = 3
 RADIUS = 3
 #: Rows of a bucket over which it is dealt again, and lanes of a block.
 BUCKET, LANES = 4096, 512
+#: With four bands, the sixth deal leaves 11 of 64 bits free.
+DEALS = 6
 
 
 def _votes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Fingerprints of the runs ``bounds[i] .. bounds[i+1]`` of hashes; of an empty run 0."""
-    n = len(bounds) - 1
-    ones = np.zeros((n, 64), np.int64)
+    """How many of the runs ``bounds[i] .. bounds[i+1]`` of hashes set each bit (runs, 64)."""
+    ones = np.zeros((len(bounds) - 1, 64), np.int64)
     step = 1 << 16
     for a in range(0, len(hashes), step):
         b = min(a + step, len(hashes))
@@ -47,31 +48,45 @@ def _votes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         lo, hi = int(np.searchsorted(bounds, a, "right")) - 1, int(np.searchsorted(bounds, b, "left"))
         own = np.arange(lo, hi)
         own = own[bounds[own + 1] > bounds[own]]  # runs that have a hash here
-        sums = np.add.reduceat(bits, np.maximum(bounds[own], a) - a, axis=0, dtype=np.int32)
-        ones[own] += sums
-    total = np.diff(bounds)
+        ones[own] += np.add.reduceat(bits, np.maximum(bounds[own], a) - a, axis=0, dtype=np.int32)
+    return ones
+
+
+def _majority(ones: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Fingerprints whose bits are those set by over half of ``total``; 0 for none."""
     set_bits = (2 * ones > total[:, None]).astype(np.uint8)
-    return np.packbits(set_bits, axis=1, bitorder="little").reshape(n, 8).copy().view("<u8").reshape(n).astype(U)
+    return np.packbits(set_bits, axis=1, bitorder="little").reshape(len(total), 8).copy().view("<u8").reshape(len(total)).astype(U)
 
 
-def fingerprint_texts(column: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
-    """The fingerprint of each text; texts without a word, and nulls, have 0."""
-    data, offsets = wt.texts(column)
-    out = np.zeros(len(offsets) - 1, U)
-    for lo, hi in wt.groups(offsets):
-        raw, at = wt.group_bytes(data, offsets, lo, hi)
+def fingerprint_hashes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The fingerprint of each run of hashes."""
+    return _majority(_votes(hashes, bounds), np.diff(bounds))
+
+
+def shingle_hashes(column: pa.Array, shingle: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """XXH64 of the shingles of texts lo .. hi-1, and bounds of each text's; a long text comes in several parts."""
+    for lo, hi, raw, at, base in wt.parts(column, shingle - 1):
         starts, ends, first = wt.word_bounds(raw, at)
         packed, lengths = _spaced(raw, starts, ends), ends - starts
         s = np.cumsum(lengths + 1) - lengths - 1
         e = s + lengths
         count = np.diff(first)
-        runs = np.where(count >= shingle, count - shingle + 1, np.minimum(count, 1))
+        # a text of fewer words is one shingle; what follows an earlier part is not
+        runs = np.where(count >= shingle, count - shingle + 1, 0 if base else np.minimum(count, 1))
         bounds = np.concatenate([[0], np.cumsum(runs)])
         doc = np.repeat(np.arange(len(count)), runs)
         a = first[doc] + np.arange(bounds[-1]) - bounds[doc]
         b = a + np.minimum(count[doc], shingle) - 1
-        out[lo:hi] = _votes(wt.xxh64_slices(packed, s[a], e[b]), bounds)
-    return out
+        yield lo, hi, wt.xxh64_slices(packed, s[a], e[b]), bounds
+
+
+def fingerprint_texts(column: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
+    """The fingerprint of each text; texts without a word, and nulls, have 0."""
+    ones, total = np.zeros((len(column), 64), np.int64), np.zeros(len(column), np.int64)
+    for lo, hi, hashes, bounds in shingle_hashes(column, shingle):
+        ones[lo:hi] += _votes(hashes, bounds)
+        total[lo:hi] += np.diff(bounds)
+    return _majority(ones, total)
 
 
 def _spaced(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -164,12 +179,14 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _linked(fps: np.ndarray, key: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links (fp, smaller fp) of rows sorted by key; only rows of one key need be compared."""
+def near(fps: np.ndarray, key: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows (smaller, larger) within ``radius``, a block at a time; rows are sorted by key.
+
+    Rows of one key are all compared; some of different keys are, too.
+    """
     n = len(fps)
     planes = [planes_of(fps[i : i + LANES]) for i in range(0, n, LANES)]
     last = np.searchsorted(key, key, "right") - 1  # of each row, the last row with its key
-    a, b = [], []
     for i, block in enumerate(planes):
         lo = i * LANES
         # queries from this block and from those before that share a key with it
@@ -180,14 +197,44 @@ def _linked(fps: np.ndarray, key: np.ndarray, radius: int) -> tuple[np.ndarray,
             got, lane = within(fps[own], block, min(LANES, n - lo), radius)
             got, lane = own[got], lane + lo
             keep = got < lane
-            a.append(got[keep])
-            b.append(lane[keep])
-    a, b = np.concatenate(a), np.concatenate(b)
-    root = forest(n, a, b)
-    rows = np.flatnonzero(root != np.arange(n))
+            yield got[keep], lane[keep]
+
+
+def _linked(fps: np.ndarray, key: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links (fp, smaller fp) of rows sorted by key; only rows of one key need be compared."""
+    root = np.arange(len(fps))
+    for a, b in near(fps, key, radius):
+        a, b = root[a], root[b]
+        new = a != b
+        if new.any():
+            a, b = np.unique(np.stack([a[new], b[new]]), axis=1)
+            root = forest(len(fps), a, b)[root]
+    rows = np.flatnonzero(root != np.arange(len(fps)))
     return fps[rows], fps[root[rows]]
 
 
+def whole_buckets(batches: Iterator[pa.RecordBatch], keys: int, least: int = 4 * LANES) -> Iterator[pa.Table]:
+    """Tables of ``least`` rows or more with whole buckets; rows come sorted by their first ``keys`` columns."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for x in batches:
+        held.append(x)
+        size += x.num_rows
+        if size < least:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        same = np.ones(size, bool)
+        for c in range(keys):
+            column = table.column(c)
+            same &= np.array(column.to_pylist(), object) == column[size - 1].as_py() if pa.types.is_binary(column.type) else column.to_numpy() == column[size - 1].as_py()
+        cut = int(np.argmax(same))  # the last bucket goes on
+        if cut:
+            yield table.slice(0, cut)
+        held, size = table.slice(cut).to_batches(), size - cut
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _band_bits(free: list[int], bands: int) -> list[list[int]]:
     return [list(x) for x in np.array_split(np.array(free), bands)]
 
@@ -218,54 +265,40 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     """A forest over the links between distinct fingerprints ``fp``: ``a, b``."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fps, keys = np.zeros(0, U), np.zeros(0, object)
-        for x in batches:
-            fps = np.concatenate([fps, x.column(0).to_numpy().view(U)])
-            keys = np.concatenate([keys, np.array(x.column(1).to_pylist(), object)])
-            if len(fps) < 4 * LANES:
-                continue
-            # the last key goes on, so buckets stay whole
-            cut = int(np.argmax(keys == keys[-1]))
-            if cut:
-                yield packed(fps[:cut], keys[:cut])
-                fps, keys = fps[cut:], keys[cut:]
-        if len(fps):
-            yield packed(fps, keys)
-
-    def packed(fps: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-        new = np.ones(len(keys), bool)
-        new[1:] = keys[1:] != keys[:-1]
-        a, b = _linked(fps, np.cumsum(new), radius)
-        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+        for x in whole_buckets(batches, 1):
+            keys = np.array(x.column(0).to_pylist(), object)
+            new = np.ones(len(keys), bool)
+            new[1:] = keys[1:] != keys[:-1]
+            a, b = _linked(x.column(1).to_numpy().view(U), np.cumsum(new), radius)
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     rows = _deal(distinct.select("fp", F.lit(-1).cast("long").alias("free"), F.lit(None).cast("binary").alias("key")), radius)
-    todo, found = [], []
-    for last in (False, True):
+    todo = []
+    for turn in range(DEALS):
         rows = stash(rows, "bands")
         large = stash(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket), "large")
         if large.isEmpty():
-            todo.append(rows.select("fp", "key"))
+            todo.append(rows.select("key", "fp"))
             break
-        todo.append(rows.join(large, "key", "left_anti").select("fp", "key"))
-        if last:
+        todo.append(rows.join(large, "key", "left_anti").select("key", "fp"))
+        if turn == DEALS - 1:
             todo.append(_chunked(rows.join(large, "key"), bucket))
         else:
             rows = _deal(rows.join(large, "key", "left_semi").select("fp", "free", "key"), radius)
-    for part in todo:
-        found.append(part.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(compare, "a bigint, b bigint"))
+    found = [part.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(compare, "a bigint, b bigint") for part in todo]
     return stash(reduce(DataFrame.unionByName, found).distinct(), "links")
 
 
 def _chunked(rows: DataFrame, bucket: int) -> DataFrame:
     """Rows ``fp, key, n`` of large buckets, once for each pair of chunks that theirs is in.
 
-    Fingerprints that still share the bits of two bands by the thousand are one crowd of near
-    copies; its chunks of half a bucket meet each other in tasks of their own.
+    After so many deals some ten bits are free, so a bucket holds no more distinct fingerprints
+    than they can tell apart; its chunks of half a bucket meet each other in tasks of their own.
     """
     n = F.ceil(2 * F.col("n") / bucket).cast("int")
     own = F.pmod(F.xxhash64("fp"), n).cast("int")
     pairs = rows.select("fp", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
-    return pairs.select("fp", F.concat("key", F.encode(F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")), "UTF-8")).alias("key"))
+    return pairs.select(F.concat("key", F.encode(F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")), "UTF-8")).alias("key"), "fp")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
@@ -285,11 +318,3 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select(F.col("fp").alias("_fp"), "component_id")
     return fps.join(named, F.col("fp") == F.col("_fp")).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that are near-duplicates of a row with a smaller id."""
-    found = simhash_components(docs, id_col, text_col)
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_id")).distinct()
-    # by merging at every size: what stays grows with the corpus
-    return docs.join(stash(keep, "keep").hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")

@@ -1,15 +1,21 @@
-"""Near-duplicates by the exact Jaccard similarity of their word shingles.
-
-Two sets of which one holds ``n`` shingles can be 0.8 similar only if they share at least 0.8 n of
-them. So under any one order of all shingles they share one of the first n - ceil(0.8 n) + 1, the
-prefix; texts meet under the shingles of their prefixes, and no similar pair is missed. Shingles
-that are common in a sample come last in the order, the commonest at the very end, so that
-passages which many texts hold bring few of them together; the sample decides the cost, not the result.
-
-Each text is first held against the smallest row under each of its shingles. What is linked then
-is one component, and of the rest only pairs across components are compared, after two bounds
-that lose nothing: by size, and by the parities of 256 classes of shingles, of which no more can
-differ than shingles do. Texts with the same set count as one from the start.
+"""Near-duplicates by SimHash whose links are held to a Jaccard similarity of word shingles.
+
+Similarity 0.8 of sets of shingles means about 10 different bits of 64, too many for the bands of
+``simhash.links``. So texts meet in buckets of another kind: two sets of which one holds ``n``
+shingles can be 0.8 similar only if they share at least 0.8 n of them, so under any one order of all
+shingles they share one of the first n - ceil(0.8 n) + 1, the prefix. A bucket has the texts with one
+shingle in their prefixes, so no similar pair is missed. Shingles that are common in a sample come
+last in the order, so that passages which many texts hold bring few of them together; the sample
+decides the cost, not the result.
+
+Buckets are compared as in ``simhash``: bit planes of fingerprints, carry-save counters, blocks left
+once all are beyond the radius. Pairs within the radius are confirmed by counting their shingles in
+full. At the radius of 24 bits about one in a million pairs of exactly 0.8 is missed (64 draws at a
+chance of 0.15), fewer the more similar the texts are.
+
+In a first round each text is held against its first partner only; what is linked then is one
+component, and buckets with several components go on: those over ``BUCKET`` rows for more such rounds,
+in chunks that are dealt anew, the others, and at last all of them, with every pair across components.
 """
 
 from __future__ import annotations
@@ -20,31 +26,31 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from . import words as wt
-from .store import bound_batches, stash
+from .columns import spare
+from .simhash import fingerprint_hashes, near, shingle_hashes, whole_buckets
+from .store import bound_batches, stash, unstash
 
 U = np.uint64
-#: Words of a shingle; the similarity that links is 4 of 5.
-SHINGLE, NUMER, DENOM = 5, 4, 5
+#: Words of a shingle; the similarity that links is 4 of 5; different bits that are looked into.
+SHINGLE, NUMER, DENOM, RADIUS = 5, 4, 5, 24
 #: About so many rows say which shingles are common; held by so many of them; at most so many are named.
 SAMPLE, COMMON, NAMED = 5000, 3, 200_000
-PARITY = 256
+#: Rows of a bucket that are compared together; rounds of first partners.
+BUCKET, ROUNDS = 2048, 3
 
 
-def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle names of each text; a shorter text is one shingle, one without a word has none."""
-    data, offsets = wt.texts(column)
-    for lo, hi in wt.groups(offsets):
-        raw, at = wt.group_bytes(data, offsets, lo, hi)
-        starts, ends, first = wt.word_bounds(raw, at)
-        names = wt.slice_names(wt.LOWER[raw], starts, ends)
-        runs = wt.runs_names(names, shingle)
-        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-            yield np.unique(runs[a : b - shingle + 1] if b - a >= shingle else wt.runs_names(names[a:b], b - a) if b > a else names[:0])
+def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text; a shorter text is one shingle, one without a word has none."""
+    out: list[np.ndarray] = [np.zeros(0, U)] * len(column)
+    for lo, hi, hashes, bounds in shingle_hashes(column, shingle):
+        for i in range(lo, hi):
+            own = np.unique(hashes[bounds[i - lo] : bounds[i - lo + 1]])
+            out[i] = np.union1d(out[i], own) if len(out[i]) else own
+    return out
 
 
 def prefix(own: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -62,8 +68,7 @@ def _common(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            sets = list(shingle_sets(x.column(0), shingle))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, U), *sets]).view(np.int64))], ["key"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, U), *shingle_sets(x.column(0), shingle)]).view(np.int64))], ["key"])
 
     rows = docs.sample(min(1.0, SAMPLE / max(docs.count(), 1)), 7).select(text_col).mapInArrow(run, "key bigint")
     found = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).orderBy(F.desc("n"), "key").limit(NAMED).collect()
@@ -72,76 +77,151 @@ def _common(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, n
     return names[order], (len(names) - np.arange(len(names)))[order]
 
 
-def _keyed(rows: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``_row, id, n, digest, parity, prefix`` of each row."""
-    common, rank = _common(rows, text_col, shingle)
+def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """``id, h, n, node, check, fp, prefix`` of each row; node and check are the digest of its set, h that of its text."""
+    common, rank = _common(docs, text_col, shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            sets = list(shingle_sets(x.column(2), shingle))
-            n = pa.array(np.array([len(s) for s in sets], np.int64))
-            digest = pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())
-            odd = [np.packbits((np.bincount((s & U(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1).astype(np.uint8)).view(np.int64) for s in sets]
+            sets = shingle_sets(x.column(2), shingle)
+            n = np.array([len(s) for s in sets], np.int64)
+            digest = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
+            fps = fingerprint_hashes(np.concatenate([np.zeros(0, U), *sets]), np.concatenate([[0], np.cumsum(n)]))
             first = [prefix(s, common, rank).view(np.int64) for s in sets]
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), n, digest, pa.array(odd, pa.list_(pa.int64())), pa.array(first, pa.list_(pa.int64()))], ["_row", "id", "n", "digest", "parity", "prefix"])
+            arrays = [n, digest[:, 0].copy(), digest[:, 1].copy(), fps.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), *map(pa.array, arrays), pa.array(first, pa.list_(pa.int64()))], ["id", "h", "n", "node", "check", "fp", "prefix"])
 
-    source = rows.select("_row", F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, f"_row bigint, id {source.schema['id'].dataType.simpleString()}, n bigint, digest binary, parity array<bigint>, prefix array<bigint>")
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    kind = source.schema["id"].dataType.simpleString()
+    facts = stash(source.mapInArrow(run, f"id {kind}, h bigint, n bigint, node bigint, check bigint, fp bigint, prefix array<bigint>"), "facts")
+    # two sets with one half of their digests the same are named by the other half
+    twice = facts.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo != hi").select("node")
+    clash = [r.node for r in twice.limit(1000).collect()]  # one in 2^64 pairs of sets
+    return facts.withColumn("node", F.when(F.col("node").isin(clash), F.col("check")).otherwise(F.col("node"))) if clash else facts
 
 
-def _may_be(a: str, b: str) -> Column:
-    """What 0.8 similar sets fulfil, by sizes and parities: at most (n + m) / 9 shingles are in one of them only."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{a}.parity")[i].bitwiseXOR(F.col(f"{b}.parity")[i])) for i in range(PARITY // 64)])
-    return (F.least(n, m) * DENOM >= F.greatest(n, m) * NUMER) & (differ * (DENOM + NUMER) <= (n + m) * (DENOM - NUMER))
+def _pairs(rows: DataFrame, all_pairs: bool) -> DataFrame:
+    """``a, b``: nodes of rows ``key, chunk, node, n, fp, root`` in one chunk of a bucket, of different roots and maybe similar.
 
-
-def _confirmed(pairs: DataFrame, rows: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """The pairs ``a, b`` of rows whose shingles are 0.8 similar, counted in full."""
+    With ``all_pairs`` every such pair, else each node with its first partner.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            sets = [s.view(np.int64) for s in shingle_sets(x.column(1), shingle)]
-            yield pa.RecordBatch.from_arrays([x.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "own"])
-
-    pairs = stash(pairs, "pairs")
-    nodes = pairs.select(F.col("a").alias("_row")).unionByName(pairs.select(F.col("b").alias("_row"))).distinct()
-    own = stash(rows.join(nodes.hint("merge"), "_row", "left_semi").select("_row", text_col).mapInArrow(run, "node bigint, own array<bigint>"), "sets")
-    left, right = own.select(F.col("node").alias("a"), F.col("own").alias("x")), own.select(F.col("node").alias("b"), F.col("own").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    held = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-    return stash(held.where(both * (DENOM + NUMER) >= (F.size("x") + F.size("y")) * NUMER).select("a", "b"), "similar")
+        for x in whole_buckets(batches, 2):
+            key, chunk, node, n, fps, root = (x.column(i).to_numpy() for i in range(6))
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
+            bucket, found = np.cumsum(new), []
+            first = np.full(len(key), len(key))
+            for a, b in near(fps.view(U), bucket, RADIUS):
+                keep = (bucket[a] == bucket[b]) & (root[a] != root[b])
+                keep &= np.minimum(n[a], n[b]) * DENOM >= np.maximum(n[a], n[b]) * NUMER
+                a, b = a[keep], b[keep]
+                if all_pairs:
+                    found.append((a, b))
+                else:
+                    np.minimum.at(first, b, a)
+                    np.minimum.at(first, a, b)
+            own = np.flatnonzero(first < len(key))
+            a, b = (np.concatenate(z) for z in zip(*found, strict=True)) if all_pairs else (own, first[own])
+            pair = np.unique(np.sort(np.stack([node[a], node[b]]), axis=0), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
+
+    sorted_ = rows.select("key", "chunk", "node", "n", "fp", "root").repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
+    return stash(sorted_.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs")
+
+
+def _dealt(rows: DataFrame, turn: int, all_pairs: bool) -> DataFrame:
+    """Rows with ``c`` in their bucket in chunks of about ``BUCKET``; to compare all, once for each pair of chunks that theirs is in."""
+    n = F.ceil(F.col("c") / BUCKET * (2 if all_pairs else 1)).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit(turn)), n).cast("int")
+    if not all_pairs:
+        return rows.withColumn("chunk", own.cast("long"))
+    others = F.when(F.col("c") <= BUCKET, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1))
+    own = F.when(F.col("c") <= BUCKET, 0).otherwise(own)
+    return rows.withColumn("own", own).withColumn("other", F.explode(others)).withColumn("chunk", F.least("own", "other").cast("long") * (1 << 31) + F.greatest("own", "other"))
+
+
+class _Sets:
+    """The shingles of nodes, fetched once for each that a pair names."""
+
+    def __init__(self, docs: DataFrame, best: DataFrame, id_col: str, text_col: str, shingle: int):
+        self.docs, self.best, self.id_col, self.text_col, self.shingle = docs, best, id_col, text_col, shingle
+        self.have: DataFrame | None = None
+
+    def _fetch(self, nodes: DataFrame) -> None:
+        shingle = self.shingle
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for x in batches:
+                sets = [s.view(np.int64) for s in shingle_sets(x.column(1), shingle)]
+                yield pa.RecordBatch.from_arrays([x.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "own"])
+
+        if self.have is not None:
+            nodes = nodes.join(self.have.select("node").hint("merge"), "node", "left_anti")
+        wanted = nodes.join(self.best.hint("merge"), "node").select("node", "best.*")
+        texts = self.docs.select(F.col(self.id_col).alias("_id"), F.xxhash64(self.text_col).alias("_h"), F.col(self.text_col).alias("text"))
+        found = texts.join(wanted.hint("merge"), F.col("_id").eqNullSafe(F.col("id")) & (F.col("_h") == F.col("h")))
+        if not self.best.where("best.c > 1").isEmpty():  # rows that repeat id and text
+            found = found.dropDuplicates(["node"])
+        new = stash(found.select("node", "text").mapInArrow(run, "node bigint, own array<bigint>"), "sets")
+        self.have = new if self.have is None else self.have.unionByName(new)
+
+    def similar(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose shingles are 0.8 similar."""
+        self._fetch(stash(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted"))
+        left, right = self.have.select(F.col("node").alias("a"), F.col("own").alias("x")), self.have.select(F.col("node").alias("b"), F.col("own").alias("y"))
+        both = F.size(F.array_intersect("x", "y"))
+        held = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+        return stash(held.where(both * (DENOM + NUMER) >= (F.size("x") + F.size("y")) * NUMER).select("a", "b"), "similar")
+
+
+def _across(buckets: DataFrame, links: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """``node, root`` of linked nodes, and the rows of buckets with several roots, with these and their number ``c``."""
+    tree = components(reduce(DataFrame.unionByName, links))
+    rooted = buckets.drop("c", "root").join(tree.withColumnRenamed("node", "_node").hint("merge"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node")).drop("_node")
+    rooted = stash(rooted, "rooted")
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("c")).where("low != high").select("key", "c")
+    out = stash(rooted.join(mixed.hint("merge"), "key"), "mixed")
+    unstash(rooted)
+    return tree, out
 
 
 def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row of ``docs`` for each component of texts whose shingles are at least 0.8 similar.
 
     Similarity is that of the sets of ``shingle``-word runs, words being runs without white space
-    with A-Z lower-cased, shingles told apart by 64-bit hashes. A text with fewer words is one
-    shingle; texts without a word, and nulls, are alike. The row with the smallest id stays, null
-    ids last, and of rows that repeat this id only one. No column may be named ``_row``.
+    with A-Z lower-cased, shingles told apart by XXH64. A text with fewer words is one shingle;
+    texts without a word, and nulls, are alike. The row with the smallest id stays, null ids last,
+    and of rows that repeat this id only one. Columns may have any names. Empty table: no rows.
     """
     bound_batches(docs.sparkSession)
-    rows = stash(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    keyed = stash(_keyed(rows, id_col, text_col, shingle), "shingles")
-    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row")).alias("best")
-    nodes = stash(keyed.groupBy("digest").agg(best, F.min("_row").alias("node"), *[F.first(c).alias(c) for c in ("n", "parity", "prefix")]), "nodes")
+    facts = _facts(docs, id_col, text_col, shingle)
+    # of texts with one set, the smallest id; of rows that repeat it, the smallest digest; of equal rows, any
+    alike = facts.groupBy("node", "id", "h").agg(F.count("*").alias("c"))
+    best = stash(alike.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "c")).alias("best")), "best")
+    nodes = stash(facts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "fp", "prefix")]), "nodes")
     under = nodes.select("node", F.explode("prefix").alias("key"))
-    shared = under.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("hub")).where("c > 1").select("key", "hub")
+    shared = under.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     held = stash(under.join(shared.hint("merge"), "key"), "held")
-    facts = nodes.select("node", "n", "parity")
-    stars = held.where("node != hub").select("node", "hub").distinct().alias("p")
-    stars = stars.join(facts.alias("x").hint("merge"), F.col("p.node") == F.col("x.node")).join(facts.alias("y").hint("merge"), F.col("p.hub") == F.col("y.node"))
-    found = _confirmed(stars.where(_may_be("x", "y")).select(F.col("p.node").alias("a"), F.col("p.hub").alias("b")), rows, text_col, shingle)
-    # what is one component already need not be compared again
-    part = stash(facts.join(components(found).withColumnRenamed("node", "_node").hint("merge"), F.col("node") == F.col("_node"), "left").select("node", "n", "parity", F.coalesce("root", "node").alias("root")), "parts")
-    named = held.select("key", "node").join(part.hint("merge"), "node")
-    mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    named = stash(named.join(mixed.hint("merge"), "key", "left_semi"), "named")
-    x, y = named.alias("x"), named.alias("y")
-    across = x.join(y.hint("merge"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & _may_be("x", "y"))
-    found = found.unionByName(_confirmed(across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), rows, text_col, shingle))
-    rooted = nodes.select("node", "best").join(components(found).withColumnRenamed("node", "_node").hint("merge"), F.col("node") == F.col("_node"), "left")
-    keep = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best")).select(F.col("best._row").alias("_row"))
+    buckets = stash(held.join(nodes.select("node", "n", "fp").hint("merge"), "node").withColumn("root", F.col("node")), "buckets")
+    unstash(held, nodes)
+    sets = _Sets(docs, best, id_col, text_col, shingle)
+    links = [sets.similar(_pairs(_dealt(buckets, 0, False), False))]
+    for turn in range(1, ROUNDS + 1):
+        tree, mixed = _across(buckets, links)
+        large = turn < ROUNDS and not mixed.where(F.col("c") > BUCKET).isEmpty()
+        links.append(sets.similar(_pairs(_dealt(mixed, turn, not large), not large)))
+        if not large:
+            break
+    tree = components(reduce(DataFrame.unionByName, links))
+    rooted = best.join(tree.withColumnRenamed("node", "_node").hint("merge"), F.col("node") == F.col("_node"), "left")
+    keep = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
+    i, h, c = (spare(x, docs.columns) for x in ("_id", "_h", "_c"))
+    keep = stash(keep.select(F.col("best.id").alias(i), F.col("best.h").alias(h), F.col("best.c").alias(c)), "keep")
     # by merging at every size: what stays grows with the corpus
-    return rows.join(stash(keep, "keep").hint("merge"), "_row", "left_semi").select(*docs.columns)
+    on = F.col(id_col).eqNullSafe(F.col(i)) & (F.xxhash64(text_col) == F.col(h))
+    if keep.where(F.col(c) > 1).isEmpty():
+        return docs.join(keep.hint("merge"), on, "left_semi")
+    kept = docs.join(keep.hint("merge"), on)
+    return kept.where(F.col(c) == 1).unionByName(kept.where(F.col(c) > 1).dropDuplicates([i, h])).select(*docs.columns)

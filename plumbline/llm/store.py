@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..tables import shared_folder, stash
+from ..tables import shared_folder, stash, unstash
 
-__all__ = ["bound_batches", "shared_folder", "stash"]
+__all__ = ["bound_batches", "shared_folder", "stash", "unstash"]
 
 
 def bound_batches(spark: SparkSession, rows: int = 2000, megabytes: int = 16) -> None:

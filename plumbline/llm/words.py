@@ -15,7 +15,7 @@ import xxhash
 U = np.uint64
 #: Bytes of text that are worked on at once, but for a longer single text.
 GROUP = 2 << 20
-#: Bytes for which powers are kept; words are cut from segments of at most this many bytes, but for a longer word.
+#: Bytes for which powers are kept; slices are hashed in segments of at most this many bytes.
 SEGMENT = 1 << 20
 
 IS_WORD = np.ones(256, bool)
@@ -38,11 +38,9 @@ _POW: np.ndarray | None = None
 _INV: np.ndarray | None = None
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse, kept up to SEGMENT."""
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse, up to SEGMENT."""
     global _POW, _INV
-    if n > SEGMENT:
-        return _powers(BASE, n + 1), _powers(pow(BASE, -1, 2**64), n + 1)
     if _POW is None:
         _POW, _INV = _powers(BASE, SEGMENT + 1), _powers(pow(BASE, -1, 2**64), SEGMENT + 1)
     return _POW, _INV
@@ -77,6 +75,41 @@ def groups(offsets: np.ndarray, limit: int = GROUP) -> Iterator[tuple[int, int]]
         lo = min(hi, n)
 
 
+def word_segments(raw: np.ndarray, overlap: int, limit: int) -> Iterator[tuple[np.ndarray, int]]:
+    """One text in segments of about ``limit`` bytes: their bytes, and the place of their first word.
+
+    They end behind a word, and each begins with the last ``overlap`` words of the one before, so every
+    run of overlap + 1 words lies in exactly one of them.
+    """
+    at, base, size, n = 0, 0, limit, len(raw)
+    while True:
+        end = min(n, at + size)
+        while end < n and IS_WORD[raw[end]]:
+            blank = np.flatnonzero(~IS_WORD[raw[end : end + 65536]])
+            end = end + int(blank[0]) if len(blank) else min(n, end + 65536)
+        starts, _, _ = word_bounds(raw[at:end], np.array([0, end - at]))
+        if end < n and len(starts) <= overlap:  # long words
+            size *= 2
+            continue
+        yield raw[at:end], base
+        if end == n:
+            return
+        new = len(starts) - overlap
+        at, base, size = (at + int(starts[new]) if overlap else end), base + new, limit
+
+
+def parts(column: pa.Array, overlap: int, limit: int = GROUP) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
+    """Texts lo .. hi-1, their bytes and offsets, and 0; a longer text comes in word segments, each with its first word's place."""
+    data, offsets = texts(column)
+    for lo, hi in groups(offsets, limit):
+        raw, at = group_bytes(data, offsets, lo, hi)
+        if hi - lo > 1 or len(raw) <= limit:
+            yield lo, hi, raw, at, 0
+            continue
+        for segment, base in word_segments(raw, overlap, limit):
+            yield lo, hi, segment, np.array([0, len(segment)]), base
+
+
 def group_bytes(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of texts lo .. hi-1 and their offsets from 0."""
     return data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
@@ -97,14 +130,27 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def _long_sum(data: np.ndarray) -> int:
+    """The polynomial hash of one slice, a segment at a time."""
+    total, step = 0, pow(BASE, SEGMENT, 2**64)
+    for k in reversed(range(0, len(data), SEGMENT)):
+        part = data[k : k + SEGMENT]
+        total = (total * step + int(np.sum(_NAMES[part] * _tables()[0][: len(part)], dtype=U))) % 2**64
+    return total
+
+
 def slice_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit names of slices, given in order and disjoint: a polynomial hash, mixed with the length."""
     out, i, n = np.zeros(len(starts), U), 0, len(starts)
     while i < n:
         a = int(starts[i])
-        j = max(i + 1, int(np.searchsorted(ends, a + SEGMENT, "right")))
+        if ends[i] - a > SEGMENT:
+            out[i] = _long_sum(data[a : ends[i]])
+            i += 1
+            continue
+        j = int(np.searchsorted(ends, a + SEGMENT, "right"))
         b = int(ends[j - 1])
-        power, inverse = _tables(b - a)
+        power, inverse = _tables()
         sums = np.zeros(b - a + 1, U)
         np.cumsum(_NAMES[data[a:b]] * power[: b - a], out=sums[1:])
         s, e = starts[i:j] - a, ends[i:j] - a

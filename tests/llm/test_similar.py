@@ -1,7 +1,10 @@
 import random
 
-from plumbline.llm.simhash import keep_one
+import pytest
+
+from plumbline.llm import similar
 from plumbline.llm.similar import keep_one_similar
+from plumbline.llm.simhash import simhash_components
 
 
 def shingles(text):
@@ -46,13 +49,28 @@ def planted():
     return rows
 
 
-def test_planted_copies_like_brute_force(spark):
+@pytest.mark.parametrize("bucket", [2048, 4])
+def test_planted_copies_like_brute_force(spark, monkeypatch, bucket):
+    monkeypatch.setattr(similar, "BUCKET", bucket)  # buckets over it go through rounds and chunks
     rows = planted()
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, node int, _id string")
     want = brute(rows)
     assert sorted(x.doc_id for x in keep_one_similar(docs).collect()) == want
-    # the rule of op2's query leaves most of these copies
-    assert keep_one(docs).count() > 1.5 * len(want)
+    if bucket > 4:  # the rule of op2's query leaves most of these copies
+        assert simhash_components(docs).select("component_id").distinct().count() > 1.5 * len(want)
+
+
+def test_one_crowd_of_near_copies(spark):
+    r = random.Random(5)
+    base = [f"w{r.randrange(500)}" for _ in range(60)]
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for _ in range(r.randrange(3)):
+            w[r.randrange(60)] = f"v{r.randrange(9999)}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(x.doc_id for x in keep_one_similar(docs).collect()) == brute(rows)
 
 
 def test_copy_at_0_97_and_empty_table(spark):
