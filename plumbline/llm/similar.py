@@ -9,13 +9,15 @@ last in the order, so that passages which many texts hold bring few of them toge
 decides the cost, not the result.
 
 Buckets are compared as in ``simhash``: bit planes of fingerprints, carry-save counters, blocks left
-once all are beyond the radius. Pairs within the radius are confirmed by counting their shingles in
-full. At the radius of 24 bits about one in a million pairs of exactly 0.8 is missed (64 draws at a
-chance of 0.15), fewer the more similar the texts are.
-
-In a first round each text is held against its first partner only; what is linked then is one
-component, and buckets with several components go on: those over ``BUCKET`` rows for more such rounds,
-in chunks that are dealt anew, the others, and at last all of them, with every pair across components.
+once all are beyond the radius. At the radius of 24 bits about one in a million pairs of exactly
+0.8 is missed (64 draws at a chance of 0.15), fewer the more similar the texts are. Pairs within it
+go on if two bounds that lose nothing allow: sizes, and the parities of 256 classes of shingles, of
+which no more can differ than shingles do. They are confirmed by counting their shingles in full.
+
+At first each text is held against its closest partner only; what is linked then is one component,
+and only buckets with several components go on. While these have many pairs across components, as
+in a crowd of near copies, each text is held against its closest partner in another component, in
+chunks that are dealt anew; at last every pair across components is.
 """
 
 from __future__ import annotations
@@ -39,8 +41,11 @@ U = np.uint64
 SHINGLE, NUMER, DENOM, RADIUS = 5, 4, 5, 24
 #: About so many rows say which shingles are common; held by so many of them; at most so many are named.
 SAMPLE, COMMON, NAMED = 5000, 3, 200_000
-#: Rows of a bucket that are compared together; rounds of first partners.
-BUCKET, ROUNDS = 2048, 3
+#: Classes whose parities are held, a multiple of 64.
+PARITY = 256
+PARITIES = [f"p{k}" for k in range(PARITY // 64)]
+#: Rows of a bucket that are compared together; rounds of closest partners, while pairs are over so many times the rows.
+BUCKET, ROUNDS, MANY = 2048, 6, 8
 
 
 def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -78,7 +83,7 @@ def _common(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, n
 
 
 def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``id, h, n, node, check, fp, prefix`` of each row; node and check are the digest of its set, h that of its text."""
+    """``id, h, n, node, check, fp``, PARITIES and ``prefix`` of each row; node and check are the digest of its set, h that of its text."""
     common, rank = _common(docs, text_col, shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,12 +93,16 @@ def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
             digest = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
             fps = fingerprint_hashes(np.concatenate([np.zeros(0, U), *sets]), np.concatenate([[0], np.cumsum(n)]))
             first = [prefix(s, common, rank).view(np.int64) for s in sets]
-            arrays = [n, digest[:, 0].copy(), digest[:, 1].copy(), fps.view(np.int64)]
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), *map(pa.array, arrays), pa.array(first, pa.list_(pa.int64()))], ["id", "h", "n", "node", "check", "fp", "prefix"])
+            odd = np.zeros((len(sets), PARITY), np.uint8)
+            for i, own in enumerate(sets):
+                odd[i] = np.bincount((own & U(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+            odd = np.packbits(odd, axis=1).view(np.int64)
+            arrays = [n, digest[:, 0].copy(), digest[:, 1].copy(), fps.view(np.int64), *(c.copy() for c in odd.T)]
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), *map(pa.array, arrays), pa.array(first, pa.list_(pa.int64()))], ["id", "h", "n", "node", "check", "fp", *PARITIES, "prefix"])
 
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    facts = stash(source.mapInArrow(run, f"id {kind}, h bigint, n bigint, node bigint, check bigint, fp bigint, prefix array<bigint>"), "facts")
+    facts = stash(source.mapInArrow(run, f"id {kind}, h bigint, n bigint, node bigint, check bigint, fp bigint, " + "".join(f"{c} bigint, " for c in PARITIES) + "prefix array<bigint>"), "facts")
     # two sets with one half of their digests the same are named by the other half
     twice = facts.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo != hi").select("node")
     clash = [r.node for r in twice.limit(1000).collect()]  # one in 2^64 pairs of sets
@@ -101,33 +110,38 @@ def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
 
 
 def _pairs(rows: DataFrame, all_pairs: bool) -> DataFrame:
-    """``a, b``: nodes of rows ``key, chunk, node, n, fp, root`` in one chunk of a bucket, of different roots and maybe similar.
+    """``a, b``: nodes of rows ``key, chunk, node, root`` and facts, in one chunk of a bucket, of different roots and maybe similar.
 
-    With ``all_pairs`` every such pair, else each node with its first partner.
+    With ``all_pairs`` every such pair, else each node with its closest partner by fingerprint.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in whole_buckets(batches, 2):
-            key, chunk, node, n, fps, root = (x.column(i).to_numpy() for i in range(6))
+            key, chunk, node, root, n, fps, *odd = (x.column(i).to_numpy() for i in range(6 + len(PARITIES)))
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
-            bucket, found = np.cumsum(new), []
-            first = np.full(len(key), len(key))
-            for a, b in near(fps.view(U), bucket, RADIUS):
+            bucket, fps, odd = np.cumsum(new), fps.view(U), np.stack(odd).view(U)
+            closest = np.full(len(key), 65 << 32)
+            found = [(np.zeros(0, np.int64),) * 2]
+            for a, b in near(fps, bucket, RADIUS):
                 keep = (bucket[a] == bucket[b]) & (root[a] != root[b])
                 keep &= np.minimum(n[a], n[b]) * DENOM >= np.maximum(n[a], n[b]) * NUMER
                 a, b = a[keep], b[keep]
+                # of sets that are 0.8 similar at most a ninth of their sizes is in one of them only
+                keep = np.bitwise_count(odd[:, a] ^ odd[:, b]).sum(axis=0, dtype=np.int64) * (DENOM + NUMER) <= (n[a] + n[b]) * (DENOM - NUMER)
+                a, b = a[keep], b[keep]
                 if all_pairs:
                     found.append((a, b))
                 else:
-                    np.minimum.at(first, b, a)
-                    np.minimum.at(first, a, b)
-            own = np.flatnonzero(first < len(key))
-            a, b = (np.concatenate(z) for z in zip(*found, strict=True)) if all_pairs else (own, first[own])
+                    far = np.bitwise_count(fps[a] ^ fps[b]).astype(np.int64) << 32
+                    np.minimum.at(closest, b, far | a)
+                    np.minimum.at(closest, a, far | b)
+            own = np.flatnonzero(closest < 65 << 32)
+            a, b = (np.concatenate(z) for z in zip(*found, strict=True)) if all_pairs else (own, closest[own] & 0xFFFFFFFF)
             pair = np.unique(np.sort(np.stack([node[a], node[b]]), axis=0), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
 
-    sorted_ = rows.select("key", "chunk", "node", "n", "fp", "root").repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
+    sorted_ = rows.select("key", "chunk", "node", "root", "n", "fp", *PARITIES).repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
     return stash(sorted_.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs")
 
 
@@ -176,15 +190,17 @@ class _Sets:
         return stash(held.where(both * (DENOM + NUMER) >= (F.size("x") + F.size("y")) * NUMER).select("a", "b"), "similar")
 
 
-def _across(buckets: DataFrame, links: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """``node, root`` of linked nodes, and the rows of buckets with several roots, with these and their number ``c``."""
+def _across(buckets: DataFrame, links: list[DataFrame]) -> tuple[DataFrame, bool]:
+    """The rows of buckets with several roots, with these and their number ``c``, and whether pairs across roots are many."""
     tree = components(reduce(DataFrame.unionByName, links))
     rooted = buckets.drop("c", "root").join(tree.withColumnRenamed("node", "_node").hint("merge"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node")).drop("_node")
     rooted = stash(rooted, "rooted")
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("c")).where("low != high").select("key", "c")
-    out = stash(rooted.join(mixed.hint("merge"), "key"), "mixed")
+    sizes = rooted.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key").agg(F.sum("m").alias("c"), F.sum(F.col("m") * F.col("m")).alias("same"), F.count("*").alias("roots"))
+    mixed = stash(sizes.where("roots > 1").select("key", "c", "same"), "mixed-keys")
+    pairs, rows = mixed.agg(F.sum((F.col("c") * F.col("c") - F.col("same")) / 2), F.sum("c")).first()
+    out = stash(rooted.join(mixed.select("key", "c").hint("merge"), "key"), "mixed")
     unstash(rooted)
-    return tree, out
+    return out, (pairs or 0) > MANY * (rows or 0)
 
 
 def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -200,19 +216,20 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # of texts with one set, the smallest id; of rows that repeat it, the smallest digest; of equal rows, any
     alike = facts.groupBy("node", "id", "h").agg(F.count("*").alias("c"))
     best = stash(alike.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "c")).alias("best")), "best")
-    nodes = stash(facts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "fp", "prefix")]), "nodes")
+    nodes = stash(facts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "fp", *PARITIES, "prefix")]), "nodes")
     under = nodes.select("node", F.explode("prefix").alias("key"))
     shared = under.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     held = stash(under.join(shared.hint("merge"), "key"), "held")
-    buckets = stash(held.join(nodes.select("node", "n", "fp").hint("merge"), "node").withColumn("root", F.col("node")), "buckets")
+    buckets = stash(held.join(nodes.drop("prefix").hint("merge"), "node").withColumn("root", F.col("node")), "buckets")
     unstash(held, nodes)
     sets = _Sets(docs, best, id_col, text_col, shingle)
     links = [sets.similar(_pairs(_dealt(buckets, 0, False), False))]
     for turn in range(1, ROUNDS + 1):
-        tree, mixed = _across(buckets, links)
-        large = turn < ROUNDS and not mixed.where(F.col("c") > BUCKET).isEmpty()
-        links.append(sets.similar(_pairs(_dealt(mixed, turn, not large), not large)))
-        if not large:
+        mixed, many = _across(buckets, links)
+        few = not many or turn == ROUNDS
+        links.append(sets.similar(_pairs(_dealt(mixed, turn, few), few)))
+        unstash(mixed)
+        if few:
             break
     tree = components(reduce(DataFrame.unionByName, links))
     rooted = best.join(tree.withColumnRenamed("node", "_node").hint("merge"), F.col("node") == F.col("_node"), "left")
