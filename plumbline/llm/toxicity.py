@@ -38,7 +38,7 @@ SIGN[[ord(c) for c in LOOKS]] = True
 #: Signs that are suspicious at a word's end too; others are punctuation there.
 END_SIGN = np.zeros(256, bool)
 END_SIGN[[ord(c) for c in "0134578"]] = True
-SYMBOL = np.zeros(256, np.int64)  # 0 a boundary, 1 to 26 letters, 27 other bytes of letters
+SYMBOL = np.zeros(256, np.int32)  # 0 a boundary, 1 to 26 letters, 27 other bytes of letters
 SYMBOL[97:123] = SYMBOL[65:91] = np.arange(1, 27)
 SYMBOL[128:] = 27
 K = 28
@@ -53,12 +53,11 @@ def lowered(raw: np.ndarray) -> np.ndarray:
 
 
 def letter_counts(column: pa.Array) -> np.ndarray:
-    """Trigrams of letter symbols of all texts (K^3)."""
-    data, offsets = wt.texts(column)
+    """Trigrams of letter symbols of all texts (K^3), each text between boundaries of its own."""
     total = np.zeros(K**3, np.int64)
-    for lo, hi in wt.groups(offsets):
-        s = SYMBOL[wt.group_bytes(data, offsets, lo, hi)[0]]
-        s = np.concatenate([[0, 0], s, [0, 0]])
+    for lo, hi, raw, at, _ in wt.parts(column, 0):
+        s = np.zeros(len(raw) + 2 * (hi - lo + 1), np.int32)
+        s[np.arange(len(raw)) + np.repeat(2 * np.arange(1, hi - lo + 1), np.diff(at))] = SYMBOL[raw]
         total += np.bincount((s[:-2] * K + s[1:-1]) * K + s[2:], minlength=K**3)
     return total
 
@@ -193,19 +192,44 @@ def pieces(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (wt.mix64(gram) >> U(64 - SPACE_BITS)).astype(np.int64), text
 
 
-def _grouped(column: pa.Array, restorer: Restorer) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    data, offsets = wt.texts(column)
-    for lo, hi in wt.groups(offsets, 1 << 20):
-        raw, at = wt.group_bytes(data, offsets, lo, hi)
-        text, new_at, n_words = restored(raw, at, restorer)
-        yield lo, hi, *pieces(text, new_at), n_words
-
+def _counted(column: pa.Array, restorer: Restorer, place: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts lo .. hi-1: text, piece and number of each piece that a text has, and words of each text.
 
-def _values(hit: np.ndarray, text: np.ndarray, n_words: np.ndarray, n: int) -> np.ndarray:
+    With ``place`` pieces come as their places in it, those without one not at all. A text of over a
+    megabyte is read in segments that end behind a word.
+    """
+    held, words, done = [], np.zeros(1, np.int64), None
+    for lo, hi, raw, at, _ in wt.parts(column, 0, 1 << 20):
+        if held and lo != done:  # the long text before is complete
+            yield done, done + 1, *_summed(held), words
+            held, words, done = [], np.zeros(1, np.int64), None
+        text, new_at, n_words = restored(raw, at, restorer)
+        piece, doc = pieces(text, new_at)
+        if place is not None:
+            piece = place[piece]
+            doc, piece = doc[piece >= 0], piece[piece >= 0]
+        cell, count = np.unique(doc << SPACE_BITS | piece, return_counts=True)
+        if lo == done or hi - lo == 1 and len(raw) > 1 << 19:
+            held, words, done = [*held, (cell, count)], words + n_words, lo
+        else:
+            yield lo, hi, cell >> SPACE_BITS, cell & ((1 << SPACE_BITS) - 1), count, n_words
+    if held:
+        yield done, done + 1, *_summed(held), words
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text 0, pieces and their numbers over all segments of a text."""
+    cell, where = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    count = np.bincount(where, np.concatenate([n for _, n in parts]), minlength=len(cell)).astype(np.int64)
+    return np.zeros(len(cell), np.int64), cell, count
+
+
+def _values(hit: np.ndarray, text: np.ndarray, count: np.ndarray, n_words: np.ndarray, n: int) -> np.ndarray:
     """Model inputs: whether a piece occurs, and its density; (texts, 2 x pieces)."""
-    count = np.bincount(text * n + hit, minlength=len(n_words) * n).reshape(len(n_words), n)
-    density = np.log1p(200 * count / np.maximum(n_words, 20)[:, None])
-    return np.concatenate([np.minimum(count, 1), density], axis=1).astype(np.float32)
+    table = np.zeros((len(n_words), n))
+    table[text, hit] = count
+    density = np.log1p(200 * table / np.maximum(n_words, 20)[:, None])
+    return np.concatenate([np.minimum(table, 1), density], axis=1).astype(np.float32)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -225,13 +249,18 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """About ``sample`` labelled rows ``text, y`` that may be learned from, by a hash of their id.
 
-    They are written once, so documents are scanned once however often the rows are read.
+    They are written once, so documents are scanned once however often the rows are read. Of rows
+    that repeat an id, and of labels that do, one counts.
     """
     own = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & learn).select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("y"))
     n = own.count()
     some = own.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample / max(n, 1)) + 1)).limit(2 * sample)
     # at most 2 * sample rows of 12 bytes
-    return stash(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(some), "_id").select("text", "y"), "sample")
+    found = stash(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(some), "_id"), "sample")
+    # rows that repeat an id are one, so what is learned from is bounded by labels
+    if found.count() > found.select("_id").distinct().count():
+        found = stash(found.groupBy("_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "y")).alias("x")).select("_id", "x.text", "x.y"), "sample")
+    return found.select("text", "y")
 
 
 def learn_letters(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -261,12 +290,7 @@ class Model:
 
     def scores(self, column: pa.Array, restorer: Restorer) -> np.ndarray:
         out = np.zeros(len(column))
-        for lo, hi, piece, text, n_words in _grouped(column, restorer):
-            hit = self.place[piece]
-            some = np.flatnonzero(hit >= 0)
-            cell = text[some] * len(self.chosen) + hit[some]
-            cells, count = np.unique(cell, return_counts=True)
-            doc, k = np.divmod(cells, max(1, len(self.chosen)))
+        for lo, hi, doc, k, count, n_words in _counted(column, restorer, self.place):
             density = np.log1p(200 * count / np.maximum(n_words[doc], 20))
             z = np.bincount(doc, self.weights[k] + density * self.weights[k + len(self.chosen)], minlength=hi - lo) + self.bias
             out[lo:hi] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -288,11 +312,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic
         for x in batches:
             y = x.column(1).to_numpy()
             n += [np.sum(y == 0), np.sum(y == 1)]
-            for lo, hi, piece, text, _ in _grouped(x.column(0), restorer):
-                own = np.unique(text << SPACE_BITS | piece)
-                kind = y[lo:hi][own >> SPACE_BITS]
+            for lo, hi, text, piece, _, _ in _counted(x.column(0), restorer):
+                kind = y[lo:hi][text]
                 for k in (0, 1):
-                    counts[k] += np.bincount(own[kind == k] & ((1 << SPACE_BITS) - 1), minlength=1 << SPACE_BITS).astype(np.int32)
+                    counts[k] += np.bincount(piece[kind == k], minlength=1 << SPACE_BITS).astype(np.int32)
         at = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(counts[0][at], n[0]).astype(np.int64)), pa.array(np.append(counts[1][at], n[1]).astype(np.int64))], ["k", "n0", "n1"])
 
@@ -315,10 +338,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic
     def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(shipped.value)
         for x in batches:
-            for lo, hi, piece, text, n_words in _grouped(x.column(0), restorer):
-                hit = place[piece]
-                some = hit >= 0
-                v = _values(hit[some], text[some], n_words, n)
+            for lo, hi, text, hit, count, n_words in _counted(x.column(0), restorer, place):
+                v = _values(hit, text, count, n_words, n)
                 yield pa.RecordBatch.from_arrays([pa.array([r.astype(np.float16).tobytes() for r in v], pa.binary()), x.column(1).slice(lo, hi - lo)], ["x", "y"])
 
     table = rows.mapInArrow(inputs, "x binary, y int").toPandas()  # at most 2 * sample rows of 2 KB
@@ -338,9 +359,7 @@ def _lexicon(rows: DataFrame, place: np.ndarray, weight: np.ndarray, letters) ->
         restorer = Restorer(letters.value)
         for x in batches:
             out = []
-            data, offsets = wt.texts(x.column(0))
-            for lo, hi in wt.groups(offsets, 1 << 20):
-                raw, at = wt.group_bytes(data, offsets, lo, hi)
+            for lo, hi, raw, at, _ in wt.parts(x.column(0), 0, 1 << 20):
                 text, new_at, _ = restored(raw, at, restorer)
                 for i in range(hi - lo):
                     own = sorted({w for w in text[new_at[i] : new_at[i + 1]].tobytes().split(b" ") if 4 <= len(w) <= 16 and w.isalpha()})
