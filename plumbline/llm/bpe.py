@@ -8,8 +8,9 @@ part of the earlier one, because tokens only grow. The longest such chain of lef
 sufficient lookahead: tokens that end so many bytes before the end of what was read are stable,
 and may be emitted and forgotten. So memory is bounded however long a text or pre-token is.
 
-Pre-tokens of usual length are whole in the window; those not met before are merged together,
-round by round, in vectors. Longer ones run through the transducer.
+Pre-tokens of less than 64 bytes are whole in the window; those not met before are merged together,
+round by round, in vectors. Longer ones run through the transducer, and those longer than a window
+straight from the text, so white space is not needed for memory to stay bounded.
 
 The decoder feeds token bytes through an incremental UTF-8 state machine.
 """
@@ -22,6 +23,8 @@ import heapq
 import json
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,17 @@ from .store import bound_batches
 
 #: The pre-tokenizer's pattern: a fixed value of this kind of vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Places that end a pre-token whatever follows: before white space, and where a run of letters or of numbers ends.
+BOUNDARY = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])")
+#: Settings without which a file is refused: fixed values of this kind of vocabulary.
+SETTINGS = {
+    "normalizer": (None,),
+    "pre_tokenizer": ({"type": "ByteLevel", "add_prefix_space": False, "use_regex": True},),
+    "post_processor": (None,),
+    "decoder": ({"type": "ByteLevel"},),
+    "model": ({"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "byte_fallback": False, "ignore_merges": False},),
+}
+TOKEN_FLAGS = ("single_word", "lstrip", "rstrip", "normalized")
 #: Characters read at a time; bytes from which a pre-token runs through the transducer; pre-tokens remembered.
 WINDOW, LONG, KNOWN = 1 << 18, 64, 200_000
 NONE = np.int32(2**31 - 1)
@@ -45,11 +59,23 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _refuse_others(spec: dict) -> None:
+    """ValueError for a file that asks for what is not done here."""
+    for name, (want,) in SETTINGS.items():
+        own = spec.get(name)
+        if want is None and own is not None or want is not None and (own is None or any(own.get(k, v) != v for k, v in want.items())):
+            raise ValueError(f"{name} of the vocabulary file is not supported: {str(own)[:200]}")
+    for token in spec.get("added_tokens", []):
+        if any(token.get(k) for k in TOKEN_FLAGS):
+            raise ValueError(f"flags of the added token {token.get('content')!r} are not supported")
+
+
 class Vocabulary:
     """Tokens, merges and the lookahead of one vocabulary file."""
 
     def __init__(self, content: str):
         spec = json.loads(content)
+        _refuse_others(spec)
         letters = byte_letters()
         vocab = spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
@@ -216,12 +242,27 @@ def _ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
     return values[np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)]
 
 
+class Run(NamedTuple):
+    """One pre-token, ``text[a:b]``, that is longer than a window."""
+
+    text: str
+    a: int
+    b: int
+
+    def ids(self, vocabulary: Vocabulary) -> Iterator[np.ndarray]:
+        """Its tokens, some thousands at a time."""
+        stream = vocabulary.stream(self.text[k : min(k + 4096, self.b)].encode() for k in range(self.a, self.b, 4096))
+        while len(own := np.fromiter(islice(stream, 1 << 16), np.int32)):
+            yield own
+
+
 class Encoder:
     """Texts to ids, a window at a time."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.find = regex.compile(PATTERN).findall
+        self.pattern = regex.compile(PATTERN)
+        self.find = self.pattern.findall
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
         self._forget()
 
@@ -230,18 +271,39 @@ class Encoder:
         self.known.default_factory = self.known.__len__  # new ones are numbered in turn
         self.ids, self.at, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def windows(self, text: str) -> Iterator[str]:
-        """Parts of a text that can be encoded alone: cut before white space that follows something else."""
+    def windows(self, text: str) -> Iterator[str | Run]:
+        """Parts of a text that can be encoded alone; pre-tokens of over a window come as runs."""
         lo, n = 0, len(text)
         while n - lo > WINDOW:
-            hi = lo + WINDOW
-            # a character that is neither white space nor before it goes on
-            while hi < n and not (text[hi].isspace() and text[hi] not in "\x1c\x1d\x1e\x1f" and not text[hi - 1].isspace()):
-                hi += 1
-            yield text[lo:hi]
+            hi = self._boundary(text, lo + WINDOW)
+            if hi - lo <= 4 * WINDOW:
+                yield text[lo:hi]
+            else:
+                yield from self._runs(text, lo, hi)
             lo = hi
         yield text[lo:]
 
+    def _boundary(self, text: str, at: int) -> int:
+        """The first place from ``at`` on that ends a pre-token and is in no special token."""
+        for m in BOUNDARY.finditer(text, at):
+            hi = m.start()
+            if hi > at and not any(text.find(s, max(0, hi - len(s) + 1), hi + len(s) - 1) >= 0 for s in self.v.special):
+                return hi
+        return len(text)
+
+    def _runs(self, text: str, lo: int, hi: int) -> Iterator[str | Run]:
+        if self.specials and (m := self.specials.search(text, lo, hi)):
+            yield from self._runs(text, lo, m.start())
+            yield m[0]
+            yield from self._runs(text, m.end(), hi)
+            return
+        for m in self.pattern.finditer(text, lo, hi):
+            if m.end() - m.start() > WINDOW:
+                yield text[lo : m.start()]
+                yield Run(text, *m.span())
+                lo = m.end()
+        yield text[lo:hi]
+
     def encode(self, parts: list[str]) -> list[np.ndarray]:
         """The ids of each part."""
         if len(self.known) > KNOWN:
@@ -303,20 +365,28 @@ def _rows(encoder: Encoder, vocabulary: Vocabulary, column: list[str | None], wi
     waiting: list[tuple[int, str]] = []
     states: dict[int, list] = {}
 
+    def put(s: list, ids: np.ndarray) -> None:
+        s[0] += len(ids)
+        s[1].update(ids.astype("<u4").tobytes())
+        s[2].update(s[3].feed(ids).encode())
+        if with_ids:
+            s[4].append(ids)
+
     def flush() -> None:
         for (row, _), ids in zip(waiting, encoder.encode([p for _, p in waiting]), strict=True):
-            s = states[row]
-            s[0] += len(ids)
-            s[1].update(ids.astype("<u4").tobytes())
-            s[2].update(s[3].feed(ids).encode())
-            if with_ids:
-                s[4].append(ids)
+            put(states[row], ids)
         waiting.clear()
 
     held = 0
     for row, text in enumerate(column):
         states[row] = [0, hashlib.sha256(), hashlib.sha256(), Decoder(vocabulary), []]
         for part in encoder.windows(text or ""):
+            if isinstance(part, Run):
+                flush()
+                held = 0
+                for ids in part.ids(vocabulary):
+                    put(states[row], ids)
+                continue
             waiting.append((row, part))
             held += len(part)
             if held >= WINDOW:
@@ -335,12 +405,15 @@ def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_c
     Null and empty texts have no tokens. Special tokens' strings in a text become their ids. Digests
     are of the ids as little-endian 32-bit integers and of the decoded text in UTF-8. Each row is
     encoded on its own, so repeated rows, null ids and further columns play no part. The
-    vocabulary is a file of fixed size on the driver, shipped with the tasks.
+    vocabulary is a file of fixed size on the driver, shipped with the tasks; one with another
+    normaliser, pre-tokenizer, model or kind of added token is a ValueError.
     """
     spark = docs.sparkSession
     bound_batches(spark, rows=1000, megabytes=8)
     with open(vocabulary_path, encoding="utf-8") as f:
-        content = spark.sparkContext.broadcast(f.read())
+        read = f.read()
+    _refuse_others(json.loads(read))
+    content = spark.sparkContext.broadcast(read)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, encoder = loaded(content.value)

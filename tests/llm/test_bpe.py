@@ -66,3 +66,35 @@ def test_decoder_replaces_what_is_no_text(vocabulary, library):
     d = bpe.Decoder(vocabulary)
     text = "".join(d.feed(np.array([i])) for i in ids) + d.feed(np.zeros(0, np.int64), True)
     assert text == library.decode(ids, skip_special_tokens=False)
+
+
+def test_runs_longer_than_windows(vocabulary, library, monkeypatch):
+    r = random.Random(3)
+    run = "".join(r.choice("aeioutrnsl") for _ in range(1000))
+    texts = [run, "x, " + run + "'s 12", " " + run + "9" * 700 + "<|endoftext|>" + "é" * 600 + "  ", "--" * 400 + "<|endoftext|>" + "=" * 900 + "\n\na", run + "<|endoftext|>" * 3 + run]
+    monkeypatch.setattr(bpe, "WINDOW", 50)
+    encoder = bpe.Encoder(vocabulary)
+    assert any(isinstance(p, bpe.Run) for p in encoder.windows(run))
+    got = bpe._rows(encoder, vocabulary, texts, True)
+    assert [g[3].tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_twenty_megabytes_without_white_space(vocabulary):
+    import tracemalloc
+
+    text = "abcde,fghij" * 1_600_000 + "k" * 3_000_000
+    tracemalloc.start()
+    n = sum(len(ids) for p in bpe.Encoder(vocabulary).windows(text) if isinstance(p, bpe.Run) for ids in p.ids(vocabulary))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < n < 3_000_000 and peak < len(text)
+
+
+def test_other_settings_are_refused():
+    import json
+
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]}, {"model": spec["model"] | {"ignore_merges": True}}):
+        with pytest.raises(ValueError):
+            bpe.Vocabulary(json.dumps(spec | change))
