@@ -155,7 +155,7 @@ ORACLES: dict[str, str] = {
         k AS (SELECT m, greatest(1.0, least(1e6, m * (1 - m) / greatest(v - m * (1 - m) * inv, 1e-9) - 1)) AS k FROM p),
         r AS (SELECT host, round((f + m * k) / (n + k), 9) AS host_rate FROM h, k)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rate,
-          NOT base_failed AND host_rate <= 0.5 AS kept
+          NOT base_failed AND host_rate <= (SELECT round(least(greatest(3 * m, 0.25), 0.5), 9) FROM k) AS kept
         FROM b JOIN r ON b.host IS NOT DISTINCT FROM r.host
     """,
 }

@@ -2,8 +2,9 @@
 
 Rules judge each document. Failures are then added up by host, and each host's failure rate is
 shrunk towards the rate of all hosts by a beta prior that is fitted to the hosts' rates (method of
-moments). Documents of a host whose shrunk rate exceeds a limit go, though they pass themselves.
-Small hosts stay near the prior, so a few failures condemn none.
+moments). Documents of a host go, though they pass themselves, if its shrunk rate is over three
+times the mean rate of hosts, where that is between a quarter and a half; below a quarter no host
+is condemned, over a half each is. Small hosts stay near the prior, so a few failures condemn none.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from . import words as wt
 from .store import bound_batches, stash
 
-#: Rules: least words, and the most per cent of words in repeated 3-word windows. Host limit: shrunk rate.
-MIN_WORDS, MAX_REPEAT_PERCENT, MAX_HOST_RATE = 50, 50, 0.5
+#: Rules: least words, and the most per cent of words in repeated 3-word windows.
+MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+#: A host's shrunk rate may be so many times the mean of all hosts, but for what these bounds allow or forbid.
+HOST_RATIO, HOST_LOW, HOST_HIGH = 3.0, 0.25, 0.5
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -27,6 +30,8 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many flags are set in each text."""
+    if len(offsets) == 2:
+        return np.array([np.count_nonzero(flags[offsets[0] : offsets[1]])])
     return np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])[offsets])
 
 
@@ -62,8 +67,7 @@ def counts(column: pa.Array) -> list[np.ndarray]:
         begin = begin[begin < len(raw)]
         stop = np.append(begin[1:], len(raw))
         stop = stop - (raw[stop - 1] == 10)
-        words_before = np.concatenate([[0], np.cumsum(inside, dtype=np.int64)])
-        full = words_before[stop] > words_before[begin]
+        full = np.searchsorted(starts, stop) > np.searchsorted(starts, begin)
         begin, stop = begin[full], stop[full]
         text = np.searchsorted(at, begin, "right") - 1
         later, _ = _repeats(wt.slice_names(raw, begin, stop), text)
@@ -92,7 +96,7 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def host_rates(judged: DataFrame) -> DataFrame:
-    """``host, rate``: the posterior mean failure rate of each host of rows ``host, base_failed``.
+    """``host, rate, mean``: the posterior mean failure rate of each host of rows ``host, base_failed``, and the prior's mean.
 
     The prior Beta(m k, (1 - m) k) has the mean m of the hosts' rates; k follows from how much
     more the rates vary than single documents' chance explains, kept between 1 and 10^6.
@@ -103,17 +107,18 @@ def host_rates(judged: DataFrame) -> DataFrame:
     m, v, inv = hosts.agg(F.avg(rate), F.coalesce(F.var_samp(rate), F.lit(0.0)), F.avg(1 / F.col("n"))).first()
     m, chance = m or 0.0, (m or 0.0) * (1 - (m or 0.0))
     k = max(1.0, min(1e6, chance / max(v - chance * (inv or 0.0), 1e-9) - 1))
-    return hosts.select("host", ((F.col("failed") + m * k) / (F.col("n") + k)).alias("rate"))
+    return hosts.select("host", ((F.col("failed") + m * k) / (F.col("n") + k)).alias("rate"), F.lit(m).alias("mean"))
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, host_ratio: float = HOST_RATIO, host_low: float = HOST_LOW, host_high: float = HOST_HIGH) -> DataFrame:
     """Verdicts: ``id_col``, COUNTS, ``base_failed, host_rate, kept``, a row for each row.
 
-    A null text has no words and fails; null hosts are one host. Repeated rows count each. An empty
-    table gives no rows. Further columns play no part.
+    A null text has no words and fails; null hosts are one host. Repeated rows, and rows with null
+    ids, count each. An empty table gives no rows. Further columns play no part.
     """
     judged = text_counts(docs, id_col, text_col, host_col)
     judged = stash(judged.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))), "rules")
     rates = host_rates(judged).withColumnRenamed("host", "_host")
     joined = judged.join(rates, F.col("host").eqNullSafe(F.col("_host")), "left")
-    return joined.select(F.col("id").alias(id_col), *COUNTS, "base_failed", F.round("rate", 9).alias("host_rate"), (~F.col("base_failed") & (F.round("rate", 9) <= max_host_rate)).alias("kept"))
+    limit = F.round(F.least(F.greatest(F.col("mean") * host_ratio, F.lit(host_low)), F.lit(host_high)), 9)
+    return joined.select(F.col("id").alias(id_col), *COUNTS, "base_failed", (~F.col("base_failed") & (F.round("rate", 9) <= limit)).alias("kept"), F.round("rate", 9).alias("host_rate"))

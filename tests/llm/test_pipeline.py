@@ -7,14 +7,12 @@ from collections import Counter
 import numpy as np
 import pytest
 from test_line_dedup import brute as brute_lines
-from test_simhash import brute as brute_near
+from test_similar import brute as brute_near
 from test_toxicity import BAD
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
 from plumbline.llm.columns import WORD
-from plumbline.llm.line_dedup import chunks
-from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -55,14 +53,11 @@ def test_stages(spark, folder):
     kept = {x[0] for x in tables[1]}
     assert set(tables[1]) <= set(tables[0]) and len(kept ^ clean) <= 0.05 * len(tables[0])
     # repeated chunks of lines
-    texts = {t or "" for _, t, *_ in tables[1]}
-    parts = {t: [(c["body"], c["lines"]) for c in cs] for t, cs in spark.createDataFrame([(t,) for t in texts], "t string").select("t", chunks(F.col("t"))).collect()}
-    want = brute_lines([x[:2] for x in tables[1]], parts)
+    want = brute_lines([x[:2] for x in tables[1]])
     assert {x[0]: x[1] for x in tables[2]} == {i: t for i, (t, n, _) in want.items() if n == 0 or (t or "").split()}
     assert all(x[4] == len(x[1] or "") for x in tables[2])
     # one document of each component of near-duplicates
-    near = brute_near([x[:2] for x in tables[2]])
-    assert sorted(x[0] for x in tables[3]) == sorted({c for _, _, c in near})
+    assert sorted(x[0] for x in tables[3]) == brute_near([x[:2] for x in tables[2]])
     assert set(tables[3]) <= set(tables[2])
     # copies: none or up to twice, near each source's target
     n = Counter(x[0] for x in tables[4])
