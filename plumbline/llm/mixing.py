@@ -117,7 +117,7 @@ def round_fractions(docs: DataFrame, cell: int = CELL) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
-    """How often the mix takes each document: ``id_col, size, source_size, target, copies, taken``.
+    """How often the mix takes each document: ``id_col, size, source_size, target, taken``, then source and ``copies``.
 
     Size is the number of words; a null or blank text has 0 and is never taken. A null source is
     a source of its own. Rows that repeat an id within a source count each but are taken alike.
@@ -137,4 +137,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     joined = split.join(ups, F.col("id").eqNullSafe(F.col("i")) & F.col("part").eqNullSafe(F.col("p")), "left")
     extra = F.when(F.col("f") >= 1 - 1e-12, 1).otherwise(F.coalesce("one", F.lit(0)))
     copies = F.when(F.col("size") > 0, F.col("whole") + extra).otherwise(0).cast("long")
-    return joined.select(F.col("id").alias(id_col), F.col("part").alias(source_col), "size", F.col("source_size"), F.col("target"), copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return joined.select(F.col("id").alias(id_col), "size", F.col("source_size"), F.col("target"), (copies * F.col("size")).alias("taken"), F.col("part").alias(source_col), copies.alias("copies"))
