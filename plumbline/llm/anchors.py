@@ -10,7 +10,8 @@ under the windows of one anchor are its piece. So whatever repeats meets under i
 3. texts that keep a hash are read again and emit the pieces of these anchors;
 4. equal pieces collapse, and only distinct pieces under one hash are compared.
 
-Nothing is sampled: each window has exactly one anchor. Hashes with very many distinct pieces
+Nothing is sampled: each window has exactly one anchor. A long text is read in segments that
+overlap, so that each window still lies in one of them. Hashes with very many distinct pieces
 (a common phrase in ever other surroundings, a crowd of near copies) are cut into shorter ranges
 of windows that share more than the anchor, in the end into single windows, so no group that is
 compared grows with the corpus.
@@ -70,11 +71,15 @@ def anchors(names: np.ndarray, first: np.ndarray, window: int, gram: int) -> tup
 
 
 class Items:
-    """What windows are made of. ``cut`` gives items of a group of texts."""
+    """What windows are made of."""
 
     window: int
     gram: int
 
+    def parts(self, column: pa.Array, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
+        """Groups of texts as in ``words.parts``; the segments of a long text share window - 1 items, so each window is in one."""
+        raise NotImplementedError
+
     def cut(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Gram hashes, each text's first item, and byte starts and ends of the items."""
         raise NotImplementedError
@@ -84,6 +89,9 @@ class Words(Items):
     def __init__(self, window: int = 50, gram: int = 8):
         self.window, self.gram = window, gram
 
+    def parts(self, column, limit):
+        return wt.parts(column, self.window - 1, limit)
+
     def cut(self, raw, at):
         starts, ends, first = wt.word_bounds(raw, at)
         names = wt.runs_names(wt.slice_names(raw, starts, ends), self.gram)
@@ -96,6 +104,17 @@ class Bytes(Items):
     def __init__(self, window: int = 400, gram: int = 128):
         self.window, self.gram = window, gram
 
+    def parts(self, column, limit):
+        data, offsets = wt.texts(column)
+        for lo, hi in wt.groups(offsets, limit):
+            raw, at = wt.group_bytes(data, offsets, lo, hi)
+            if hi - lo > 1 or len(raw) <= limit:
+                yield lo, hi, raw, at, 0
+                continue
+            for a in range(0, max(1, len(raw) - self.window + 1), limit):
+                segment = raw[a : a + limit + self.window - 1]
+                yield lo, hi, segment, np.array([0, len(segment)]), a
+
     def cut(self, raw, at):
         padded = np.concatenate([raw, np.zeros(8, np.uint8)])
         eight = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(raw) + 1,), (1,))
@@ -109,12 +128,10 @@ class Bytes(Items):
 
 
 def _grouped(column: pa.Array, items: Items, limit: int = 1 << 19) -> Iterator[tuple]:
-    data, offsets = wt.texts(column)
-    for lo, hi in wt.groups(offsets, limit):
-        raw, at = wt.group_bytes(data, offsets, lo, hi)
+    for lo, _, raw, at, base in items.parts(column, limit):
         names, first, starts, ends = items.cut(raw, at)
         where, head, tail = anchors(names, first, items.window, items.gram)
-        yield lo, raw, first, starts, ends, names[where].view(np.int64), np.searchsorted(first, head, "right") - 1, where, head, tail
+        yield lo, base, raw, first, starts, ends, names[where].view(np.int64), np.searchsorted(first, head, "right") - 1, where, head, tail
 
 
 def anchor_hashes(docs: DataFrame, items: Items) -> DataFrame:
@@ -122,7 +139,7 @@ def anchor_hashes(docs: DataFrame, items: Items) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            for lo, _, _, _, _, h, text, *_ in _grouped(x.column(1), items):
+            for lo, _, _, _, _, _, h, text, *_ in _grouped(x.column(1), items):
                 order = np.lexsort((h, text))
                 h, text = h[order], text[order]
                 new = np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])])[: len(h)]
@@ -153,7 +170,7 @@ def pieces(cand: DataFrame, items: Items) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             lists = x.column(2)
-            for lo, raw, first, starts, ends, h, text, where, head, tail in _grouped(x.column(1), items):
+            for lo, base, raw, first, starts, ends, h, text, where, head, tail in _grouped(x.column(1), items):
                 keep = np.zeros(len(h), bool)
                 bounds = np.searchsorted(text, np.arange(len(first)))
                 for i in range(len(first) - 1):
@@ -170,7 +187,7 @@ def pieces(cand: DataFrame, items: Items) -> DataFrame:
                 for k in range(0, len(h), 4000):
                     s = slice(k, k + 4000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[s]), pa.array(body[s], pa.binary()), x.column(0).take(pa.array(text[s] + lo)), pa.array(head[s] - first[text[s]]), pa.array(where[s] - head[s])],
+                        [pa.array(h[s]), pa.array(body[s], pa.binary()), x.column(0).take(pa.array(text[s] + lo)), pa.array(head[s] - first[text[s]] + base), pa.array(where[s] - head[s])],
                         ["h", "body", "id", "start", "a"],
                     )
 

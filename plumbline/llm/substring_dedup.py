@@ -7,20 +7,27 @@ more are cut out if a smaller id has them.
 
 An automaton of the whole corpus has no size bound, so shards are not sent to all texts. Shards are cut
 by the anchors of windows (see ``anchors``): every place of a repeated window has the same anchor,
-so the passages around one anchor make one small shard that all texts which may match it reach by
-a shuffle. For a reference of a bounded size, ``remove_reference`` broadcasts its automaton.
+so a shard holds the passages around some anchors, in a bounded number of words, and all texts
+which may match it reach it by a shuffle. Equal passages come as one, with the smallest id of
+their texts; every passage, also one alone under its anchor, is streamed through its shard, and
+only windows that the automaton reports go. For a reference of a bounded size, ``remove_reference``
+broadcasts its automaton.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+from . import words as wt
 from .anchors import CROWD, Words, candidates, judged, pieces
 from .columns import BLANKS, WORD
 from .store import bound_batches, stash
@@ -28,6 +35,8 @@ from .store import bound_batches, stash
 WINDOW = 50
 #: Stands for a null id.
 LAST = 2**63 - 1
+#: About so many words are in a shard, more where one anchor has more.
+SHARD = 8000
 #: Words of a reference up to which its automaton may be broadcast.
 BROADCAST_WORDS = 500_000
 
@@ -79,7 +88,7 @@ class Automaton:
                 self.least[p] = self.least[s]
         return self
 
-    def windows(self, sequence: list, size: int) -> Iterator[tuple[int, object]]:
+    def windows(self, sequence: Iterable, size: int) -> Iterator[tuple[int, object]]:
         """Matching statistics: (start, smallest value) of each window that the automaton has."""
         nxt, link, length = self.next, self.link, self.length
         state = matched = 0
@@ -109,35 +118,50 @@ def _runs(found: Iterator[tuple[int, object]]) -> list[tuple]:
 
 def _compare(window: int):
     def compare(hashes: list[int], bodies: list[bytes], values: list) -> list[list[tuple]]:
+        """Stream all pieces through the automata of shards of about ``SHARD`` words, each of whole anchors."""
         out: list[list[tuple]] = [[] for _ in bodies]
-        for _, own in groupby(range(len(bodies)), key=hashes.__getitem__):
-            own = list(own)
-            split = {i: bodies[i].split(b" ") for i in own}
-            if len(own) == 1:  # the same everywhere
-                out[own[0]] = [(0, len(split[own[0]]) - window, values[own[0]])]
-                continue
+        split: dict[int, list[bytes]] = {}
+        size = 0
+
+        def judge() -> None:
             shard = Automaton()
-            for i in sorted(own, key=values.__getitem__):
+            for i in sorted(split, key=values.__getitem__):
                 shard.add(split[i], values[i])
             shard.finish()
+            for i, sequence in split.items():
+                out[i] = _runs(shard.windows(sequence, window))
+            split.clear()
+
+        for _, own in groupby(range(len(bodies)), key=hashes.__getitem__):
             for i in own:
-                out[i] = _runs(shard.windows(split[i], window))
+                split[i] = bodies[i].split(b" ")
+                size += len(split[i])
+            if size >= SHARD:
+                judge()
+                size = 0
+        judge()
         return out
 
     return compare
 
 
-def _cut(words: list[bytes], spans: list[tuple[int, int]]) -> tuple[int, bytes]:
-    """Words removed, and the kept ones joined by one space; spans of words (a, b)."""
-    gone = bytearray(len(words))
-    for a, b in spans:
-        gone[a:b] = b"\1" * (b - a)
-    return sum(gone), b" ".join([w for w, g in zip(words, gone, strict=True) if not g])
+def _segments(text: str | None) -> Iterator[tuple[list[bytes], int]]:
+    """A text's words, about a megabyte at a time, and the place of the first."""
+    for part, base in wt.word_segments(np.frombuffer((text or "").encode(), np.uint8), 0, 1 << 20):
+        # bytes.split() ends words at space and 0x09 to 0x0D only
+        yield part.tobytes().split(), base
 
 
-def _words(text: str | None) -> list[bytes]:
-    # bytes.split() ends words at space and 0x09 to 0x0D only
-    return (text or "").encode().split()
+def _cut(text: str | None, spans: list[tuple[int, int]]) -> Iterator[tuple[int, int, bytes]]:
+    """For each segment its words, removed words, and the kept ones joined by one space; spans of words (a, b)."""
+    spans = sorted(spans)
+    for words, base in _segments(text):
+        gone, end = bytearray(len(words)), base + len(words)
+        for a, b in spans[: bisect_left(spans, (end, 0))]:
+            a, b = max(a - base, 0), min(b, end) - base
+            gone[a:b] = b"\1" * (b - a)
+        spans = [x for x in spans if x[1] > end]
+        yield len(words), sum(gone), b" ".join([w for w, g in zip(words, gone, strict=True) if not g])
 
 
 def _schema(id_col: str, id_type: str, with_text: bool) -> str:
@@ -145,19 +169,24 @@ def _schema(id_col: str, id_type: str, with_text: bool) -> str:
 
 
 def _cut_batches(rows: DataFrame, id_col: str, spans_of, with_text: bool) -> DataFrame:
-    """Rows ``id, text, x``: cut what ``spans_of(words, x)`` says."""
+    """Rows ``id, text, x``: cut what ``spans_of(text, x)`` says."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             n, removed, sha, kept = [], [], [], []
             for text, own in zip(x.column(1).to_pylist(), x.column(2).to_pylist(), strict=True):
-                words = _words(text)
-                m, left = _cut(words, spans_of(words, own))
-                n.append(len(words))
-                removed.append(m)
-                sha.append(hashlib.sha256(left).hexdigest())
+                total, gone, digest, parts, space = 0, 0, hashlib.sha256(), [], b""
+                for words, less, left in _cut(text, spans_of(text, own)):
+                    total, gone = total + words, gone + less
+                    if left:
+                        digest.update(space + left)
+                        parts += [space + left] * with_text
+                        space = b" "
+                n.append(total)
+                removed.append(gone)
+                sha.append(digest.hexdigest())
                 if with_text:
-                    kept.append(left.decode())
+                    kept.append(b"".join(parts).decode())
             arrays = [x.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())] + [pa.array(kept, pa.string())] * with_text
             yield pa.RecordBatch.from_arrays(arrays, [id_col, "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text)
 
@@ -168,10 +197,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Texts without words of windows that a smaller id has: ``id_col, n_words, n_removed, kept_sha256``.
 
     Words are compared as they are; all windows are judged on the input. A null text has no words.
-    Ids are whole numbers; a null id counts as larger than any, rows that repeat an id have none
-    smaller than each other and are cut each for itself. ``kept`` holds the words that stay, joined by
+    Ids are of an integer type, others are a ValueError; a null id counts as larger than any, rows that
+    repeat an id have none smaller than each other and are cut each for itself. ``kept`` holds the words that stay, joined by
     one space, if asked. Empty table: no rows. Further columns play no part.
     """
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise ValueError(f"{id_col} is no integer")
     bound_batches(docs.sparkSession, rows=1000, megabytes=8)
     items = Words(window, max(1, window // 6))
     # a null id is larger than any; rows that repeat an id but not its text stay apart
@@ -203,7 +234,12 @@ def remove_reference(docs: DataFrame, reference: DataFrame, id_col: str = "doc_i
         raise ValueError(f"the reference has {size} words, over {BROADCAST_WORDS}")
     shard = Automaton()
     for row in reference.select(reference_text).collect():  # its size was checked
-        shard.add(_words(row[0]), 0)
+        shard.add([w for words, _ in _segments(row[0]) for w in words], 0)
     shipped = docs.sparkSession.sparkContext.broadcast(shard.finish())
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).alias("x"))
-    return _cut_batches(rows, id_col, lambda words, _: [(a, a + window) for a, _ in shipped.value.windows(words, window)], with_text)
+
+    def spans_of(text: str | None, _) -> list[tuple[int, int]]:
+        words = (w for own, _ in _segments(text) for w in own)
+        return [(a, b + window) for a, b, _ in _runs(shipped.value.windows(words, window))]
+
+    return _cut_batches(rows, id_col, spans_of, with_text)
