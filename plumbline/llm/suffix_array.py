@@ -186,15 +186,16 @@ def cut_texts(column: pa.Array, spans: list) -> Iterator[tuple[int, int, int, by
     data, offsets = wt.texts(column)
     for i, own in enumerate(spans):
         raw = data[offsets[i] : offsets[i + 1]]
-        if not own:
-            yield len(raw), 0, 0, raw.tobytes()
-            continue
-        edge = np.zeros(len(raw) + 1, np.int32)
-        a, b = np.array([s["a"] for s in own]), np.array([s["b"] for s in own])
-        np.add.at(edge, a, 1)
-        np.subtract.at(edge, b, 1)
-        gone = np.cumsum(edge[:-1]) > 0
-        yield len(raw), int(gone.sum()), len(flag_runs(gone)), raw[~gone].tobytes()
+        left, end, removed, runs = [], 0, 0, 0
+        for a, b in sorted((s["a"], s["b"]) for s in own or []):
+            if a > end or not runs:
+                left.append(raw[end:a].tobytes())
+                removed, runs = removed + b - a, runs + 1
+            elif b > end:
+                removed += b - end
+            end = max(end, b)
+        left.append(raw[end:].tobytes())
+        yield len(raw), removed, runs, b"".join(left)
 
 
 def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, crowd: int = CROWD, with_bytes: bool = False) -> DataFrame:
