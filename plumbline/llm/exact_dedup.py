@@ -25,6 +25,8 @@ from .store import stash
 
 #: Exceptions are joined by broadcast up to this number of rows, else by a shuffle.
 BROADCAST_ROWS = 10_000
+#: Copies over which a group's documents are dealt by a hash of their id too, into so many parts.
+LARGE, SALTS = 500, 64
 
 Key = Callable[..., Column]
 
@@ -94,14 +96,24 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     null id is smaller than none, so it stays only where the whole group has null ids. An empty
     table gives an empty result. Further columns of ``docs`` are ignored.
     """
-    named = identities(docs, id_col, text_col, block_bytes, key)
+    named = stash(identities(docs, id_col, text_col, block_bytes, key).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")), "named")
     last = ["n_blocks", "h", "r"]
     # one row for each group of copies, combined before the shuffle; single documents need no join
-    groups = named.groupBy(*last).agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1")
-    return named.join(groups, last, "left").select(
-        F.col("id").alias(id_col),
-        F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        F.when(F.col("group_size").isNull(), True).otherwise(F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
-        "text_sha256",
+    groups = stash(named.groupBy(*last).agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1"), "groups")
+    # the row of a large group meets its documents in SALTS places; what has met it there needs no key in the second join
+    large = groups.where(F.col("group_size") > LARGE).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    first = named.join(large.hint("merge"), [*last, "salt"], "left")
+    met = F.col("group_size").isNotNull()
+    first = first.withColumn("r", F.when(met, -1 - F.col("salt")).otherwise(F.col("r"))).withColumnsRenamed({"keep_id": "_keep", "group_size": "_size"})
+    small = groups.where(F.col("group_size") <= LARGE)
+    return (
+        first.join(small.hint("merge"), last, "left")
+        .withColumns({"keep_id": F.when(F.col("_size").isNull(), F.col("keep_id")).otherwise(F.col("_keep")), "group_size": F.coalesce("_size", "group_size")})
+        .select(
+            F.col("id").alias(id_col),
+            F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
+            F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+            F.when(F.col("group_size").isNull(), True).otherwise(F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+            "text_sha256",
+        )
     )
