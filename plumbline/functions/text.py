@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType
 #: The 29 code points that count as white space (fixed values).
 SPACE = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: Leading words of translators' notes and control marks (fixed values).
-NOTES = r"(?im)<think>|```|<\||^\s*(translation|translated text|note|explanation)\s*:"
+NOTES = rf"(?i)</?think>|```|<\||(?:^|\n){SPACE}*(?:translation|english translation|note|explanation){SPACE}*:"
 CONTROL = r"<\||\|>|<think>|</think>|```"
 
 
@@ -59,15 +59,15 @@ def exact_keys(document: Column, *keys: str) -> Column:
 
 
 def english_issues(caption: Column) -> Column:
-    """Reasons against a caption, several may hold; a null or blank caption has just the first.
+    """Reasons against a caption (fixed values), several may hold; a null or blank caption has just the first.
 
     Letters are told apart by script, which differs from Unicode names on some 160 rare letters.
     """
     reasons = F.array(
-        F.when(~caption.rlike(r"\p{IsLatin}"), "caption_has_no_latin_letter"),
+        F.when(~caption.rlike(r"\p{IsLatin}"), "caption_has_no_latin_letters"),
         F.when(caption.rlike(r"[\p{L}&&[^\p{IsLatin}]]"), "caption_contains_non_latin_script"),
         F.when(caption.rlike(NOTES), "caption_contains_translation_metadata"),
-        F.when(F.regexp_replace(caption, "^" + SPACE + "+", "").rlike(r"^[{\[]"), "caption_looks_like_json"),
+        F.when(F.regexp_replace(caption, "^" + SPACE + "+", "").rlike(r"^[{\[]"), "caption_contains_nested_structure"),
     )
     blank = caption.isNull() | (squeezed(caption) == "")
     return F.when(blank, F.array(F.lit("caption_not_nonempty_string"))).otherwise(F.array_compact(reasons))
@@ -100,8 +100,16 @@ def basename(path: Column) -> Column:
     return F.regexp_extract(F.replace(path, F.lit("\\"), F.lit("/")), r"([^/]*)$", 1)
 
 
+def resolved(path: Column) -> Column:
+    """An absolute path without empty, ``.`` and ``..`` parts; nothing lies above the root."""
+    parts = F.filter(F.split(path, "/"), lambda p: (p != "") & (p != "."))
+    keep = F.aggregate(parts, F.array().cast("array<string>"), lambda a, p: F.when(p == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.array_append(a, p)))
+    return F.concat(F.lit("/"), F.array_join(keep, "/"))
+
+
 def contained(path: Column, root: Column) -> Column:
-    """Whether a normalised path lies in a root."""
+    """Whether a path, once resolved, lies in a root."""
+    path, root = resolved(path), resolved(root)
     return (path == root) | path.startswith(F.concat(F.rtrim(root, F.lit("/")), F.lit("/")))
 
 

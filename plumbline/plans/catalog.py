@@ -40,8 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 KEYS_SQL = r"""
     WITH RECURSIVE k AS (
       SELECT doc_id, 'text:' || sha256(text) AS key FROM documents
-      UNION SELECT doc_id, 'head:' || sha256(lower(substr(text, 1, 60))) FROM documents
-      UNION SELECT doc_id, 'tail:' || sha256(right(text, 60)) FROM documents
+      UNION SELECT doc_id, 'letters:' || sha256(regexp_replace(lower(text), '[^a-z]', '', 'g')) FROM documents
+      UNION SELECT doc_id, 'size:' || source || ':' || lang || ':' || n_chars // 100 FROM documents WHERE n_chars IS NOT NULL AND source IS NOT NULL AND lang IS NOT NULL
     ), star AS (SELECT doc_id AS a, min(doc_id) OVER (PARTITION BY key) AS b FROM k),
     e AS (SELECT a, b FROM star WHERE a <> b UNION SELECT b, a FROM star WHERE a <> b),
     r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
@@ -55,11 +55,13 @@ KEYS_SQL = r"""
 
 
 def document_keys(docs: DataFrame) -> DataFrame:
-    """``vertex, key``: documents are one if texts, first or last sixty characters agree."""
-    keys = F.array(
-        F.concat(F.lit("text:"), ft.digest(F.col("text"))),
-        F.concat(F.lit("head:"), ft.digest(F.lower(F.substring("text", 1, 60)))),
-        F.concat(F.lit("tail:"), ft.digest(F.right(F.col("text"), F.lit(60)))),
+    """``vertex, key``: documents are one if their texts, the letters of these, or source, language and length in hundreds agree."""
+    keys = F.array_compact(
+        F.array(
+            F.concat(F.lit("text:"), ft.digest(F.col("text"))),
+            F.concat(F.lit("letters:"), ft.digest(F.regexp_replace(F.lower("text"), "[^a-z]", ""))),
+            F.concat(F.lit("size:"), "source", F.lit(":"), "lang", F.lit(":"), F.expr("n_chars div 100").cast("string")),
+        )
     )
     return docs.select(F.col("doc_id").alias("vertex"), F.explode(keys).alias("key"))
 
@@ -306,10 +308,10 @@ ODD_SQL = """SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN '  ' WHEN 1 THEN '{' ||
     rf"""WITH o AS ({ODD_SQL})
     SELECT doc_id,
       CASE WHEN trim(caption) = '' THEN 'caption_not_nonempty_string' ELSE concat_ws(',',
-        CASE WHEN NOT regexp_matches(caption, '\p{{Latin}}') THEN 'caption_has_no_latin_letter' END,
+        CASE WHEN NOT regexp_matches(caption, '\p{{Latin}}') THEN 'caption_has_no_latin_letters' END,
         CASE WHEN regexp_matches(caption, '[^\P{{L}}\p{{Latin}}]') THEN 'caption_contains_non_latin_script' END,
-        CASE WHEN regexp_matches(caption, '(?im)<think>|```|<\||^\s*(translation|translated text|note|explanation)\s*:') THEN 'caption_contains_translation_metadata' END,
-        CASE WHEN regexp_matches(caption, '^\s*[{{\[]') THEN 'caption_looks_like_json' END) END AS issues,
+        CASE WHEN regexp_matches(caption, '(?i)</?think>|```|<\||(?:^|\n)\s*(?:translation|english translation|note|explanation)\s*:') THEN 'caption_contains_translation_metadata' END,
+        CASE WHEN regexp_matches(caption, '^\s*[{{\[]') THEN 'caption_contains_nested_structure' END) END AS issues,
       regexp_matches(caption, '[A-Za-z]') AND NOT regexp_matches(caption, '[\x{{1100}}-\x{{11FF}}\x{{3130}}-\x{{318F}}\x{{AC00}}-\x{{D7AF}}]') AS cacheable,
       trim(caption) <> '' AND regexp_matches(caption, '[A-Za-z]')
         AND NOT regexp_matches(caption, '[\x{{1100}}-\x{{11FF}}\x{{3040}}-\x{{30FF}}\x{{3130}}-\x{{318F}}\x{{3400}}-\x{{4DBF}}\x{{4E00}}-\x{{9FFF}}\x{{AC00}}-\x{{D7AF}}]')
@@ -370,7 +372,9 @@ def stem_identity(spark, sf_dir):
     return rows.select("p_partkey", "x.isbn", "x.canonical_isbn", "x.record")
 
 
-@query()
+@query(
+    """SELECT event_id, CASE event_id % 5 WHEN 0 THEN json_valid(props) ELSE event_id % 5 = 4 END AS strict, event_id % 5 = 4 AS caption_only, event_id % 5 = 1 AS repeats_key FROM events"""
+)
 def json_strict(spark, sf_dir):
     turn = F.col("event_id") % 5
     document = (
@@ -650,10 +654,15 @@ def config_difference(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(i.alias("id"), F.concat_ws(",", lineage.differing_keys(left, right)).alias("differing"))
 
 
-@query()
+@query(
+    r"""SELECT doc_id, concat_ws(' ', CASE WHEN doc_id % 3 = 0 THEN 'isbn:' || doc_id || 'X' END,
+      'title:' || nullif(regexp_replace(lower(source || ' / ' || lang), '[^\p{L}\p{N}]', '', 'g'), ''),
+      'context:' || sha256(nullif(regexp_replace(CASE WHEN doc_id % 2 = 0 THEN text ELSE source END, '\s', '', 'g'), '')),
+      CASE WHEN doc_id % 5 = 0 THEN 'existing-group:' || lang END) AS keys FROM documents"""
+)
 def row_identities(spark, sf_dir):
-    number = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("ISBN "), F.col("doc_id").cast("string"), F.lit("-x")))
-    keys = identity_keys(number, F.substring("text", 1, 40), F.when(F.col("doc_id") % 2 == 0, F.col("text")), F.col("source"), F.when(F.col("doc_id") % 5 == 0, F.col("lang")), F.col("doc_id") % 2 == 0)
+    number = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Book "), F.col("doc_id").cast("string"), F.lit("-x")))
+    keys = identity_keys(number, F.concat("source", F.lit(" / "), "lang"), F.when(F.col("doc_id") % 2 == 0, F.col("text")), F.col("source"), F.when(F.col("doc_id") % 5 == 0, F.col("lang")), F.col("doc_id") % 2 == 0)
     return table(spark, sf_dir, "documents").select("doc_id", F.concat_ws(" ", keys).alias("keys"))
 
 
