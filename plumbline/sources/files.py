@@ -6,6 +6,7 @@ import json
 import os
 import shutil
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,19 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False
     return lines.select("path", "ordinal", "file_sha256", F.from_json(checked, schema).alias("x")).select("x.*", F.col("path").alias("_path"), F.col("ordinal").alias("_ordinal"), F.col("file_sha256").alias("_sha256"))
 
 
+def checked_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True) -> tuple[DataFrame | None, str | None]:
+    """Rows as ``read_jsonl`` gives them, or None and what is wrong: a missing file, bytes that are no text, a bad line."""
+    try:
+        lines = read_lines(spark, path)
+        good = strict_object(F.col("line")) if strict else F.coalesce(F.json_object_keys("line").isNotNull(), F.lit(False))
+        bad = lines.where(~good | F.col("line").contains("\ufffd")).orderBy("ordinal").select("ordinal").first()
+    except Exception as e:
+        return None, f"{path}: {type(e).__name__}: {str(e).splitlines()[0][:300]}"
+    if bad is not None:
+        return None, f"{path}:{bad.ordinal} is no valid object"
+    return read_jsonl(spark, path, schema, strict), None
+
+
 def read_splits(spark: SparkSession, folder: str, schema: str, check: bool = False) -> DataFrame:
     """Three mandatory files train, validation and test of a folder, with ``split``.
 
@@ -62,6 +76,23 @@ def list_files(spark: SparkSession, folder: str, recursive: bool = True) -> Data
     return files.select(path.alias("path"), basename(path).alias("name"), F.regexp_extract("path", r"(\.[^./]*)$", 1).alias("suffix"), "length")
 
 
+def unlisted(spark: SparkSession, folder: str, n_files: int) -> tuple[list[str], DataFrame | None]:
+    """What a listing of ``n_files`` by Spark lacks: names of folders, and rows like its own of empty and hidden files."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where)
+    if len(found) == n_files:
+        return [], None
+    each = [(x.getPath().toUri().getPath(), x.getPath().getName(), x.isFile(), x.getLen()) for x in found]
+    files = [(p, n, os.path.splitext(n)[1], size) for p, n, file, size in each if file and (n[0] in "._" or not size)]
+    return sorted(n for _, n, file, _ in each if not file), spark.createDataFrame(files, "path string, name string, suffix string, length long") if files else None
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(where) and fs.getFileStatus(where).isDirectory()
+
+
 def image_index(spark: SparkSession, folder: str) -> DataFrame:
     """``folded, paths``: images of a folder by their lower-cased names."""
     images = list_files(spark, folder).where(F.lower("suffix").isin(*IMAGE_SUFFIXES))
@@ -117,27 +148,17 @@ def protect(output: str, inputs: list[str], overwrite: bool = False) -> None:
 def write_splits(rows: DataFrame, folder: str, report: dict, order: str, overwrite: bool = False) -> None:
     """One JSON-lines file for each split, then the report, which so marks a complete output.
 
-    Files are written by Spark into a staging folder beside and renamed; single files keep their
-    order, so each split is sorted and written by one task.
+    Spark sorts and writes each split in ranges, by many tasks, into a staging folder beside; their
+    files are joined in order and renamed.
     """
     staging = f"{folder.rstrip('/')}.staging"
     if os.path.exists(folder) and not overwrite:
         raise FileExistsError(folder)
     shutil.rmtree(staging, ignore_errors=True)
-    for name in SPLITS:
-        own = rows.where(F.col("split") == name).orderBy(order).coalesce(1)
-        own.write.option("ignoreNullFields", "false").json(f"{staging}/{name}")
     os.makedirs(folder, exist_ok=True)
     for name in SPLITS:
-        parts = sorted(x for x in os.listdir(f"{staging}/{name}") if x.startswith("part-"))
-        target = f"{staging}/{name}.jsonl"
-        with open(target, "wb") as out:
-            for x in parts:
-                with open(f"{staging}/{name}/{x}", "rb") as f:
-                    shutil.copyfileobj(f, out)
-            out.flush()
-            os.fsync(out.fileno())
-        os.replace(target, f"{folder}/{name}.jsonl")
+        rows.where(F.col("split") == name).orderBy(order).write.option("ignoreNullFields", "false").json(f"{staging}/{name}")
+        os.replace(_joined(f"{staging}/{name}"), f"{folder}/{name}.jsonl")
     shutil.rmtree(staging, ignore_errors=True)
     write_report(folder, report)
 
@@ -146,6 +167,98 @@ def write_report(folder: str, report: dict) -> None:
     write_atomic(f"{folder.rstrip('/')}/report.json", json.dumps(report, ensure_ascii=False, indent=1, sort_keys=True) + "\n")
 
 
+def write_issues(folder: str, issues: DataFrame, order: list[str], name: str = "issues.jsonl") -> str:
+    """All rows of a report as JSON lines beside it, in order; they are streamed, never held as a whole."""
+    os.makedirs(folder, exist_ok=True)
+    handle, temporary = tempfile.mkstemp(dir=folder)
+    with os.fdopen(handle, "w", encoding="utf-8") as f:
+        for row in issues.orderBy(*order).toLocalIterator(prefetchPartitions=True):
+            f.write(json.dumps(row.asDict(True), ensure_ascii=False) + "\n")
+        f.flush()
+        os.fsync(f.fileno())
+    os.replace(temporary, f"{folder.rstrip('/')}/{name}")
+    return name
+
+
+def write_exclusive(rows: DataFrame, path: str, report: dict, order: str) -> None:
+    """A manifest as one JSON-lines file and its report beside it; neither may exist, the report comes last."""
+    target = f"{path}.report.json"
+    for x in (path, target):
+        if os.path.exists(x):
+            raise FileExistsError(x)
+    staging = f"{path}.staging"
+    shutil.rmtree(staging, ignore_errors=True)
+    rows.orderBy(order).write.option("ignoreNullFields", "false").json(staging)
+    joined = _joined(staging)
+    try:
+        os.link(joined, path)  # fails if another writer was first
+    finally:
+        shutil.rmtree(staging, ignore_errors=True)
+    write_atomic(target, json.dumps(report, ensure_ascii=False, indent=1, sort_keys=True) + "\n")
+
+
+def _joined(folder: str) -> str:
+    """The ordered part files of a written folder as one file on disk."""
+    target = f"{folder}/joined"
+    with open(target, "wb") as out:
+        for x in sorted(x for x in os.listdir(folder) if x.startswith("part-")):
+            with open(f"{folder}/{x}", "rb") as f:
+                shutil.copyfileobj(f, out)
+        out.flush()
+        os.fsync(out.fileno())
+    return target
+
+
+def write_with_pointer(folder: str, manifest: dict, pointer: str) -> None:
+    """A cache's manifest, then the pointer that names its folder, which so never names an incomplete one."""
+    write_atomic(f"{folder.rstrip('/')}/manifest.json", json.dumps(manifest, ensure_ascii=False) + "\n")
+    write_atomic(pointer, json.dumps({"cache_path": folder}, ensure_ascii=False) + "\n")
+
+
+def append_event(path: str, **entry) -> None:
+    """One line of an event log, with the time; numbers that JSON lacks are an error."""
+    line = json.dumps({**entry, "time": time.strftime("%Y-%m-%dT%H:%M:%S")}, ensure_ascii=False, allow_nan=False)
+    with open(path, "a", encoding="utf-8") as f:
+        f.write(line + "\n")
+
+
+def write_status(folder: str, completed: int, total: int, error: BaseException | None = None) -> None:
+    """How far a run has come in ``status.json``, or what ended it in ``failure.json``."""
+    if error is not None:
+        body, name = {"type": type(error).__name__, "message": str(error), "completed": completed}, "failure.json"
+    else:
+        body, name = {"status": "complete" if completed == total else "running", "completed": completed, "total": total}, "status.json"
+    write_atomic(f"{folder.rstrip('/')}/{name}", json.dumps(body, ensure_ascii=False) + "\n")
+
+
+def recover_journal(path: str) -> bool:
+    """Cut a torn last line off a JSON-lines journal, after its bytes were copied to ``.interrupted.jsonl`` once.
+
+    A broken line anywhere else is an error, and the file stays as it is. True if a line was cut.
+    Lines are read one at a time.
+    """
+    end = broken = 0
+    with open(path, "rb") as f:
+        for number, line in enumerate(f, 1):
+            if broken:
+                raise ValueError(f"{path}: line {broken} is broken")
+            try:
+                json.loads(line.decode())
+                end += len(line)
+            except ValueError:
+                broken = number
+    if not broken:
+        return False
+    backup = os.path.splitext(path)[0] + ".interrupted.jsonl"
+    if not os.path.exists(backup):
+        shutil.copy2(path, backup)
+    with open(path, "r+b") as f:
+        f.truncate(end)
+        f.flush()
+        os.fsync(f.fileno())
+    return True
+
+
 def publish_once(staged: str, target: str) -> bool:
     """Rename a staged folder to its place; if that is there already, its contents must be equal. True if it was new."""
     try:
@@ -185,4 +298,4 @@ def conflicting_report(existing: dict, new: dict, keys: list[str]) -> list[str]:
     return [k for k in keys if existing.get(k) != new.get(k)]
 
 
-__all__ = ["classify_pair_files", "conflicting_report", "image_index", "list_files", "protect", "publish_once", "read_jsonl", "read_lines", "read_prompts", "read_splits", "resolve_cache", "write_atomic", "write_report", "write_splits"]
+__all__ = ["append_event", "checked_jsonl", "classify_pair_files", "conflicting_report", "folder_exists", "image_index", "list_files", "protect", "publish_once", "read_jsonl", "read_lines", "read_prompts", "read_splits", "recover_journal", "resolve_cache", "unlisted", "write_atomic", "write_exclusive", "write_issues", "write_report", "write_splits", "write_status", "write_with_pointer"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -158,8 +158,16 @@ def letterboxed(rgb: np.ndarray, size: int) -> np.ndarray:
     return (square.astype(np.float32) / 127.5 - 1).transpose(2, 0, 1)
 
 
-def inspect(path: str, data: bytes, max_pixels: int = USUAL_PIXELS, composite: bool = True, expected_sha256: str | None = None) -> dict:
-    """The audit of one file; faults come back as ``error``."""
+#: Pixels (height, width, 3) of a file's bytes, given its header's figures.
+Decoder = Callable[[bytes, dict], np.ndarray]
+
+
+def inspect(path: str, data: bytes, max_pixels: int = USUAL_PIXELS, composite: bool = True, expected_sha256: str | None = None, decoder: Decoder | None = None) -> dict:
+    """The audit of one file; faults come back as ``error``.
+
+    PNG is decoded here. For other formats ``decoder(data, info)`` gives the pixels, upright and in RGB, as
+    ``info["orientation"]`` asks for; without one they have no pixel digest.
+    """
     if not 1 <= max_pixels <= MAX_PIXELS:
         raise ValueError(f"max_pixels must be in 1 .. {MAX_PIXELS}")
     out = {"path": path, "max_pixels": max_pixels, "image_sha256": hashlib.sha256(data).hexdigest(), "error": None}
@@ -176,18 +184,23 @@ def inspect(path: str, data: bytes, max_pixels: int = USUAL_PIXELS, composite: b
         if info["format"] == "PNG":
             rgb, out["alpha_composited"] = png_rgb(info, composite)
             out["pixel_sha256"] = pixel_sha256(rgb)
-    except (ValueError, zlib.error) as e:
+        elif decoder is not None:
+            rgb = np.asarray(decoder(data, info), np.uint8)
+            if rgb.shape != (out["height"], out["width"], 3):
+                raise ValueError(f"decoded to {rgb.shape}, not to {out['width']} x {out['height']} RGB")
+            out["pixel_sha256"] = pixel_sha256(rgb)
+    except (ValueError, OSError, zlib.error) as e:
         return {k: out[k] for k in ("path", "max_pixels", "image_sha256")} | {"error": str(e)}
     return out
 
 
-def inspect_images(files: DataFrame, max_pixels: int = USUAL_PIXELS, composite: bool = True) -> DataFrame:
-    """Audits of rows ``path, content``, each path once; faults are rows too, with ``error``."""
+def inspect_images(files: DataFrame, max_pixels: int = USUAL_PIXELS, composite: bool = True, decoder: Decoder | None = None) -> DataFrame:
+    """Audits of rows ``path, content``, each path once; faults are rows too, with ``error``. ``decoder`` as in ``inspect``."""
     names = [x.split()[0] for x in SCHEMA.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            rows = [inspect(p, c, max_pixels, composite) for p, c in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True)]
+            rows = [inspect(p, c, max_pixels, composite, decoder=decoder) for p, c in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in rows], schema=pa.schema([(n, types[n]) for n in names]))
 
     types = {n: {"int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}[k] for n, k in (x.split() for x in SCHEMA.split(","))}

@@ -86,7 +86,10 @@ def test_pairs_honour_earlier_splits(spark, tmp_path):
     report = pp.prepare_pairs(spark, d, out, earlier=old, metadata=f"{tmp_path}/meta.jsonl", expected=2)
     rows = splits(out)
     assert {r["split"] for r in rows} == {"test"} and len({r["group"] for r in rows}) == 1
-    assert [m["existing_splits"] for m in report["mixed_splits"]] == [["test", "train", "validation"]]
+    with open(f"{out}/{report['mixed_splits']}") as f:
+        assert [json.loads(x)["existing_splits"] for x in f] == [["test", "train", "validation"]] and report["mixed_groups"] == 1
+    assert report["counts"]["kept_rows"] == 2 and report["counts"]["excluded_rows"] == 0 and report["earlier_rows"] == {"train": 1, "validation": 1, "test": 1}
+    assert set(report) >= {"policies", "warnings", "provenance", "split_leakage_checks"} and len(report["provenance"]["source_manifest_sha256"]) == 64
     jsonl(f"{tmp_path}/meta.jsonl", [{"image": f"01_01T_01S_{A}_1.jpg", "isbn": B}])
     with pytest.raises(GateError) as e:
         pp.prepare_pairs(spark, d, f"{tmp_path}/no", metadata=f"{tmp_path}/meta.jsonl", expected=2)
@@ -105,12 +108,90 @@ def test_pair_gates(spark, tmp_path):
     with pytest.raises(GateError) as e:
         pp.prepare_pairs(spark, d, f"{tmp_path}/out", expected=3)
     assert e.value.counts == {
-        "invalid_caption_json": 3, "caption_contains_non_latin_script": 2, "caption_not_nonempty_string": 1, "caption_contains_translation_metadata": 1, "caption_looks_like_json": 1,
+        "invalid_caption_json": 3, "caption_contains_non_latin_script": 2, "caption_not_nonempty_string": 1, "caption_contains_translation_metadata": 1, "caption_contains_nested_structure": 1,
         "invalid_filename_or_isbn": 1, "missing_json": 1, "missing_image": 1, "unexpected_file": 1, "unexpected_pair_count": 1,
     }
-    assert os.listdir(f"{tmp_path}/out") == ["report.json"]
+    assert sorted(os.listdir(f"{tmp_path}/out")) == ["issues.jsonl", "report.json"]
     with open(f"{tmp_path}/out/report.json") as f:
-        assert json.load(f)["complete"] is False
+        report = json.load(f)
+    assert report["complete"] is False and report["stage"] == "captions"
+    with open(f"{tmp_path}/out/{report['issues']}") as f:
+        assert sum(1 for _ in f) == sum(report["issue_counts"].values())
+
+
+def test_entries_that_are_no_pairs(spark, tmp_path):
+    d = f"{tmp_path}/pairs"
+    with pytest.raises(GateError) as e:
+        pp.prepare_pairs(spark, d, f"{tmp_path}/a", expected=1)
+    assert e.value.counts == {"missing_pair_directory": 1}
+    pair(d, f"01_01T_01S_{A}_1", "a cat", 1)
+    os.makedirs(f"{d}/sub/inner")
+    with open(f"{d}/.hidden.json", "w") as f:
+        f.write("{}")
+    with pytest.raises(GateError) as e:
+        pp.prepare_pairs(spark, d, f"{tmp_path}/b", expected=1)
+    assert e.value.counts == {"non_file_entry": 1, "missing_image": 1, "unexpected_pair_count": 1}
+    os.remove(f"{d}/.hidden.json")
+    os.rmdir(f"{d}/sub/inner")
+    os.rmdir(f"{d}/sub")
+    with open(f"{d}/01_01T_01S_{A}_1.jpg", "w"):
+        pass
+    with pytest.raises(GateError) as e:
+        pp.prepare_pairs(spark, d, f"{tmp_path}/c", expected=1)
+    assert e.value.counts == {"image_decode_or_integrity_error": 1}
+    with open(f"{d}/01_01T_01S_{A}_1.json", "w"):
+        pass
+    with pytest.raises(GateError) as e:
+        pp.prepare_pairs(spark, d, f"{tmp_path}/e", expected=1)
+    assert e.value.counts == {"invalid_caption_json": 1}
+
+
+def test_bad_metadata_and_earlier_splits(spark, tmp_path):
+    d, old, meta = f"{tmp_path}/pairs", f"{tmp_path}/old", f"{tmp_path}/meta.jsonl"
+    pair(d, f"01_01T_01S_{A}_1", "a cat", 1)
+    pair(d, f"01_01T_01S_{B}_2", "a dog", 2)
+
+    def counts(**more):
+        with pytest.raises(GateError) as e:
+            pp.prepare_pairs(spark, d, f"{tmp_path}/out", expected=2, overwrite=True, **more)
+        return e.value.counts
+
+    jsonl(meta, [{"image": f"01_01T_01S_{A}_1.jpg"}, {"title": "no image"}, {"image": f"01_01T_01S_{B}_2.jpg"}])
+    assert counts(metadata=meta) == {"invalid_source_manifest": 1, "source_manifest_missing_exact_stem": 1}
+    jsonl(meta, [{"image": f"01_01T_01S_{A}_1.jpg"}, {"image": f"01_01t_01S_{A}_1.png"}])
+    assert counts(metadata=meta) == {"invalid_source_manifest": 1, "source_manifest_missing_exact_stem": 1}
+    with open(meta, "a") as f:
+        f.write('{"image": "x", "image": "y"}\n')
+    assert counts(metadata=meta) == {"invalid_source_manifest": 1, "source_manifest_missing_exact_stem": 2}
+    jsonl(meta, [{"image": f"01_01T_01S_{A}_1.jpg", "isbn": "123"}, {"image": f"01_01T_01S_{B}_2.jpg", "isbn": None}])
+    assert counts(metadata=meta) == {"source_manifest_isbn_mismatch": 1}
+    jsonl(f"{old}/train.jsonl", [{"isbn": A}])
+    with open(f"{old}/test.jsonl", "w") as f:
+        f.write("[1]\n")
+    assert counts(earlier=old) == {"invalid_existing_split": 2}
+    with open(f"{tmp_path}/out/issues.jsonl") as f:
+        assert [json.loads(x)["subject"] for x in f] == ["test", "validation"]
+
+
+def test_all_issues_are_written(spark, tmp_path):
+    d = f"{tmp_path}/pairs"
+    os.makedirs(d)
+    for i in range(1500):
+        with open(f"{d}/x{i}.txt", "w"):
+            pass
+    with pytest.raises(GateError) as e:
+        pp.prepare_pairs(spark, d, f"{tmp_path}/out", expected=1)
+    assert e.value.counts == {"unexpected_file": 1500, "unexpected_pair_count": 1}
+    with open(f"{tmp_path}/out/issues.jsonl") as f:
+        assert len({json.loads(x)["subject"] for x in f}) == 1501
+
+
+def test_decoder_gives_pixels_of_other_formats():
+    jpeg = b"\xff\xd8\xff\xc0" + struct.pack(">HBHHB", 17, 8, 2, 3, 3) + b"\0" * 9 + b"\xff\xd9"
+    pixels = np.arange(18).reshape(2, 3, 3).astype(np.uint8)
+    assert im.inspect("x", jpeg, decoder=lambda data, info: pixels)["pixel_sha256"] == im.pixel_sha256(pixels)
+    assert "decoded" in im.inspect("x", jpeg, decoder=lambda data, info: pixels[:1])["error"]
+    assert im.inspect("x", jpeg).get("pixel_sha256") is None
 
 
 def test_broken_image_stops_the_last_gate(spark, tmp_path):
