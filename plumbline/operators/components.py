@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..tables import stash
 
+#: Distinct keys of a component that may come together in one row, at some hundred bytes each.
+MOST_KEYS = 5_000_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of edges ``a, b``: the smallest node of each one's component, for nodes with an edge.
@@ -44,8 +47,12 @@ def link_rows(keyed: DataFrame) -> DataFrame:
 def group_ids(keyed: DataFrame, linked: DataFrame, size: int = 24) -> DataFrame:
     """``root, group_id``: digest of a component's sorted distinct keys, cut to ``size`` digits.
 
-    A component's keys come together in one row, as their digest asks for.
+    A component's keys come together in one row, as their digest asks for; one with over ``MOST_KEYS``
+    is an error before that.
     """
-    keys = keyed.where("key is not null").join(linked, "vertex").select("root", "key").distinct()
+    keys = stash(keyed.where("key is not null").join(linked, "vertex").select("root", "key").distinct(), "group-keys")
+    large = keys.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > MOST_KEYS).first()
+    if large is not None:
+        raise ValueError(f"the component of {large.root} has {large.n} keys, over {MOST_KEYS}")
     joined = F.concat_ws("\n", F.array_sort(F.collect_list("key")))
     return keys.groupBy("root").agg(F.substring(F.sha2(joined, 256), 1, size).alias("group_id"))

@@ -8,6 +8,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Files that one digest may be made of.
+MOST_FILES = 1_000_000
 
 
 def _nul() -> Column:
@@ -50,7 +52,14 @@ def content_fingerprint(rows: DataFrame, key: str, columns: list[str], ranges: i
 
 
 def file_set_digest(files: DataFrame, path: str = "path", sha: str = "sha256") -> DataFrame:
-    """One row ``n_files, revision`` of a listing of paths with digests; a list of files, not of their bytes."""
+    """One row ``n_files, revision`` of a listing of paths with digests; a list of files, not of their bytes.
+
+    The digest is of one text, so the files of one model or release are meant; over ``MOST_FILES`` is an
+    error, and ``content_fingerprint`` digests tables of any size.
+    """
+    n = files.limit(MOST_FILES + 1).count()
+    if n > MOST_FILES:
+        raise ValueError(f"a set of over {MOST_FILES} files")
     pair = F.concat(F.col(path), F.lit(" "), F.col(sha))
     return files.agg(F.count("*").alias("n_files"), F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list(pair))), 256).alias("revision"))
 
