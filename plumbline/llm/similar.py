@@ -15,9 +15,10 @@ go on if two bounds that lose nothing allow: sizes, and the parities of 256 clas
 which no more can differ than shingles do. They are confirmed by counting their shingles in full.
 
 At first each text is held against its closest partner only; what is linked then is one component,
-and only buckets with several components go on. While these have many pairs across components, as
-in a crowd of near copies, each text is held against its closest partner in another component, in
-chunks that are dealt anew; at last every pair across components is.
+and only buckets with several components go on. If these have many pairs across components, as in a
+crowd of near copies, each text is held against its closest partner in another component, in chunks
+that are dealt anew (more such rounds linked few on a crowd of thousands); at last every pair across
+components is.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ SAMPLE, COMMON, NAMED = 5000, 3, 200_000
 PARITY = 256
 PARITIES = [f"p{k}" for k in range(PARITY // 64)]
 #: Rows of a bucket that are compared together; rounds of closest partners, while pairs are over so many times the rows.
-BUCKET, ROUNDS, MANY = 2048, 6, 8
+BUCKET, ROUNDS, MANY = 2048, 2, 8
 
 
 def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
