@@ -198,30 +198,30 @@ def _counted(column: pa.Array, restorer: Restorer, place: np.ndarray | None = No
     With ``place`` pieces come as their places in it, those without one not at all. A text of over a
     megabyte is read in segments that end behind a word.
     """
-    held, words, done = [], np.zeros(1, np.int64), None
+    held, words, done = np.zeros(0, np.int64), np.zeros(1, np.int64), None
+
+    def whole() -> tuple:
+        piece = np.flatnonzero(held)
+        return done, done + 1, np.zeros(len(piece), np.int64), piece, held[piece], words
+
     for lo, hi, raw, at, _ in wt.parts(column, 0, 1 << 20):
-        if held and lo != done:  # the long text before is complete
-            yield done, done + 1, *_summed(held), words
-            held, words, done = [], np.zeros(1, np.int64), None
+        if done is not None and lo != done:  # the long text before is complete
+            yield whole()
+            done = None
         text, new_at, n_words = restored(raw, at, restorer)
         piece, doc = pieces(text, new_at)
         if place is not None:
             piece = place[piece]
             doc, piece = doc[piece >= 0], piece[piece >= 0]
-        cell, count = np.unique(doc << SPACE_BITS | piece, return_counts=True)
-        if lo == done or hi - lo == 1 and len(raw) > 1 << 19:
-            held, words, done = [*held, (cell, count)], words + n_words, lo
+        if lo == done:
+            held, words = held + np.bincount(piece, minlength=1 << SPACE_BITS), words + n_words
+        elif hi - lo == 1 and len(raw) > 1 << 19:
+            held, words, done = np.bincount(piece, minlength=1 << SPACE_BITS), n_words, lo
         else:
+            cell, count = np.unique(doc << SPACE_BITS | piece, return_counts=True)
             yield lo, hi, cell >> SPACE_BITS, cell & ((1 << SPACE_BITS) - 1), count, n_words
-    if held:
-        yield done, done + 1, *_summed(held), words
-
-
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text 0, pieces and their numbers over all segments of a text."""
-    cell, where = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    count = np.bincount(where, np.concatenate([n for _, n in parts]), minlength=len(cell)).astype(np.int64)
-    return np.zeros(len(cell), np.int64), cell, count
+    if done is not None:
+        yield whole()
 
 
 def _values(hit: np.ndarray, text: np.ndarray, count: np.ndarray, n_words: np.ndarray, n: int) -> np.ndarray:
