@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Used only where the session names no folder and all executors are threads of the driver.
 LOCAL_FOLDER = "/tmp/checkpoints/plumbline"
+#: Files of a table, as a multiple of the cores, where there are more partitions.
+TASKS = 4
 #: Shuffle files go when the statement that made them has ended.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -37,14 +39,16 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Unlike a cached table the files outlive any executor. They go when the driver ends, or with
-    ``unstash``; what was shuffled to make them goes at once, as nothing asks for it again.
+    ``unstash``; what was shuffled to make them goes at once, as nothing asks for it again. Partitions
+    that outnumber the cores by far are written some to a file.
     """
     spark = df.sparkSession
+    most = TASKS * spark.sparkContext.defaultParallelism
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEAN_UP, "false")
     spark.conf.set(CLEAN_UP, "true")
     try:
-        df.write.parquet(path)
+        df.coalesce(most).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     finally:
         spark.conf.set(CLEAN_UP, before)
     atexit.register(remove_path, spark, path)

@@ -37,8 +37,8 @@ def test_white_space_and_normal_form(spark):
 
 def test_captions(spark):
     values = ["fine", "", None, "1234", "a 한", "Note: x", '{"a"', "ªb", "a <think>"]
-    assert column(spark, values, ft.english_issues)[1:4] == [["caption_not_nonempty_string"]] * 2 + [["caption_has_no_latin_letter"]]
-    assert column(spark, values, ft.english_issues)[4:7] == [["caption_contains_non_latin_script"], ["caption_contains_translation_metadata"], ["caption_looks_like_json"]]
+    assert column(spark, values, ft.english_issues)[1:4] == [["caption_not_nonempty_string"]] * 2 + [["caption_has_no_latin_letters"]]
+    assert column(spark, values, ft.english_issues)[4:7] == [["caption_contains_non_latin_script"], ["caption_contains_translation_metadata"], ["caption_contains_nested_structure"]]
     assert column(spark, values, ft.cache_screen) == [True, False, False, False, False, True, True, True, True]
     assert column(spark, values, ft.prompt_screen) == [True, False, False, False, False, True, True, True, False]
     assert column(spark, ["one", "../escape", "-a", "a" * 151, "a" * 152, "a\n", None], ft.safe_id) == [True, False, False, True, False, False, False]
