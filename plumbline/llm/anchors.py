@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as wt
-from .store import stash
+from .store import stash, unstash
 
 U = np.uint64
 #: Windows that are looked at together; their number fits the low bits of a key.
@@ -157,7 +157,9 @@ def candidates(docs: DataFrame, items: Items, repeated: Column) -> DataFrame:
     found = stash(anchor_hashes(docs, items), "anchors")
     twice = found.groupBy("h").agg(repeated.alias("twice")).where("twice").select("h")
     lists = found.join(twice.hint("merge"), "h").groupBy(F.col("id").alias("_id")).agg(F.collect_list("h").alias("hs"))
-    return stash(docs.join(lists.hint("merge"), F.col("id").eqNullSafe(F.col("_id"))).select("id", "text", "hs"), "candidates")
+    out = stash(docs.join(lists.hint("merge"), F.col("id").eqNullSafe(F.col("_id"))).select("id", "text", "hs"), "candidates")
+    unstash(found)
+    return out
 
 
 def pieces(cand: DataFrame, items: Items) -> DataFrame:
@@ -273,9 +275,9 @@ def _runs_of(distinct: DataFrame, items: Items, compare: Compare, over: Column,
         return compared(distinct, compare, kind)
     few = compared(distinct.join(large, "h", "left_anti"), compare, kind)
     cut = stash(split_pieces(distinct.join(large, "h", "left_semi"), items, sizes[0]).withColumn("key", _key()), "ranges")
-    inner = stash(_runs_of(_distinct(cut, over), items, compare, over, crowd, sizes[1:]).where(F.size("runs") > 0), "inner")
+    inner = _runs_of(_distinct(cut, over), items, compare, over, crowd, sizes[1:]).where(F.size("runs") > 0)
     moved = F.transform("runs", lambda r: F.struct((r["a"] + F.col("off")).alias("a"), (r["b"] + F.col("off")).alias("b"), r["v"].alias("v")))
-    back = cut.select("parent", "off", "key").join(inner, "key").groupBy(F.col("parent").alias("key")).agg(F.flatten(F.collect_list(moved)).alias("runs"))
+    back = cut.select("parent", "off", "key").join(inner.hint("merge"), "key").groupBy(F.col("parent").alias("key")).agg(F.flatten(F.collect_list(moved)).alias("runs"))
     return few.unionByName(back)
 
 
@@ -287,6 +289,5 @@ def judged(found: DataFrame, items: Items, value: Column, compare: Compare, over
     found = stash(found.withColumn("key", _key()), "pieces")
     width = items.window - items.gram + 1
     sizes = tuple(x for x in (64, 8, 1) if x < width)
-    runs = _runs_of(_distinct(found, value), items, compare, over, crowd, sizes)
-    runs = stash(runs.where(F.size("runs") > 0), "runs")
+    runs = _runs_of(_distinct(found, value), items, compare, over, crowd, sizes).where(F.size("runs") > 0)
     return found.select("id", "start", "key").join(runs.hint("merge"), "key").select("id", "start", "runs")
