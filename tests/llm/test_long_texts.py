@@ -22,7 +22,15 @@ SIZE = 20 << 20
 @pytest.fixture(scope="module")
 def words():
     r = np.random.RandomState(4)
-    return [f"{a:x}" for a in r.randint(16**4, 16**6, SIZE // 7 + 1)]
+    letters = str.maketrans("0123456789", "ghijklmnop")
+    return " ".join(f"{a:x}" for a in r.randint(16**4, 16**6, SIZE // 7 + 1)).translate(letters).split()
+
+
+class Plain:
+    """Restores nothing: the search is not what is measured here."""
+
+    def restore(self, word):
+        return word
 
 
 def peak(f):
@@ -42,7 +50,7 @@ def test_memory_beside_the_text(words):
         (lambda: sum(len(x[6]) for x in _grouped(column, Words())), 4),
         (lambda: sum(len(x[6]) for x in _grouped(column, Bytes())), 4),
         (lambda: toxicity.letter_counts(column), 4),
-        (lambda: sum(len(x[3]) for x in toxicity._counted(column, toxicity.Restorer(np.zeros(toxicity.K**3)))), 9),
+        (lambda: sum(len(x[3]) for x in toxicity._counted(column, Plain())), 9),
         (lambda: rules.counts(column), 20),
         (lambda: quality.features(column), 24),
         (lambda: similar.shingle_sets(column), 9),

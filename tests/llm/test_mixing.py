@@ -51,3 +51,12 @@ def test_mix_meets_targets(spark):
     for s in by.values():
         assert s[0] == s[3] and abs(s[1] - s[2]) <= s[4] + 1e-6
     assert mix(docs.limit(0)).count() == 0
+
+
+def test_long_texts_and_repeated_ids(spark):
+    rows = [(1, "w " * 1_000_000, "a"), (2, "x" * 5_000_000, "a"), (3, "a b", "a"), (3, "a b", "a"), (3, "c", "b"), (None, "d e f", "b"), (None, "g", None)]
+    out = sorted(mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect(), key=str)
+    assert len(out) == len(rows) and mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).columns[:5] == ["doc_id", "size", "source_size", "target", "taken"]
+    assert {x.size for x in out if x.doc_id in (1, 2)} == {1_000_000, 1}
+    twice = [x.taken for x in out if x.doc_id == 3 and x.source == "a"]
+    assert len(twice) == 2 and twice[0] == twice[1] and all(x.taken <= 2 * x.size for x in out)

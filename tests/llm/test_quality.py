@@ -50,3 +50,26 @@ def test_features_of_each_text_alone():
     texts = ["a a a b", None, "", "X!! Y!!", "l1\nl1\n| x", "é" * 10]
     alone = np.concatenate([q.features(pa.array([t], pa.string())) for t in texts])
     assert np.allclose(q.features(pa.array(texts)), alone)
+
+
+def test_features_by_their_definitions():
+    import math
+    import re
+
+    def plain(t):
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        n, size, letters = max(len(w), 1), max(len(t.encode()), 1), max(sum(c.isascii() and c.isalpha() or not c.isascii() for c in t), 1)
+        runs = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+        lines = t.split("\n")
+        full = [x + "\n" * (i < len(lines) - 1) for i, x in enumerate(lines)]  # a line ends with its break
+        full = full[:-1] if not full[-1] else full
+        return [
+            math.log1p(len(w)), sum(map(len, w)) / n, sum("A" <= c <= "Z" for c in t) / letters, sum(c in "#*$%&|<>" for c in t) / size, sum("0" <= c <= "9" for c in t) / size,
+            sum(x[-1] in ".!?,;:" for x in w) / n, sum(a == b for a, b in zip(w, w[1:], strict=False)) / n, (len(runs) - len(set(runs))) / n, (len(full) - len(set(full))) / (t.count("\n") + 1),
+            1 - (len(w) - len(set(w))) / n, math.log1p(len(w) / (t.count("\n") + 1)), sum(x in "#*$%&|<>" for x in w) / n, t.count("!") / n,
+        ]
+
+    r = random.Random(1)
+    texts = ["", None, "one", "A b A b A b!", "x\nx\ny\n", "# | 12 é", "a\n\n\na"] + ["".join(r.choice(["ab", "Cd", "é", "#", "9", "!", "."]) + r.choice(["", " ", "\n", "\t"]) for _ in range(r.randrange(300))) for _ in range(60)]
+    assert np.allclose(q.features(pa.array(texts, pa.string())), np.array([plain(t) for t in texts]))

@@ -34,3 +34,16 @@ def test_counts_and_hosts(spark):
     assert all(out[1000 + i].kept for i in range(40))
     assert not out[2000].base_failed and not out[2000].kept and out[2002].host_rate <= 0.7
     assert quality_rules(docs.limit(0)).count() == 0
+
+
+def test_null_ids_and_a_host_far_over_the_mean(spark):
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, good, "h0"), (None, None, "h0"), (None, good, None)]
+    rows += [(100 * h + k, good if k % 50 else "short", f"h{h}") for h in range(8) for k in range(100)]
+    rows += [(5000 + k, good if k % 5 < 3 else "short", "poor") for k in range(200)]
+    out = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(out) == len(rows) and sum(x.doc_id is None for x in out) == 3
+    # 40 per cent fail: below half, but over three times the mean of hosts
+    poor = [x for x in out if x.doc_id is not None and x.doc_id >= 5000]
+    assert not any(x.kept for x in poor) and 0.3 < poor[0].host_rate < 0.5
+    assert all(x.kept != x.base_failed for x in out if x.doc_id is not None and x.doc_id < 5000)
