@@ -6,15 +6,15 @@ scanned in order, and a suffix's predecessor that is no smaller goes to the next
 own bucket. Both work on vectors. Neighbours with a common prefix of a window's length then mark
 all repeated windows of the block exactly.
 
-Blocks hold the distinct pieces of text around repeated anchors (see ``anchors``), so all places
-of a repeated string are in one block, and text that does not repeat is never sorted.
+Blocks hold the pieces of text around repeated anchors (see ``anchors``), each once or, if it came
+from several places, twice; so all places of a repeated string are in one block, the common
+prefixes of neighbours decide about each, and text whose anchors do not repeat is never sorted.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -169,14 +169,10 @@ def flag_runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def _compare(length: int):
     def compare(hashes: list[int], bodies: list[bytes], values: list[int]) -> list[list[tuple]]:
-        # equal pieces came as one with their number; what is the same everywhere needs no sorting
-        runs = [[(0, len(b) - length, 2)] if v > 1 else [] for b, v in zip(bodies, values, strict=True)]
-        groups = (list(own) for _, own in groupby(range(len(bodies)), key=hashes.__getitem__))
-        other = [i for own in groups if len(own) > 1 for i in own]
-        for i, flags in zip(other, repeated_starts([bodies[i] for i in other], length) if other else [], strict=True):
-            if values[i] == 1:
-                runs[i] = [(x, y, 2) for x, y in flag_runs(flags)]
-        return runs
+        # a piece that came from several places is sorted as two, so the array shows that it repeats
+        copies = np.minimum(values, 2)
+        flags = repeated_starts([b for b, c in zip(bodies, copies, strict=True) for _ in range(c)], length)
+        return [[(x, y, 2) for x, y in flag_runs(flags[k])] for k in np.cumsum(copies) - 1]
 
     return compare
 

@@ -132,3 +132,23 @@ def test_each_window_has_one_anchor(monkeypatch):
         want = [(i, i + int(np.argmin(names[i : i + 17]))) for a, b in zip(first, first[1:], strict=False) for i in range(a, b - 19)]
         assert sorted(served) == want
     assert Words(50).window == 50 and Bytes(400).gram == 128
+
+
+def test_nothing_goes_that_the_structures_do_not_report(monkeypatch):
+    words = " ".join(f"w{i}" for i in range(20)).encode()
+    lone, equal = sd._compare(12), sa._compare(48)
+    assert lone([7], [words], [3]) == [[(0, 8, 3)]]
+    assert equal([7, 8], [words, words + b"x"], [2, 1]) == [[(0, len(words) - 48, 2)], [(0, len(words) - 48, 2)]]
+    assert equal([7], [words], [1]) == [[]]
+    monkeypatch.setattr(sd.Automaton, "windows", lambda *_: iter(()))
+    monkeypatch.setattr(sa, "repeated_starts", lambda bodies, length: [np.zeros(len(b) - length + 1, bool) for b in bodies])
+    assert lone([7], [words], [3]) == [[]] and equal([7], [words], [5]) == [[]]
+
+
+def test_shards_hold_whole_anchors(monkeypatch):
+    monkeypatch.setattr(sd, "SHARD", 10)
+    a, b = (" ".join(f"{c}{i}" for i in range(15)) for c in "ab")
+    bodies = [x.encode() for x in (a, "x " + a, b, b + " y")]
+    out = sd._compare(12)([1, 1, 2, 2], bodies, [5, 4, 1, 9])
+    least = [{w: v for lo, hi, v in runs for w in range(lo, hi + 1)} for runs in out]
+    assert least == [dict.fromkeys(range(4), 4), dict.fromkeys(range(5), 4), dict.fromkeys(range(4), 1), dict.fromkeys(range(4), 1) | {4: 9}]
