@@ -91,3 +91,9 @@ def adapter_issues(adapter: dict, wanted: dict, keys: tuple[str, ...]) -> list[s
         return config
 
     return [k for k in keys if value(adapter, k) != value(wanted, k)]
+
+
+def parameter_issues(values: dict, positive: tuple[str, ...] = (), not_negative: tuple[str, ...] = ()) -> list[str]:
+    """What is wrong with parameters that must be over 0, or at least 0; those that are None or not given are not judged."""
+    given = lambda names: [(n, values[n]) for n in names if values.get(n) is not None]
+    return [f"{n} must be positive" for n, v in given(positive) if not v > 0] + [f"{n} must not be negative" for n, v in given(not_negative) if not v >= 0]

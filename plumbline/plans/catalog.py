@@ -11,7 +11,7 @@ from ..functions import arrays as fa
 from ..functions import text as ft
 from ..functions.identity import identity_keys
 from ..functions.isbn import canonical_isbn, filename_identity
-from ..operators import dedupe, gallery, gates, journal, lineage, resolve, schedule, select, split
+from ..operators import cache, dedupe, gallery, gates, journal, lineage, resolve, schedule, select, split
 from ..operators.components import group_ids, link_rows
 from ..tables import stash
 
@@ -695,3 +695,49 @@ def gallery_lines(spark, sf_dir):
     rows = select.conditions(table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("caption")), ["base", "adapted"], [17, 18])
     image = F.concat("condition", F.lit("/"), F.col("doc_id").cast("string"), F.lit("_"), F.col("seed").cast("string"), F.lit(".png"))
     return gallery.paired_gallery(rows.withColumn("image", image), "doc_id", "seed", "condition", "image", "caption")
+
+
+@query(
+    """SELECT doc_id AS id, CASE doc_id % 5 WHEN 2 THEN 'feature_path_outside_cache' WHEN 4 THEN 'feature_path_outside_cache' ELSE 'missing_or_changed_feature' END AS reason
+    FROM documents WHERE doc_id % 5 IN (2, 3, 4)"""
+)
+def feature_issues(spark, sf_dir):
+    docs, number, turn = table(spark, sf_dir, "documents"), F.col("doc_id").cast("string"), F.col("doc_id") % 5
+    prefix = F.when(turn == 0, "f/").when(turn == 1, "g/.././f//").when(turn == 2, "f/../../f/").when(turn == 3, "f/").otherwise("/elsewhere/f/")
+    digest = ft.digest(F.col("text"))
+    records = docs.select(F.col("doc_id").alias("id"), F.concat(prefix, number).alias("feature_file"), F.when(turn == 3, "0").otherwise(digest).alias("feature_sha256"))
+    return cache.feature_issues(records, docs.select(F.concat(F.lit("/cache/f/"), number).alias("path"), digest.alias("sha256")), "/cache")
+
+
+@query("SELECT split, count(*) AS n FROM (SELECT CASE WHEN c_custkey % 10 = 0 THEN 'validation' ELSE 'train' END AS split FROM customer WHERE c_custkey % 10 <> 1) GROUP BY split")
+def admitted_records(spark, sf_dir):
+    split_ = F.when(F.col("c_custkey") % 10 == 0, "validation").when(F.col("c_custkey") % 10 == 1, "test").otherwise("train")
+    number = F.col("c_custkey").cast("string")
+    records = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ordinal"), number.alias("id"), split_.alias("split"), number.alias("group"), F.lit(None).cast("string").alias("image_sha256"), number.alias("feature_file"), number.alias("feature_sha256"))
+    training, validation = cache.admit({"status": "complete"}, records)
+    return training.unionByName(validation).groupBy("split").agg(F.count("*").alias("n"))
+
+
+@query(
+    r"""SELECT doc_id, 'In: ' || source || ' ' || lang AS prompt, len(string_split_regex(trim('In: ' || source || ' ' || lang), '\s+'))::INT AS tokens,
+      7 + row_number() OVER (ORDER BY doc_id) - 1 AS seed, CASE WHEN len(string_split_regex(trim('In: ' || source || ' ' || lang), '\s+')) > 2 THEN 'prompt_too_long' END AS issue FROM documents"""
+)
+def prompt_audit(spark, sf_dir):
+    prompts = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws(" ", "source", "lang").alias("imageCaption"))
+    return gallery.prompt_audit(prompts, "In: ", "imageCaption", "doc_id", 7, 2).drop("imageCaption")
+
+
+@query("""SELECT doc_id, '<p>' || source || ' &lt;' || lang || '&gt;</p><img loading="lazy" src="' || doc_id || '.png">' AS html FROM documents""")
+def prompt_gallery(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit(" <"), "lang", F.lit(">")).alias("imageCaption"), F.concat(F.col("doc_id").cast("string"), F.lit(".png")).alias("image"))
+    return gallery.prompt_gallery(rows, "imageCaption", "image", "doc_id")
+
+
+@query(
+    r"""SELECT page_id, '/' || array_to_string(list_filter(string_split(regexp_replace(url, '^[a-z]+://[^/]+', '') , '/'), lambda p: p <> ''), '/') AS resolved, page_id % 3 <> 1 AS inside FROM pages"""
+)
+def resolved_paths(spark, sf_dir):
+    path = F.regexp_replace("url", "^[a-z]+://[^/]+", "")
+    odd = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("/x/.."), path)).when(F.col("page_id") % 3 == 1, F.concat(F.lit("/../."), path)).otherwise(F.concat(F.lit("//"), path))
+    inner = F.when(F.col("page_id") % 3 == 1, F.concat(F.lit("/root/../rooted"), path)).otherwise(F.concat(F.lit("/root/a/.."), path))
+    return table(spark, sf_dir, "pages").select("page_id", ft.resolved(odd).alias("resolved"), ft.contained(inner, F.lit("/root")).alias("inside"))

@@ -11,7 +11,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import basename, strict_object
+from ..functions.text import basename, cache_screen, strict_object
 
 #: Suffixes of image files (fixed values).
 IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png", ".webp", ".bmp", ".tif", ".tiff")
@@ -56,15 +56,19 @@ def checked_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = Tr
     return read_jsonl(spark, path, schema, strict), None
 
 
-def read_splits(spark: SparkSession, folder: str, schema: str, check: bool = False) -> DataFrame:
+def read_splits(spark: SparkSession, folder: str, schema: str, check: bool = False, screen: bool = False) -> DataFrame:
     """Three mandatory files train, validation and test of a folder, with ``split``.
 
-    With ``check`` a row's own ``split`` must be its file's. A missing file is Spark's path error.
+    With ``check`` a row's own ``split`` must be its file's, with ``screen`` its ``caption`` one that may be
+    cached; others are an error that names the place. A missing file is Spark's path error.
     """
     parts = []
     for name in SPLITS:
         rows = read_jsonl(spark, f"{folder.rstrip('/')}/{name}.jsonl", schema)
         own = F.when(F.col("split").eqNullSafe(F.lit(name)), F.lit(name)).otherwise(F.raise_error(F.lit(f"a row of {name}.jsonl names another split"))) if check else F.lit(name)
+        if screen:
+            place = F.concat(F.col("_path"), F.lit(":"), F.col("_ordinal").cast("string"), F.lit(" has a caption that may not be cached"))
+            rows = rows.withColumn("caption", F.when(cache_screen(F.col("caption")), F.col("caption")).otherwise(F.raise_error(place)))
         parts.append(rows.withColumn("split", own))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

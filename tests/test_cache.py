@@ -64,6 +64,20 @@ def test_adapter_settings():
     assert cache.adapter_issues({"model_id": "m", "cache_config": {"prefix": "q"}}, wanted, keys) == list(keys[1:])
 
 
+def test_parameters():
+    assert cache.parameter_issues({"rank": 8, "epochs": None, "rate": 1e-4, "warmup": 0}, ("rank", "epochs", "rate", "steps"), ("warmup",)) == []
+    assert cache.parameter_issues({"rank": 0, "rate": float("nan"), "warmup": -1}, ("rank", "rate"), ("warmup",)) == ["rank must be positive", "rate must be positive", "warmup must not be negative"]
+
+
+def test_captions_of_prepared_splits(spark, tmp_path):
+    for name, caption in (("train", "fine"), ("validation", "fine"), ("test", "한")):
+        with open(f"{tmp_path}/{name}.jsonl", "w", encoding="utf-8") as f:
+            f.write(json.dumps({"caption": caption, "split": name}) + "\n")
+    assert src.read_splits(spark, str(tmp_path), "caption string, split string", check=True).count() == 3
+    with pytest.raises(Exception, match="may not be cached"):
+        src.read_splits(spark, str(tmp_path), "caption string, split string", screen=True).select("caption").collect()
+
+
 def test_resolved_paths(spark):
     df = spark.createDataFrame([("/a/b/../c",), ("/a//./b/",), ("/../x",), ("/a/../../b",)], "p string")
     assert [r[0] for r in df.select(resolved(F.col("p"))).collect()] == ["/a/c", "/a/b", "/x", "/b"]
