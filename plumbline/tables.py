@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 #: Used only where the session names no folder and all executors are threads of the driver.
 LOCAL_FOLDER = "/tmp/checkpoints/plumbline"
-#: Files of a table, as a multiple of the cores, where there are more partitions.
-TASKS = 4
+#: Files of a table where it has more partitions: so many for each core at least, and one for each so many scan partitions of its input.
+PER_CORE, SCANS = 4, 2
 #: Shuffle files go when the statement that made them has ended.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -35,20 +35,27 @@ def remove_path(spark: SparkSession, path: str) -> None:
         pass
 
 
+def _files(df: DataFrame) -> int:
+    """How many files a table may have: partitions that are small against its input are written some to a file."""
+    spark = df.sparkSession
+    scan = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return min(max(PER_CORE * spark.sparkContext.defaultParallelism, size // (SCANS * scan)), 2**31 - 1)
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Unlike a cached table the files outlive any executor. They go when the driver ends, or with
-    ``unstash``; what was shuffled to make them goes at once, as nothing asks for it again. Partitions
-    that outnumber the cores by far are written some to a file.
+    ``unstash``; what was shuffled to make them goes at once, as nothing asks for it again.
     """
     spark = df.sparkSession
-    most = TASKS * spark.sparkContext.defaultParallelism
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEAN_UP, "false")
     spark.conf.set(CLEAN_UP, "true")
     try:
-        df.coalesce(most).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+        df.coalesce(_files(df)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     finally:
         spark.conf.set(CLEAN_UP, before)
     atexit.register(remove_path, spark, path)
