@@ -6,9 +6,9 @@ scanned in order, and a suffix's predecessor that is no smaller goes to the next
 own bucket. Both work on vectors. Neighbours with a common prefix of a window's length then mark
 all repeated windows of the block exactly.
 
-Blocks hold the pieces of text around repeated anchors (see ``anchors``), each once or, if it came
-from several places, twice; so all places of a repeated string are in one block, the common
-prefixes of neighbours decide about each, and text whose anchors do not repeat is never sorted.
+Blocks hold the pieces of text around repeated anchors (see ``anchors``), equal ones as one with
+their number, which counts as neighbours; so all places of a repeated string are in one block, every
+piece is sorted, and text whose anchors do not repeat is not.
 """
 
 from __future__ import annotations
@@ -142,8 +142,11 @@ def suffix_array(data: np.ndarray, reach: np.ndarray | None = None) -> np.ndarra
     return sa
 
 
-def repeated_starts(bodies: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each body, flags of the places where a string of ``length`` bytes starts that starts elsewhere too."""
+def repeated_starts(bodies: list[bytes], length: int = LENGTH, places: list[int] | None = None) -> list[np.ndarray]:
+    """For each body, flags of the places where a string of ``length`` bytes starts that starts elsewhere too.
+
+    A body may stand for several equal ones; each of its suffixes then is as many neighbours in the array.
+    """
     sizes = np.array([len(b) for b in bodies], np.int64)
     data = np.frombuffer(b"\0".join(bodies) + b"\0", np.uint8)
     ends = np.cumsum(sizes + 1) - 1
@@ -159,6 +162,8 @@ def repeated_starts(bodies: list[bytes], length: int = LENGTH) -> list[np.ndarra
             break
     hit = np.zeros(len(data), bool)
     hit[a[live]] = hit[b[live]] = True
+    if places is not None:
+        hit[sa[np.repeat(np.array(places) > 1, sizes + 1)[sa]]] = True
     return [hit[e - s : e - s + max(0, s - length + 1)] for s, e in zip(sizes, ends, strict=True)]
 
 
@@ -169,10 +174,7 @@ def flag_runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def _compare(length: int):
     def compare(hashes: list[int], bodies: list[bytes], values: list[int]) -> list[list[tuple]]:
-        # a piece that came from several places is sorted as two, so the array shows that it repeats
-        copies = np.minimum(values, 2)
-        flags = repeated_starts([b for b, c in zip(bodies, copies, strict=True) for _ in range(c)], length)
-        return [[(x, y, 2) for x, y in flag_runs(flags[k])] for k in np.cumsum(copies) - 1]
+        return [[(x, y, 2) for x, y in flag_runs(flags)] for flags in repeated_starts(bodies, length, values)]
 
     return compare
 

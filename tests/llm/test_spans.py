@@ -141,7 +141,7 @@ def test_nothing_goes_that_the_structures_do_not_report(monkeypatch):
     assert equal([7, 8], [words, words + b"x"], [2, 1]) == [[(0, len(words) - 48, 2)], [(0, len(words) - 48, 2)]]
     assert equal([7], [words], [1]) == [[]]
     monkeypatch.setattr(sd.Automaton, "windows", lambda *_: iter(()))
-    monkeypatch.setattr(sa, "repeated_starts", lambda bodies, length: [np.zeros(len(b) - length + 1, bool) for b in bodies])
+    monkeypatch.setattr(sa, "repeated_starts", lambda bodies, length, places: [np.zeros(len(b) - length + 1, bool) for b in bodies])
     assert lone([7], [words], [3]) == [[]] and equal([7], [words], [5]) == [[]]
 
 
