@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.bpe import encode
-from plumbline.llm.columns import WORD
+from plumbline.llm.columns import WORD, spare
 from plumbline.llm.line_dedup import line_dedup
 from plumbline.llm.mixing import mix
 from plumbline.llm.queries import documents, labels, remainder, tokenizer_path
@@ -21,12 +21,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose restored text scores below ``TOXIC_FROM``, as they are."""
     # the fold that the classifier's own query holds out is not learned from here either
     model = train(docs, labels(spark, sf_dir), F.coalesce(remainder(5) != 0, F.lit(False)))
-    toxic = score(docs, model).where(F.col("score") >= TOXIC_FROM).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stash(toxic, "toxic").hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    i = spare("_id", docs.columns)
+    toxic = score(docs, model).where(F.col("score") >= TOXIC_FROM).select(F.col("doc_id").alias(i)).distinct()
+    return docs.join(stash(toxic, "toxic").hint("merge"), F.col("doc_id").eqNullSafe(F.col(i)), "left_anti")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated chunks of lines; those of which no word is left go."""
+    """Documents without repeated chunks of lines and what repeats beside them; those of which no word is left go."""
     cut = line_dedup(docs).where((F.col("n_chunks_removed") == 0) | F.col("text").rlike(WORD))
     n_chars = F.when(F.col("n_chunks_removed") == 0, F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
     return cut.withColumn("n_chars", n_chars).select(*docs.columns)
@@ -39,10 +40,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    copies = mix(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "copies").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    taken = docs.join(stash(copies, "copies").hint("merge"), same)
-    return taken.select(*[taken[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).drop("_copy")
+    i, s, n = (spare(x, docs.columns) for x in ("_id", "_source", "_copies"))
+    copies = mix(docs).where("copies > 0").select(F.col("doc_id").alias(i), F.col("source").alias(s), F.col("copies").cast("int").alias(n)).distinct()
+    taken = docs.join(stash(copies, "copies").hint("merge"), F.col("doc_id").eqNullSafe(F.col(i)) & F.col("source").eqNullSafe(F.col(s)))
+    return taken.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
