@@ -12,6 +12,7 @@ from test_toxicity import BAD
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
+from pyspark.sql import functions as F
 from plumbline.llm.columns import WORD
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -76,6 +77,17 @@ def test_stages(spark, folder):
     assert WORD
 
 
+def test_columns_of_any_name(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for c in ("_id", "_source", "_copies", "node", "h", "score", "copies"):
+        docs = docs.withColumn(c, F.lit(c))
+    for _, stage in cp.STAGES[:-1]:
+        docs = cp.stash(stage(spark, docs, folder), "test")
+    row = docs.first()
+    assert docs.count() > 100 and all(row[c] == c for c in docs.columns[5:])
+    assert cp.STAGES[-1][1](spark, docs, folder).count() == docs.count()
+
+
 def test_run_and_empty_table(spark, folder, tmp_path):
     assert cp.run(spark, folder).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
