@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode
+from .columns import WORD
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
-from .mixing import mix
+from .mixing import mix, source_targets
 from .quality import score as score_quality
 from .quality import train as train_quality
 from .rules import quality_rules
@@ -46,6 +47,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chunks_removed", "n_lines_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op4 that SQL can express."""
+    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
+    sizes = documents(spark, sf_dir).groupBy("source").agg(F.sum(size).alias("source_size"))
+    return source_targets(sizes).select("source", "source_size", F.round("target", 3).alias("target"))
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
@@ -97,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array": op8_suffix_array,
     "op9_bpe": op9_bpe,
     "op10_quality_rules": op10_quality_rules,
+    "mixing_targets": mixing_targets,
 }
 
 ORACLES: dict[str, str] = {
@@ -134,6 +143,14 @@ ORACLES: dict[str, str] = {
         )
         SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, spans::BIGINT AS n_spans, sha256(unhex(rest)) AS kept_sha256 FROM e
     """,
+    "mixing_targets": r"""
+        WITH s AS (SELECT source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT AS source_size FROM documents GROUP BY source),
+        w AS (SELECT *, 2.0 * source_size AS cap, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS w FROM s),
+        l AS (SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+          FROM w WINDOW o AS (ORDER BY cap / w, source NULLS LAST)),
+        f AS (SELECT arg_min(level, cap / w) AS level FROM l WHERE level * w <= cap)
+        SELECT source, source_size, round(coalesce(least(cap, w * f.level), cap), 3) AS target FROM l, f
+    """,
     "op10_quality_rules": r"""
         WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS t FROM documents),
         w AS (SELECT doc_id, host, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
