@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .bpe import encode
 from .columns import WORD
 from .exact_dedup import exact_dedup
+from .hard_negatives import hard_negatives
 from .line_dedup import line_dedup
 from .mixing import mix, source_targets
 from .quality import score as score_quality
@@ -94,6 +95,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
@@ -105,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array": op8_suffix_array,
     "op9_bpe": op9_bpe,
     "op10_quality_rules": op10_quality_rules,
+    "op11_hard_negatives": op11_hard_negatives,
     "mixing_targets": mixing_targets,
 }
 
@@ -175,4 +183,20 @@ ORACLES: dict[str, str] = {
           NOT base_failed AND host_rate <= (SELECT round(least(greatest(3 * m, 0.25), 0.5), 9) FROM k) AS kept
         FROM b JOIN r ON b.host IS NOT DISTINCT FROM r.host
     """,
+    "op11_hard_negatives": r"""
+        WITH v AS (
+          SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+          FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+          SELECT a.r, a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, b.r AS other, list_dot_product(a.q, b.q)::BIGINT AS score
+          FROM v AS a JOIN v AS b ON a.vec_id % 50 = 0 AND a.r != b.r
+        ), p AS (
+          SELECT r, anchor_id, id AS positive_id, other, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, id) <= 5
+        )
+        SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.r, p.other ORDER BY score DESC, id))::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON p.r = s.r AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY p.r, p.other ORDER BY score DESC, id) <= 3
+    """,
 }
