@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode
+from .collocations import collocations
 from .columns import WORD
 from .exact_dedup import exact_dedup
 from .hard_negatives import hard_negatives
@@ -101,6 +102,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
@@ -113,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_quality_rules": op10_quality_rules,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_collocations": op12_collocations,
     "mixing_targets": mixing_targets,
 }
 
@@ -199,4 +205,23 @@ ORACLES: dict[str, str] = {
         FROM p JOIN s ON p.r = s.r AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
         QUALIFY row_number() OVER (PARTITION BY p.r, p.other ORDER BY score DESC, id) <= 3
     """,
+    "op12_collocations": r"""
+        WITH p AS (
+          SELECT row_number() OVER () AS p, lang, piece FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+          )
+        ), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+        g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) AS g FROM w, (VALUES (1), (2), (3)) AS o(k)),
+        f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY lang, k, g),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (
+          SELECT c.lang, c.k, c.g, c.f AS a, x.f AS l, y.f AS r, j, (1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f))::BIGINT AS score
+          FROM (SELECT *, unnest(range(1, k)) AS j FROM f WHERE k > 1 AND f >= 10) AS c
+          JOIN f AS x ON x.lang = c.lang AND x.g = c.g[:j] JOIN f AS y ON y.lang = c.lang AND y.g = c.g[j + 1:]
+          QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, j) = 1
+        ), t AS (SELECT lang, part, max(a) AS most FROM (SELECT lang, a, unnest([g[1:2], g[2:3]]) AS part FROM c WHERE k = 3) GROUP BY lang, part),
+        s AS (SELECT c.lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM c LEFT JOIN t ON k = 2 AND t.lang = c.lang AND t.part = c.g WHERE most IS NULL OR 100 * most < 50 * a)
+        SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+        FROM s JOIN n USING (lang) QUALIFY rank <= 2000
+    """,
 }
