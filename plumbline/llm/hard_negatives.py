@@ -273,7 +273,7 @@ class _Search:
         found = _scored(self.near, self._groups(wins), self.blocks, self.dots, same, k)
         groups = self._groups(_raised(wins, found, k))
         tree = self._tree(groups.select(F.col("grp").alias("node"), "centre", "radius", "least", "n", "lo", "hi", "tie"), True)
-        pairs = tree[-1].select(F.col("node").alias("a"), F.lit(0).cast("long").alias("c"))
+        pairs = tree[-1].select(F.col("node").alias("a"), F.col("node").alias("c"))  # both roots are node 0
         for a, c in zip(reversed(tree), reversed(self.nodes), strict=True):
             pairs = _descend(pairs, a, c, self.dots.dim)
         rest = pairs.join(self.near.hint("merge"), ["a", "c"], "left_anti")
