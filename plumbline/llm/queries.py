@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .hard_negatives import hard_negatives
 from .line_dedup import line_dedup
 from .mixing import mix, source_targets
+from .overlap_join import similar_components
 from .quality import score as score_quality
 from .quality import train as train_quality
 from .rules import quality_rules
@@ -106,6 +107,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents(spark, sf_dir))
 
 
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
@@ -119,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_collocations": op12_collocations,
+    "op13_ngram_jaccard": op13_ngram_jaccard,
     "mixing_targets": mixing_targets,
 }
 
@@ -224,4 +230,17 @@ ORACLES: dict[str, str] = {
         SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
         FROM s JOIN n USING (lang) QUALIFY rank <= 2000
     """,
+    "op13_ngram_jaccard": r"""
+        WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        s AS (
+          SELECT r, md5(array_to_string(g, ' ')) AS s FROM (
+            SELECT r, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws] ELSE list_transform(range(1, len(ws) - 3), lambda i: ws[i:i + 4]) END) AS g FROM d
+          ) GROUP BY ALL
+        ), n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+        i AS (SELECT a.r AS x, b.r AS y, count(*) AS i FROM s AS a JOIN s AS b ON a.s = b.s AND a.r != b.r GROUP BY a.r, b.r),
+        e AS (SELECT x, y FROM i JOIN n AS p ON p.r = x JOIN n AS q ON q.r = y WHERE 100 * i >= 80 * (p.n + q.n - i)),
+        reach AS (SELECT r, r AS t FROM d UNION SELECT reach.r, e.y FROM reach JOIN e ON e.x = reach.t)
+        SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+        FROM d LEFT JOIN n ON n.r = d.r JOIN reach ON reach.r = d.r JOIN d AS o ON o.r = reach.t GROUP BY d.r, d.doc_id
+    """,
 }

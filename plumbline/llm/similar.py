@@ -59,17 +59,21 @@ def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
+def in_order(own: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """A set in the order of ``rank`` (0 for names not in ``common``), then of names."""
+    if not len(common) or not len(own):
+        return own
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    return own[np.argsort(np.where(common[at] == own, rank[at], 0), kind="stable")]
+
+
 def prefix(own: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, in the order of ``rank`` (0 for names not in ``common``), then of names."""
+    """The first shingles of a set, one of which every similar set has among its own."""
     n = len(own)
-    take = n - (NUMER * n + DENOM - 1) // DENOM + 1 if n else 0
-    if len(common) and n:
-        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-        own = own[np.argsort(np.where(common[at] == own, rank[at], 0), kind="stable")]
-    return own[:take]
+    return in_order(own, common, rank)[: n - (NUMER * n + DENOM - 1) // DENOM + 1 if n else 0]
 
 
-def _common(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+def common_names(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Names that a sample of rows has often, sorted, and their ranks by number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +89,7 @@ def _common(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, n
 
 def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """``id, h, n, node, check, fp``, PARITIES and ``prefix`` of each row; node and check are the digest of its set, h that of its text."""
-    common, rank = _common(docs, text_col, shingle)
+    common, rank = common_names(docs, text_col, shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -104,10 +108,20 @@ def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     facts = stash(source.mapInArrow(run, f"id {kind}, h bigint, n bigint, node bigint, check bigint, fp bigint, " + "".join(f"{c} bigint, " for c in PARITIES) + "prefix array<bigint>"), "facts")
-    # two sets with one half of their digests the same are named by the other half
-    twice = facts.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo != hi").select("node")
-    clash = [r.node for r in twice.limit(1000).collect()]  # one in 2^64 pairs of sets
-    return facts.withColumn("node", F.when(F.col("node").isin(clash), F.col("check")).otherwise(F.col("node"))) if clash else facts
+    return told_apart(facts)
+
+
+def told_apart(facts: DataFrame) -> DataFrame:
+    """Facts whose ``node`` stands for one set: sets that share it are named by ``check``, the other half of their digests."""
+    twice = stash(facts.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo != hi").select(F.col("node").alias("_clash")), "clashes")
+    if twice.isEmpty():  # all but certain: one in 2^64 pairs of sets clashes
+        return facts
+    named = facts.join(twice.hint("merge"), F.col("node") == F.col("_clash"), "left")
+    named = stash(named.withColumn("node", F.when(F.col("_clash").isNull(), F.col("node")).otherwise(F.col("check"))).drop("_clash"), "facts")
+    again = named.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).where("lo != hi")
+    if not again.isEmpty():
+        raise ValueError("sets of shingles clash in both halves of their digests")
+    return named
 
 
 def _pairs(rows: DataFrame, all_pairs: bool) -> DataFrame:
@@ -146,7 +160,7 @@ def _pairs(rows: DataFrame, all_pairs: bool) -> DataFrame:
     return stash(sorted_.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs")
 
 
-def _dealt(rows: DataFrame, turn: int, all_pairs: bool) -> DataFrame:
+def dealt(rows: DataFrame, turn: int, all_pairs: bool) -> DataFrame:
     """Rows with ``c`` in their bucket in chunks of about ``BUCKET``; to compare all, once for each pair of chunks that theirs is in."""
     n = F.ceil(F.col("c") / BUCKET * (2 if all_pairs else 1)).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(turn)), n).cast("int")
@@ -157,7 +171,7 @@ def _dealt(rows: DataFrame, turn: int, all_pairs: bool) -> DataFrame:
     return rows.withColumn("own", own).withColumn("other", F.explode(others)).withColumn("chunk", F.least("own", "other").cast("long") * (1 << 31) + F.greatest("own", "other"))
 
 
-class _Sets:
+class Sets:
     """The shingles of nodes, fetched once for each that a pair names."""
 
     def __init__(self, docs: DataFrame, best: DataFrame, id_col: str, text_col: str, shingle: int):
@@ -191,7 +205,7 @@ class _Sets:
         return stash(held.where(both * (DENOM + NUMER) >= (F.size("x") + F.size("y")) * NUMER).select("a", "b"), "similar")
 
 
-def _across(buckets: DataFrame, links: list[DataFrame]) -> tuple[DataFrame, bool]:
+def across(buckets: DataFrame, links: list[DataFrame]) -> tuple[DataFrame, bool]:
     """The rows of buckets with several roots, with these and their number ``c``, and whether pairs across roots are many."""
     tree = components(reduce(DataFrame.unionByName, links))
     rooted = buckets.drop("c", "root").join(tree.withColumnRenamed("node", "_node").hint("merge"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node")).drop("_node")
@@ -223,12 +237,12 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     held = stash(under.join(shared.hint("merge"), "key"), "held")
     buckets = stash(held.join(nodes.drop("prefix").hint("merge"), "node").withColumn("root", F.col("node")), "buckets")
     unstash(held, nodes)
-    sets = _Sets(docs, best, id_col, text_col, shingle)
-    links = [sets.similar(_pairs(_dealt(buckets, 0, False), False))]
+    sets = Sets(docs, best, id_col, text_col, shingle)
+    links = [sets.similar(_pairs(dealt(buckets, 0, False), False))]
     for turn in range(1, ROUNDS + 1):
-        mixed, many = _across(buckets, links)
+        mixed, many = across(buckets, links)
         few = not many or turn == ROUNDS
-        links.append(sets.similar(_pairs(_dealt(mixed, turn, few), few)))
+        links.append(sets.similar(_pairs(dealt(mixed, turn, few), few)))
         unstash(mixed)
         if few:
             break

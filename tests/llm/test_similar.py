@@ -71,8 +71,8 @@ def test_one_crowd_of_near_copies(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     tried = []
-    original = similar._Sets.similar
-    monkeypatch.setattr(similar._Sets, "similar", lambda self, pairs: (tried.append(pairs.count()), original(self, pairs))[1])
+    original = similar.Sets.similar
+    monkeypatch.setattr(similar.Sets, "similar", lambda self, pairs: (tried.append(pairs.count()), original(self, pairs))[1])
     assert sorted(x.doc_id for x in keep_one_similar(docs).collect()) == brute(rows)
     # far fewer than 79,800 pairs are counted in full
     assert len(tried) > 2 and sum(tried) < 20 * len(rows), tried
