@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.bpe import encode
@@ -17,13 +17,23 @@ from plumbline.llm.toxicity import score, train
 TOXIC_FROM = 0.5
 
 
+def _row() -> Column:
+    """What tells rows apart whose ids repeat or are null: the id, and a hash of the text."""
+    return F.struct("doc_id", F.xxhash64("text").alias("h"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose restored text scores below ``TOXIC_FROM``, as they are."""
+    """Documents whose restored text scores below ``TOXIC_FROM``, as they are, whatever rows share or lack an id."""
     # the fold that the classifier's own query holds out is not learned from here either
     model = train(docs, labels(spark, sf_dir), F.coalesce(remainder(5) != 0, F.lit(False)))
-    i = spare("_id", docs.columns)
-    toxic = score(docs, model).where(F.col("score") >= TOXIC_FROM).select(F.col("doc_id").alias(i)).distinct()
-    return docs.join(stash(toxic, "toxic").hint("merge"), F.col("doc_id").eqNullSafe(F.col(i)), "left_anti")
+    r = spare("_row", docs.columns)
+    scored = score(docs.select(_row().alias("row"), "text"), model, "row")
+    toxic = scored.where(F.col("score") >= TOXIC_FROM).select(F.col("row").alias(r)).distinct()
+    return docs.join(stash(toxic, "toxic").hint("merge"), _same(r), "left_anti")
+
+
+def _same(row: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(row)["doc_id"]) & (F.xxhash64("text") == F.col(row)["h"])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +49,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    i, s, n = (spare(x, docs.columns) for x in ("_id", "_source", "_copies"))
-    copies = mix(docs).where("copies > 0").select(F.col("doc_id").alias(i), F.col("source").alias(s), F.col("copies").cast("int").alias(n)).distinct()
-    taken = docs.join(stash(copies, "copies").hint("merge"), F.col("doc_id").eqNullSafe(F.col(i)) & F.col("source").eqNullSafe(F.col(s)))
+    """Each document as often as the mix takes it; equal rows are taken alike, and blank texts never."""
+    r, s, n = (spare(x, docs.columns) for x in ("_row", "_source", "_copies"))
+    mixed = mix(docs.select(_row().alias("row"), "text", "source"), "row")
+    copies = mixed.where("copies > 0").select(F.col("row").alias(r), F.col("source").alias(s), F.col("copies").cast("int").alias(n)).distinct()
+    taken = docs.join(stash(copies, "copies").hint("merge"), _same(r) & F.col("source").eqNullSafe(F.col(s)))
     return taken.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
 
 

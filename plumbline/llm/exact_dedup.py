@@ -42,13 +42,16 @@ def _exceptions(rows: DataFrame, level: int) -> tuple[DataFrame, int]:
     return found, found.count()
 
 
-def _resolve(named: DataFrame, contents: Column, extra: DataFrame, n: int) -> DataFrame:
-    """Put the ranks of ``extra`` into the array ``names`` of each document concerned."""
-    each = named.select("_row", F.posexplode(contents).alias("i", "content"), "names").select("_row", "i", "content", F.col("names")[F.col("i")]["h"].alias("h"))
+def _resolve(named: DataFrame, texts: DataFrame, contents: str, extra: DataFrame, n: int) -> DataFrame:
+    """Put the ranks of ``extra`` into the array ``names`` of each document concerned.
+
+    ``texts`` has the ``names`` and ``contents`` of each text once, told by its digest: rows with one text have one name.
+    """
+    each = texts.select("text_sha256", F.posexplode(contents).alias("i", "content"), "names").select("text_sha256", "i", "content", F.col("names")[F.col("i")]["h"].alias("h"))
     small = F.broadcast(extra) if n <= BROADCAST_ROWS else extra
-    hits = each.join(small, ["h", "content"]).groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("i", "r"))).alias("_ranks"))
+    hits = each.join(small, ["h", "content"]).groupBy("text_sha256").agg(F.map_from_entries(F.collect_list(F.struct("i", "r"))).alias("_ranks"))
     ranked = F.transform("names", lambda x, i: F.struct(x["h"].alias("h"), F.coalesce(F.col("_ranks")[i], x["r"]).alias("r")))
-    return named.join(hits, "_row", "left").withColumn("names", F.when(F.col("_ranks").isNull(), F.col("names")).otherwise(ranked)).drop("_ranks")
+    return named.join(hits, "text_sha256", "left").withColumn("names", F.when(F.col("_ranks").isNull(), F.col("names")).otherwise(ranked)).drop("_ranks")
 
 
 def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4096, key: Key = F.xxhash64) -> DataFrame:
@@ -63,13 +66,14 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = base.select("id", F.sha2("bin", 256).alias("text_sha256"), F.transform(cuts, lambda i: F.substring(F.col("bin"), i * block_bytes + 1, F.lit(block_bytes))).alias("blocks"))
     zero = F.lit(0).alias("r")
     named = stash(
-        cut.select("id", "text_sha256", F.size("blocks").alias("n_blocks"), F.transform("blocks", lambda b: F.struct(key(F.lit(0), b).alias("h"), zero)).alias("names")).withColumn("_row", F.xxhash64("id", "text_sha256")),
+        cut.select("id", "text_sha256", F.size("blocks").alias("n_blocks"), F.transform("blocks", lambda b: F.struct(key(F.lit(0), b).alias("h"), zero)).alias("names")),
         "blocks",
     )
     extra, n = _exceptions(cut.select(F.explode("blocks").alias("content")).withColumn("h", key(F.lit(0), "content")), 0)
     if n:
-        with_blocks = cut.withColumn("_row", F.xxhash64("id", "text_sha256")).dropDuplicates(["_row"]).select("_row", "blocks").join(named, "_row")
-        named = stash(_resolve(with_blocks, F.col("blocks"), extra, n).drop("blocks"), "blocks")
+        once = named.select("text_sha256", "names").dropDuplicates(["text_sha256"])
+        blocks = cut.select("text_sha256", "blocks").dropDuplicates(["text_sha256"]).join(once, "text_sha256")
+        named = stash(_resolve(named, blocks, "blocks", extra, n), "blocks")
     done, level, none = [], 0, F.struct(F.lit(0).cast("long").alias("h"), F.lit(-1).alias("r"))  # no name has rank -1
     while True:
         # what has its last name leaves; the rest halves with each level
@@ -84,7 +88,7 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         extra, n = _exceptions(paired.select(F.explode("pairs").alias("content")).withColumn("h", key_of(F.col("content"))), level)
         named = paired.withColumn("names", F.transform("pairs", lambda p: F.struct(key_of(p).alias("h"), zero)))
         if n:
-            named = _resolve(named, F.col("pairs"), extra, n)
+            named = _resolve(named, named.select("text_sha256", "names", "pairs").dropDuplicates(["text_sha256"]), "pairs", extra, n)
         named = stash(named.drop("pairs"), "names")
 
 

@@ -77,9 +77,9 @@ def _meet(carry: Column, x: Column, level: int) -> Column:
     )
 
 
-def _fold(cell: Column, level: int) -> Column:
+def _fold(cell: Column, level: int, id_type: str) -> Column:
     """Fold the sorted documents of a cell: ``(rest, settled[])``."""
-    kind = "struct<id:bigint,f:double,size:bigint>"
+    kind = f"struct<id:{id_type},f:double,size:bigint>"
     start = F.struct(F.lit(None).cast(kind).alias("rest"), F.array().cast(f"array<{kind}>").alias("settled"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -96,6 +96,7 @@ def round_fractions(docs: DataFrame, cell: int = CELL) -> DataFrame:
     within a part are rounded alike as one. The tree has log_cell(rows) levels.
     """
     left, done, level = docs.select("part", "id", "f", F.col("size").cast("long").alias("size")), [], 0
+    id_type = left.schema["id"].dataType.simpleString()
     while True:
         per_part = left.groupBy("part").agg(F.count("*").alias("n"))
         n = per_part.agg(F.max("n")).first()[0] or 0
@@ -105,7 +106,7 @@ def round_fractions(docs: DataFrame, cell: int = CELL) -> DataFrame:
         cells = left.join(per_part.select(F.col("part").alias("_part"), F.ceil(F.col("n") / cell).alias("cells")), F.col("part").eqNullSafe(F.col("_part"))).select("part", "id", "f", "size", F.pmod(F.xxhash64(F.lit(level), "id"), F.col("cells")).alias("cell"))
         folded = cells.groupBy("part", "cell").agg(F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("k"), F.xxhash64(F.lit(level), "id").alias("j"), "id", "f", "size"))).alias("all"))
         plain = F.transform("all", lambda x: F.struct(x["id"].alias("id"), x["f"].alias("f"), x["size"].alias("size")))
-        folded = stash(folded.select("part", plain.alias("all")).select("part", _fold(F.col("all"), level).alias("out")), "mix")
+        folded = stash(folded.select("part", plain.alias("all")).select("part", _fold(F.col("all"), level, id_type).alias("out")), "mix")
         done.append(folded.select("part", F.explode("out.settled").alias("x")).select("part", "x.id", (F.col("x.f") > 0.5).alias("up")))
         rest = folded.select("part", "out.rest.*")
         # a meeting may settle both at once; then the residual is whole already
@@ -120,7 +121,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """How often the mix takes each document: ``id_col, size, source_size, target, taken``, then source and ``copies``.
 
     Size is the number of words; a null or blank text has 0 and is never taken. A null source is
-    a source of its own. Rows that repeat an id within a source count each but are taken alike.
+    a source of its own. Ids may be of any type that can be sorted; rows that repeat one within a source count each but are taken alike.
     Each source's taken words end within about one document of its target. Empty table: no rows.
     """
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")

@@ -34,6 +34,15 @@ def test_colliding_keys_still_name_exactly(spark):
     assert rows_of(exact_dedup(docs, block_bytes=4096, key=key)) == brute(ROWS)
 
 
+def test_colliding_keys_of_repeated_rows(spark):
+    rows = [r for r in ROWS for _ in (0, 1)] + [(None, LONG), (None, LONG), (20, LONG[:4096] * 4), (20, LONG[:4096] * 4), (20, LONG[:4096] * 5)]
+    got = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), key=lambda *c: F.pmod(F.xxhash64(*c), F.lit(2)))
+    named = [(i, t) for i, t in rows if i is not None]
+    want = {(i, k, kept, sha) for i, k, _, kept, sha in brute(named)}
+    out = [(r.doc_id, r.keep_id, r.kept, r.text_sha256) for r in got.collect()]
+    assert len(out) == len(rows) and {x for x in out if x[0] is not None} == want and {x[1] for x in out if x[0] is None} == {1}
+
+
 def test_empty_and_null_ids(spark):
     assert exact_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     out = exact_dedup(spark.createDataFrame([(None, "x"), (3, "x"), (3, "x")], "doc_id long, text string"))

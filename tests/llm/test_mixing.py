@@ -60,3 +60,13 @@ def test_long_texts_and_repeated_ids(spark):
     assert {x.size for x in out if x.doc_id in (1, 2)} == {1_000_000, 1}
     twice = [x.taken for x in out if x.doc_id == 3 and x.source == "a"]
     assert len(twice) == 2 and twice[0] == twice[1] and all(x.taken <= 2 * x.size for x in out)
+
+
+def test_ids_of_any_type(spark):
+    rows = [(f"d{i}", "w " * (1 + i % 9), f"s{i % 3}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    got = {r.doc_id: r for r in mix(docs).collect()}
+    assert len(got) == 200 and {r.copies for r in got.values()} <= {0, 1, 2}
+    for s in ("s0", "s1", "s2"):
+        own = [r for r in got.values() if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 9

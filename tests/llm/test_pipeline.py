@@ -88,6 +88,16 @@ def test_columns_of_any_name(spark, folder):
     assert cp.STAGES[-1][1](spark, docs, folder).count() == docs.count()
 
 
+def test_rows_that_share_or_lack_an_id(spark, folder):
+    whole = spark.read.parquet(f"{folder}/documents.parquet")
+    bad, clean = whole.join(cp.drop_toxic(spark, whole, folder).select("doc_id"), "doc_id", "left_anti").first().text, "the ing of an er ta ren of the"
+    rows = [(i, t, "en", "s", len(t)) for i in (None, 7) for t in (bad, clean)] + [(8, "", "en", "s", 0), (8, clean + " of", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).unionByName(whole.where("doc_id > 20"))
+    left = cp.drop_toxic(spark, docs, folder).where("doc_id is null or doc_id < 20")
+    assert sorted(((r.doc_id or 0), r.text) for r in left.collect()) == [(0, clean), (7, clean), (8, ""), (8, clean + " of")]
+    assert cp.mix_sources(spark, docs, folder).where("text = ''").count() == 0
+
+
 def test_run_and_empty_table(spark, folder, tmp_path):
     assert cp.run(spark, folder).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
