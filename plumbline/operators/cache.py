@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import contained, resolved, rooted
+from .chained import chained_sha256
 from .split import overlap
 
 #: States of a cache that is not to be trained on (fixed values).
@@ -18,17 +20,21 @@ UNFINISHED = ("building", "failed", "incomplete")
 def cache_fingerprint(model_id: str, revision: str, config: dict, data_sha256: dict[str, str], selected: DataFrame, key: str, order: list) -> str:
     """Digest over model, revision, configuration, digests of the data and the ordered ids of what is cached.
 
-    The text that is digested is JSON with sorted keys, ids last as its keys sort; ids are streamed
-    in their order, so the driver holds some of them at a time.
+    The text that is digested is JSON with sorted keys, ids last as its keys sort. The digest goes from
+    range to range of the ids, so their number has no bound.
     """
     parts = {"config": config, "data_sha256": data_sha256, "model_id": model_id, "revision": revision}
     head = json.dumps(parts, sort_keys=True, ensure_ascii=False)
-    digest, first = hashlib.sha256(head[:-1].encode() + b', "selected_ids": ['), True
-    for row in selected.orderBy(*order).select(key).toLocalIterator(prefetchPartitions=True):
-        digest.update((("" if first else ", ") + json.dumps(row[0], ensure_ascii=False)).encode())
-        first = False
-    digest.update(b"]}")
-    return digest.hexdigest()
+
+    def quoted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            text = [json.dumps(v, ensure_ascii=False) for v in x.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()), *x.columns[1:]], ["_piece", *x.schema.names[1:]])
+
+    by = [o if isinstance(o, Column) else F.col(o) for o in order]
+    rows = selected.select(F.col(key).alias("_key"), *[c.alias(f"_by{i}") for i, c in enumerate(by)])
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema[1:])
+    return chained_sha256(rows.mapInArrow(quoted, f"_piece string{kinds}"), F.col("_piece"), [F.col(f"_by{i}") for i in range(len(by))], head[:-1].encode() + b', "selected_ids": [', b", ", b"]}")[1]
 
 
 def feature_issues(records: DataFrame, files: DataFrame, root: str) -> DataFrame:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import stash
+from .chained import chained_sha256
 
-#: Distinct keys of a component that may come together in one row, at some hundred bytes each.
-MOST_KEYS = 5_000_000
+#: Distinct keys of a component that may come together in one row, at some hundred bytes each; the digest of more goes from range to range.
+MOST_KEYS = 200_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -45,14 +46,15 @@ def link_rows(keyed: DataFrame) -> DataFrame:
 
 
 def group_ids(keyed: DataFrame, linked: DataFrame, size: int = 24) -> DataFrame:
-    """``root, group_id``: digest of a component's sorted distinct keys, cut to ``size`` digits.
-
-    A component's keys come together in one row, as their digest asks for; one with over ``MOST_KEYS``
-    is an error before that.
-    """
+    """``root, group_id``: digest of a component's sorted distinct keys, a line each, cut to ``size`` digits."""
     keys = stash(keyed.where("key is not null").join(linked, "vertex").select("root", "key").distinct(), "group-keys")
-    large = keys.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > MOST_KEYS).first()
-    if large is not None:
-        raise ValueError(f"the component of {large.root} has {large.n} keys, over {MOST_KEYS}")
+    counts = stash(keys.groupBy("root").agg(F.count("*").alias("n")), "group-sizes")
+    # components of so many keys are few: each is chained, and as many roots come to the driver
+    large = [r.root for r in counts.where(F.col("n") > MOST_KEYS).select("root").toLocalIterator()]
+    few = keys.join(counts.where(F.col("n") <= MOST_KEYS).select("root"), "root") if large else keys
     joined = F.concat_ws("\n", F.array_sort(F.collect_list("key")))
-    return keys.groupBy("root").agg(F.substring(F.sha2(joined, 256), 1, size).alias("group_id"))
+    ids = few.groupBy("root").agg(F.substring(F.sha2(joined, 256), 1, size).alias("group_id"))
+    if not large:
+        return ids
+    named = [(root, chained_sha256(keys.where(F.col("root") == F.lit(root)), F.col("key"), [F.col("key")], between=b"\n")[1][:size]) for root in large]
+    return ids.unionByName(keys.sparkSession.createDataFrame(named, ids.schema))

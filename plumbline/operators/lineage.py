@@ -8,7 +8,9 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Files that one digest may be made of.
+from .chained import chained_sha256, json_pieces
+
+#: Files whose digest is made in one row; that of more goes from range to range.
 MOST_FILES = 1_000_000
 
 
@@ -51,16 +53,22 @@ def content_fingerprint(rows: DataFrame, key: str, columns: list[str], ranges: i
     return classes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.sha2(F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("_class", "d"))), lambda x: x["d"])), 256).alias("fingerprint"))
 
 
-def file_set_digest(files: DataFrame, path: str = "path", sha: str = "sha256") -> DataFrame:
-    """One row ``n_files, revision`` of a listing of paths with digests; a list of files, not of their bytes.
+def content_sha256(rows: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
+    """One row ``n_rows, sha256``: the digest of all rows as one JSON list, sorted by ``order``, keys sorted, no spaces.
 
-    The digest is of one text, so the files of one model or release are meant; over ``MOST_FILES`` is an
-    error, and ``content_fingerprint`` digests tables of any size.
+    ``order`` should tell rows apart. Any number of rows: see ``chained``.
     """
-    n = files.limit(MOST_FILES + 1).count()
-    if n > MOST_FILES:
-        raise ValueError(f"a set of over {MOST_FILES} files")
+    pieces = json_pieces(rows, order, columns)
+    n, digest = chained_sha256(pieces, F.col("piece"), [F.col(f"_o{i}") for i in range(len(order))], b"[", b",", b"]")
+    return rows.sparkSession.createDataFrame([(n, digest)], "n_rows long, sha256 string")
+
+
+def file_set_digest(files: DataFrame, path: str = "path", sha: str = "sha256") -> DataFrame:
+    """One row ``n_files, revision`` of a listing of paths with digests: of one text, a line for each file, sorted."""
     pair = F.concat(F.col(path), F.lit(" "), F.col(sha))
+    if files.limit(MOST_FILES + 1).count() > MOST_FILES:
+        n, digest = chained_sha256(files, pair, [pair], between=b"\n")
+        return files.sparkSession.createDataFrame([(n, digest)], "n_files long, revision string")
     return files.agg(F.count("*").alias("n_files"), F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list(pair))), 256).alias("revision"))
 
 

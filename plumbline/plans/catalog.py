@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,8 @@ from ..functions.identity import identity_keys
 from ..functions.isbn import canonical_isbn, filename_identity
 from ..operators import cache, dedupe, gallery, gates, journal, lineage, resolve, schedule, select, split
 from ..operators.components import group_ids, link_rows
-from ..tables import stash
+from ..sources import tensors
+from ..tables import shared_folder, stash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,6 +152,18 @@ def leakage_of_groups(spark, sf_dir):
     return split.leaks(grouped(spark, sf_dir), ["group_id"])
 
 
+@query(
+    KEYS_SQL
+    + """, o AS (SELECT group_id AS value, CASE WHEN doc_id % 10 = 0 THEN 'test' WHEN doc_id % 10 = 1 THEN 'validation' ELSE 'train' END AS split FROM t)
+    SELECT 'group_id' AS key, value, count(DISTINCT split) AS splits FROM o GROUP BY value HAVING count(DISTINCT split) > 1"""
+)
+def leakage_of_rows_split_apart(spark, sf_dir):
+    """What a split by row numbers tears apart: groups whose rows lie in several splits."""
+    turn = F.col("doc_id") % 10
+    rows = grouped(spark, sf_dir).withColumn("split", F.when(turn == 0, "test").when(turn == 1, "validation").otherwise("train"))
+    return split.leaks(rows, ["group_id"])
+
+
 @query(
     f"""WITH s AS ({BY_ID_SQL}) SELECT doc_id, split FROM s WHERE split <> 'train'
     AND (text_sha IN (SELECT text_sha FROM s WHERE split = 'train') OR n_chars IN (SELECT n_chars FROM s WHERE split = 'train'))"""
@@ -636,6 +650,14 @@ def content_fingerprint(spark, sf_dir):
     return lineage.content_fingerprint(table(spark, sf_dir, "documents"), "doc_id", ["doc_id", "text", "source"])
 
 
+@query(
+    """SELECT count(*) AS n_rows, sha256('[' || string_agg('{"doc_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '","text_sha256":"' || sha256(text) || '"}', ',' ORDER BY doc_id) || ']') AS sha256 FROM documents"""
+)
+def content_sha256(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", ft.digest(F.col("text")).alias("text_sha256"))
+    return lineage.content_sha256(rows, ["doc_id"], rows.columns)
+
+
 @query("WITH f AS (SELECT url AS path, sha256(html) AS sha FROM pages) SELECT count(*) AS n_files, sha256(string_agg(path || ' ' || sha, chr(10) ORDER BY path || ' ' || sha)) AS revision FROM f")
 def file_set_revision(spark, sf_dir):
     files = table(spark, sf_dir, "pages").select(F.col("url").alias("path"), ft.digest(F.col("html")).alias("sha256"))
@@ -666,6 +688,18 @@ def row_identities(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.concat_ws(" ", keys).alias("keys"))
 
 
+@query()
+def tensor_file_digests(spark, sf_dir):
+    """Embeddings written as files of tensors, 64 of them, and digested as they are read back."""
+    rows = table(spark, sf_dir, "embeddings").where("embedding IS NOT NULL")
+    number = F.col("vec_id").cast("string")
+    named = rows.select(F.concat(F.pmod(F.xxhash64("vec_id"), F.lit(64)).cast("string"), F.lit(".safetensors")).alias("file"), number.alias("name"), F.col("embedding").cast("array<float>").alias("values"))
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/tensors-{uuid.uuid4().hex}"
+    tensors.write_tensors(tensors.vectors_as_tensors(named), folder)
+    digests = tensors.tensor_file_digests(tensors.read_tensors(spark, folder))
+    return digests.select(F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "n_tensors", "digest", "error")
+
+
 @query()
 def tensor_digests(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", lineage.tensor_digest(F.col("vec_id").cast("string"), F.col("embedding")).alias("digest"))
