@@ -9,8 +9,8 @@ counted by size class, meetings on the lists of one shingle in so many. It decid
 the order, which comes from a sample.
 
 Sets that meet are compared a bucket at a time by what loses nothing: their sizes, and the parities of
-1024 classes of shingles, of which no more can differ than shingles do. Pairs that pass are counted in
-full. First each set is held against its closest partner; what is linked is one component then, and
+1024 classes of shingles, of which no more can differ than shingles do; then once more by as many
+classes as long sets need. Pairs that pass are counted in full. First each set is held against its closest partner; what is linked is one component then, and
 only buckets with several components go on, at last with all their pairs across components. Equal
 sets take part as one.
 """
@@ -35,7 +35,7 @@ from .store import bound_batches, stash, unstash
 
 U = np.uint64
 #: Classes whose parities are held; shingles that a subset has.
-PARITY, SUBSET = 1024, 2
+PARITY, WIDEST, SUBSET = 1024, 1 << 17, 2
 #: Lists counted for the cost: one in so many; the cost of a pair that meets, in rows; sizes of a class differ by this factor.
 LISTS, MEETING, CLASS = 64, 0.1, 1.25
 #: Pairs that are compared at once.
@@ -49,12 +49,28 @@ def prefix_size(n: int, k: int = 1) -> int:
     return min(n, n - -(-NUMER * n // DENOM) + k)
 
 
-def parities(own: np.ndarray) -> bytes:
-    return np.packbits(np.bincount((own & U(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1).tobytes()
+def parities(own: np.ndarray, classes: int = PARITY) -> bytes:
+    """A bit for each class: whether the set holds an odd number of it. Classes are the last bits of names."""
+    return np.packbits(np.bincount((own & U(classes - 1)).astype(np.int64), minlength=classes) & 1).tobytes()
+
+
+def wide_parities(own: np.ndarray) -> bytes | None:
+    """Parities of twice as many classes as the set has shingles, or more; None where ``PARITY`` are enough."""
+    classes = min(1 << max(2 * len(own) - 1, 1).bit_length(), WIDEST)
+    return parities(own, classes) if classes > PARITY else None
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Classes whose parities differ, in the coarser of two divisions: half as many classes are the xor of both halves."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``id, h, n, node, check, odd, first`` of each row; node and check are the digest of its set, h that of its text."""
+    """``id, h, n, node, check, odd, wide, first`` of each row; node and check are the digest of its set, h that of its text."""
     common, rank = common_names(docs, text_col, shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,12 +78,12 @@ def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
             sets = shingle_sets(x.column(2), shingle)
             digest = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
             first = [in_order(s, common, rank)[: prefix_size(len(s), SUBSET)].view(np.int64) for s in sets]
-            arrays = [pa.array(np.array([len(s) for s in sets], np.int64)), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), pa.array([parities(s) for s in sets], pa.binary()), pa.array(first, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), *arrays], ["id", "h", "n", "node", "check", "odd", "first"])
+            arrays = [pa.array(np.array([len(s) for s in sets], np.int64)), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), pa.array([parities(s) for s in sets], pa.binary()), pa.array([wide_parities(s) for s in sets], pa.binary()), pa.array(first, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), *arrays], ["id", "h", "n", "node", "check", "odd", "wide", "first"])
 
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    return told_apart(stash(source.mapInArrow(run, f"id {kind}, h bigint, n bigint, node bigint, check bigint, odd binary, first array<bigint>"), "facts"))
+    return told_apart(stash(source.mapInArrow(run, f"id {kind}, h bigint, n bigint, node bigint, check bigint, odd binary, wide binary, first array<bigint>"), "facts"))
 
 
 def size_class(n: int) -> int:
@@ -109,7 +125,7 @@ def bucket_keys(first: np.ndarray, n: int, boundary: int) -> np.ndarray:
 
 
 def _buckets(nodes: DataFrame, boundary: int) -> DataFrame:
-    """Rows ``key, node, c, n, odd, root`` of the buckets with several sets, ``c`` of them."""
+    """Rows ``key, node, c, root`` of the buckets with several sets, ``c`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -118,11 +134,25 @@ def _buckets(nodes: DataFrame, boundary: int) -> DataFrame:
             node = np.repeat(x.column(0).to_numpy(), [len(k) for k in keys])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, U), *keys]).view(np.int64)), pa.array(node)], ["key", "node"])
 
-    under = stash(nodes.select("node", "n", "first").mapInArrow(run, "key bigint, node bigint"), "keys")
-    shared = under.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    held = stash(under.join(shared.hint("merge"), "key"), "held")
-    out = stash(held.join(nodes.select("node", "n", "odd").hint("merge"), "node").withColumn("root", F.col("node")), "buckets")
-    unstash(under, held)
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # keys come sorted; a row goes on if a neighbour has its key, so all but few end here
+        key, node, same = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        for x in batches:
+            key, node = np.append(key, x.column(0).to_numpy()), np.append(node, x.column(1).to_numpy())
+            equal = key[1:] == key[:-1]
+            keep = np.append(same, equal)[: len(equal)] | equal  # the last row waits for the next
+            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][keep]), pa.array(node[:-1][keep])], ["key", "node"])
+            same = bool(equal[-1]) if len(equal) else same
+            key, node = key[-1:], node[-1:]
+        if same:
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], ["key", "node"])
+
+    schema = "key bigint, node bigint"
+    under = nodes.select("node", "n", "first").mapInArrow(run, schema).repartition("key").sortWithinPartitions("key")
+    held = stash(under.mapInArrow(shared, schema), "held")
+    sizes = held.groupBy("key").agg(F.count("*").alias("c"))
+    out = stash(held.join(sizes.hint("merge"), "key").withColumn("root", F.col("node")), "buckets")
+    unstash(held)
     return out
 
 
@@ -139,8 +169,8 @@ def meetings(end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         lo = hi
 
 
-def _pairs(rows: DataFrame, all_pairs: bool) -> DataFrame:
-    """``a, b``: nodes of rows ``key, chunk, node, root, n, odd``, in one chunk of a bucket, of different roots and maybe similar.
+def _pairs(rows: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
+    """``a, b``: nodes of rows ``key, chunk, node, root``, in one chunk of a bucket, of different roots and maybe similar.
 
     With ``all_pairs`` every such pair, else each node with its closest partner by parities.
     """
@@ -171,8 +201,24 @@ def _pairs(rows: DataFrame, all_pairs: bool) -> DataFrame:
             pair = np.unique(np.sort(pair, axis=0), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
 
-    sorted_ = rows.select("key", "chunk", "node", "root", "n", "odd").repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
-    return stash(sorted_.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs")
+    facts = nodes.select(F.col("node").alias("_node"), "n", "odd").hint("merge")
+    whole = rows.select("key", "chunk", "node", "root").join(facts, F.col("node") == F.col("_node")).select("key", "chunk", "node", "root", "n", "odd")
+    sorted_ = whole.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
+    return _plausible(stash(sorted_.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs"), nodes)
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that the parities of many classes allow, too; sets of many shingles need so many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            rows = zip(*(x.column(i).to_pylist() for i in range(2, 6)), strict=True)
+            keep = [differing(p, q) * (DENOM + NUMER) <= (m + n) * (DENOM - NUMER) for m, n, p, q in rows]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in x.columns[:2]], ["a", "b"])
+
+    of = lambda to, n, odd: nodes.select(F.col("node").alias(to), F.col("n").alias(n), F.coalesce("wide", "odd").alias(odd)).hint("merge")
+    held = pairs.join(of("a", "m", "p"), "a").join(of("b", "n", "q"), "b").select("a", "b", "m", "n", "p", "q")
+    return stash(held.mapInArrow(run, "a bigint, b bigint"), "plausible")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -186,18 +232,19 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     bound_batches(docs.sparkSession)
     facts = _facts(docs, id_col, text_col, shingle)
+    big, facts = facts, stash(facts.select("id", "h", "n", "node"), "slim")
+    nodes = stash(big.where("n > 0").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "odd", "wide", "first")]), "nodes")
+    unstash(big)
     some = facts.where("n > 0")
     alike = some.groupBy("node", "id", "h").agg(F.count("*").alias("c"))
     best = stash(alike.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "c")).alias("best")), "best")
-    nodes = stash(some.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "odd", "first")]), "nodes")
     buckets = _buckets(nodes, _boundary(nodes))
-    unstash(nodes)
     sets = Sets(docs, best, id_col, text_col, shingle)
-    links = [sets.similar(_pairs(dealt(buckets, 0, False), False))]
+    links = [sets.similar(_pairs(dealt(buckets, 0, False), nodes, False))]
     for turn in range(1, ROUNDS + 1):
         mixed, many = across(buckets, links)
         few = not many or turn == ROUNDS
-        links.append(sets.similar(_pairs(dealt(mixed, turn, few), few)))
+        links.append(sets.similar(_pairs(dealt(mixed, turn, few), nodes, few)))
         unstash(mixed)
         if few:
             break

@@ -100,3 +100,14 @@ def test_parities_never_differ_more_than_sets():
     a, b = shingle_sets(pa.array(["a b c d e f g h i j k", "a b c d e f g h i x y z"]))
     far = np.bitwise_count(np.frombuffer(oj.parities(a), U) ^ np.frombuffer(oj.parities(b), U)).sum()
     assert 0 < far <= len(np.setxor1d(a, b))
+
+
+def test_wide_parities_fold_to_any_width():
+    r = np.random.RandomState(6)
+    for n, m in ((3000, 3400), (2000, 700), (40, 5000)):
+        a, b = np.unique(r.randint(0, 2**62, n)).astype(U), np.unique(r.randint(0, 2**62, m)).astype(U)
+        b = np.union1d(b, a[: n // 2])
+        x, y = (oj.wide_parities(z) or oj.parities(z) for z in (a, b))
+        small = min(len(x), len(y)) * 8
+        want = np.bitwise_count(np.frombuffer(oj.parities(a, small), np.uint8) ^ np.frombuffer(oj.parities(b, small), np.uint8)).sum()
+        assert oj.differing(x, y) == oj.differing(y, x) == want <= len(np.setxor1d(a, b))
