@@ -5,7 +5,8 @@ least hash in it, the first one if several are equal: a function of the window's
 windows have equal anchors at equal places. Consecutive windows mostly share an anchor; the items
 under the windows of one anchor are its piece. So whatever repeats meets under its anchor's hash:
 
-1. each text emits the hashes of its anchors, about one for each half window;
+1. each text emits the hashes of its anchors, about one for each half window; where grams repeat and
+   neighbours have equal ones, these are one;
 2. hashes with one place only go;
 3. texts that keep a hash are read again and emit the pieces of these anchors;
 4. equal pieces collapse, and only distinct pieces under one hash are compared.
@@ -127,11 +128,29 @@ class Bytes(Items):
         return wt.mix64(h), at, place[:-1], place[1:]
 
 
+#: Windows of a run of equal anchors that are one piece, in windows' lengths.
+RUN = 2
+
+
 def _grouped(column: pa.Array, items: Items, limit: int = 1 << 19) -> Iterator[tuple]:
+    """For each group of texts its items and its anchors: hash, text, place, first and last window, how many anchors.
+
+    Where grams repeat, as in one byte again and again, each window has an anchor of its own with one
+    hash: neighbours with one hash are one piece, up to ``RUN`` windows' lengths of them, at the first's place.
+    """
     for lo, _, raw, at, base in items.parts(column, limit):
         names, first, starts, ends = items.cut(raw, at)
         where, head, tail = anchors(names, first, items.window, items.gram)
-        yield lo, base, raw, first, starts, ends, names[where].view(np.int64), np.searchsorted(first, head, "right") - 1, where, head, tail
+        h, text = names[where].view(np.int64), np.searchsorted(first, head, "right") - 1
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1]) | (head[1:] != tail[:-1] + 1)
+        run = np.flatnonzero(new)
+        part = (head - np.repeat(head[run], np.diff(np.append(run, len(h))))) // (RUN * items.window)
+        new[1:] |= part[1:] != part[:-1]
+        own = np.flatnonzero(new)
+        last = np.append(own[1:], len(h))[: len(own)] - 1
+        place = np.where(where[own] == where[last], where[own], -1)
+        yield lo, base, raw, first, starts, ends, h[own], text[own], place, head[own], tail[last], last - own + 1
 
 
 def anchor_hashes(docs: DataFrame, items: Items) -> DataFrame:
@@ -139,12 +158,12 @@ def anchor_hashes(docs: DataFrame, items: Items) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            for lo, _, _, _, _, _, h, text, *_ in _grouped(x.column(1), items):
+            for lo, _, _, _, _, _, h, text, _, _, _, n in _grouped(x.column(1), items):
                 order = np.lexsort((h, text))
-                h, text = h[order], text[order]
+                h, text, n = h[order], text[order], n[order]
                 new = np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])])[: len(h)]
                 head = np.flatnonzero(new)
-                yield pa.RecordBatch.from_arrays([pa.array(h[head]), x.column(0).take(pa.array(text[head] + lo)), pa.array(np.diff(np.append(head, len(h))))], ["h", "id", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[head]), x.column(0).take(pa.array(text[head] + lo)), pa.array(np.add.reduceat(n, head) if len(head) else n)], ["h", "id", "n"])
 
     return docs.mapInArrow(run, f"h bigint, id {docs.schema['id'].dataType.simpleString()}, n bigint")
 
@@ -165,14 +184,14 @@ def candidates(docs: DataFrame, items: Items, repeated: Column) -> DataFrame:
 def pieces(cand: DataFrame, items: Items) -> DataFrame:
     """``h, body, id, start, a``: each repeated anchor's piece from item ``start`` on, the anchor at its item a.
 
-    The items of a piece are joined by spaces if they are words.
+    The items of a piece are joined by spaces if they are words. ``a`` is -1 if its windows have several anchors.
     """
     space = isinstance(items, Words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             lists = x.column(2)
-            for lo, base, raw, first, starts, ends, h, text, where, head, tail in _grouped(x.column(1), items):
+            for lo, base, raw, first, starts, ends, h, text, where, head, tail, _ in _grouped(x.column(1), items):
                 keep = np.zeros(len(h), bool)
                 bounds = np.searchsorted(text, np.arange(len(first)))
                 for i in range(len(first) - 1):
@@ -189,7 +208,7 @@ def pieces(cand: DataFrame, items: Items) -> DataFrame:
                 for k in range(0, len(h), 4000):
                     s = slice(k, k + 4000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[s]), pa.array(body[s], pa.binary()), x.column(0).take(pa.array(text[s] + lo)), pa.array(head[s] - first[text[s]] + base), pa.array(where[s] - head[s])],
+                        [pa.array(h[s]), pa.array(body[s], pa.binary()), x.column(0).take(pa.array(text[s] + lo)), pa.array(head[s] - first[text[s]] + base), pa.array(np.where(where[s] < 0, -1, where[s] - head[s]))],
                         ["h", "body", "id", "start", "a"],
                     )
 
@@ -229,32 +248,45 @@ def compared(distinct: DataFrame, compare: Compare, value: str, block: int = 1 <
 
 
 def split_pieces(crowded: DataFrame, items: Items, size: int) -> DataFrame:
-    """``parent, off, h, body, a, v``: pieces ``key, body, a, v`` cut into ranges of ``size`` windows.
+    """``parent, offs, h, body, a, v``: pieces ``key, body, a, v`` cut into ranges of ``size`` windows.
 
     Ranges count from the anchor, so equal windows fall into equal ranges; all windows of a range
     share the items between the last one's start and the first one's end, and ``h`` names these.
+    Equal ranges of a piece are two rows, the first for all ``offs`` but one, so that they count as several.
     """
     import xxhash
 
     space, window = isinstance(items, Words), items.window
 
+    def ranges(body: bytes, a: int) -> Iterator[tuple[int, int, bytes, int]]:
+        parts = body.split(b" ") if space else body
+        join = b" ".join if space else bytes
+        own = [(a, 0, len(parts) - window)]
+        if a < 0:
+            raw = np.frombuffer(body, np.uint8)
+            names, first, _, _ = items.cut(raw, np.array([0, len(raw)]))
+            own = zip(*(x.tolist() for x in anchors(names, first, window, items.gram)), strict=True)
+        for at, head, tail in own:
+            for r in range((at - tail) // size, (at - head) // size + 1):
+                lo, hi = max(head, at - (r + 1) * size + 1), min(tail, at - r * size)
+                core = join(parts[max(0, at - r * size) : at - (r + 1) * size + 1 + window])
+                yield lo, xxhash.xxh64_intdigest(core, r) - 2**63, join(parts[lo : hi + window]), at - lo
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             rows = []
             for key, body, a, v in zip(*(c.to_pylist() for c in x.columns), strict=True):
-                parts = body.split(b" ") if space else body
-                join = b" ".join if space else bytes
-                n = len(parts) - window + 1
-                for r in range((a - n + 1) // size, a // size + 1):
-                    lo, hi = max(0, a - (r + 1) * size + 1), min(n - 1, a - r * size)
-                    core = join(parts[max(0, a - r * size) : a - (r + 1) * size + 1 + window])
-                    rows.append((key, lo, xxhash.xxh64_intdigest(core, r) - 2**63, join(parts[lo : hi + window]), a - lo, v))
+                equal: dict[tuple, list[int]] = {}
+                for lo, *rest in ranges(body, a):
+                    equal.setdefault(tuple(rest), []).append(lo)
+                for (h, part, at), offs in equal.items():
+                    rows += [(key, own, h, part, at, v) for own in (offs[:-1], offs[-1:]) if own]
             columns = list(zip(*rows, strict=True)) or [()] * 6
-            types = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), x.column(3).type]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["parent", "off", "h", "body", "a", "v"])
+            types = [pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.int64(), x.column(3).type]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["parent", "offs", "h", "body", "a", "v"])
 
     kind = crowded.schema["v"].dataType.simpleString()
-    return crowded.select("key", "body", "a", "v").mapInArrow(run, f"parent binary, off bigint, h bigint, body binary, a bigint, v {kind}")
+    return crowded.select("key", "body", "a", "v").mapInArrow(run, f"parent binary, offs array<bigint>, h bigint, body binary, a bigint, v {kind}")
 
 
 def _key() -> Column:
@@ -277,7 +309,7 @@ def _runs_of(distinct: DataFrame, items: Items, compare: Compare, over: Column,
     cut = stash(split_pieces(distinct.join(large, "h", "left_semi"), items, sizes[0]).withColumn("key", _key()), "ranges")
     inner = _runs_of(_distinct(cut, over), items, compare, over, crowd, sizes[1:]).where(F.size("runs") > 0)
     moved = F.transform("runs", lambda r: F.struct((r["a"] + F.col("off")).alias("a"), (r["b"] + F.col("off")).alias("b"), r["v"].alias("v")))
-    back = cut.select("parent", "off", "key").join(inner.hint("merge"), "key").groupBy(F.col("parent").alias("key")).agg(F.flatten(F.collect_list(moved)).alias("runs"))
+    back = cut.select("parent", F.explode("offs").alias("off"), "key").join(inner.hint("merge"), "key").groupBy(F.col("parent").alias("key")).agg(F.flatten(F.collect_list(moved)).alias("runs"))
     return few.unionByName(back)
 
 

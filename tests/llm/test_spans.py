@@ -5,11 +5,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from plumbline.llm import substring_dedup as sd
 from plumbline.llm import suffix_array as sa
-from plumbline.llm.anchors import Bytes, Words, anchors
+from plumbline.llm.anchors import Bytes, Words, _grouped, anchors
 
 
 def brute_words(rows, size):
@@ -152,3 +153,31 @@ def test_shards_hold_whole_anchors(monkeypatch):
     out = sd._compare(12)([1, 1, 2, 2], bodies, [5, 4, 1, 9])
     least = [{w: v for lo, hi, v in runs for w in range(lo, hi + 1)} for runs in out]
     assert least == [dict.fromkeys(range(4), 4), dict.fromkeys(range(5), 4), dict.fromkeys(range(4), 1), dict.fromkeys(range(4), 1) | {4: 9}]
+
+
+def repeating(seed):
+    """Texts in which one byte, one word or one line stands again and again, in ever other surroundings."""
+    r = random.Random(seed)
+    units = ["a", "ab", "word ", "one two ", "x" * 7 + " ", "- ", "line of words\n"]
+    noise = lambda: " ".join(f"n{r.randrange(999)}" for _ in range(r.randrange(9)))
+    rows = [(i, f"{noise()} {r.choice(units) * r.randrange(5, 90)} {noise()}{r.choice(units) * r.randrange(1, 60)} {noise()}") for i in range(80)]
+    return rows + [(100, "a" * 400), (101, "word " * 300), (102, "z" * 60), (103, "only here " * 40)]
+
+
+@pytest.mark.parametrize("crowd", [1000, 3])
+def test_texts_that_repeat_themselves(spark, crowd):
+    rows = repeating(crowd)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(x) for x in sd.substring_dedup(docs, window=12, crowd=crowd).collect()) == brute_words(rows, 12)
+    assert sorted(tuple(x) for x in sa.suffix_array_dedup(docs, length=48, crowd=crowd).collect()) == brute_bytes(rows, 48)
+
+
+@pytest.mark.parametrize("unit", ["a", "word ", "one line of words that repeats\n"])
+def test_pieces_of_repeating_texts_stay_small(unit):
+    text = unit * (1_000_000 // len(unit))
+    for items in (Words(), Bytes()):
+        size = 0
+        for _, _, _, _, starts, ends, _, _, _, head, tail, n in _grouped(pa.array([text]), items):
+            size += int((ends[tail + items.window - 1] - starts[head]).sum()) if len(head) else 0
+            assert n.sum() >= len(n)
+        assert size < 6 * len(text), (items, size / len(text))
