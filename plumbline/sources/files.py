@@ -12,23 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import basename, cache_screen, strict_object
+from .lines import read_lines
 
 #: Suffixes of image files (fixed values).
 IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png", ".webp", ".bmp", ".tif", ".tiff")
 SPLITS = ("train", "validation", "test")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``path, file_sha256, ordinal, line`` of text files: lines end at \\n or \\r\\n, blank ones are skipped, a leading BOM is dropped.
-
-    A file is one row until its lines are numbered, so single files should stay below a few hundred MB.
-    """
-    whole = spark.read.format("binaryFile").load(path)
-    text = F.regexp_replace(F.decode("content", "UTF-8"), r"^\x{FEFF}", "")
-    lines = whole.select("path", F.sha2("content", 256).alias("file_sha256"), F.posexplode(F.split(text, "\r\n|\n|\r")).alias("at", "line"))
-    return lines.where(F.trim("line") != "").select("path", "file_sha256", (F.col("at") + 1).cast("long").alias("ordinal"), "line")
-
-
 def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
     """Rows of JSON lines with ``_path``, ``_ordinal`` and ``_sha256``.
 
