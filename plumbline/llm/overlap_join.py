@@ -4,15 +4,15 @@ Under one order of all shingles, rare ones first, two sets with at least 4/5 of
 ``k`` of the first n - ceil(4 n / 5) + k shingles of either. Small sets therefore meet by every subset of two
 from that prefix, large ones by the inverted list of every shingle in the prefix for one; sets so
 close under the boundary that a large one may be similar stand in the lists too. Subsets are more rows
-and fewer chance meetings. The boundary is the size at which rows and meetings cost least together, both
-counted by size class, meetings on the lists of one shingle in so many. It decides the cost only, as does
-the order, which comes from a sample.
+and fewer chance meetings. The boundary is the size at which rows and meetings cost least together; both
+are counted, either way and by size class, on one key in so many. It decides the cost only, as
+does the order, which comes from a sample.
 
 Sets that meet are compared a bucket at a time by what loses nothing: their sizes, and the parities of
 1024 classes of shingles, of which no more can differ than shingles do; then once more by as many
-classes as long sets need. Pairs that pass are counted in full. First each set is held against its closest partner; what is linked is one component then, and
-only buckets with several components go on, at last with all their pairs across components. Equal
-sets take part as one.
+classes as long sets need. Pairs that pass are counted in full. First a bucket gives a forest of its closest pairs, as if they were links; what is linked in truth is
+one component then, and only buckets with several components go on, at last with all their pairs
+across components. Equal sets take part as one.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..operators.components import components
 from . import words as wt
 from .similar import DENOM, NUMER, ROUNDS, SHINGLE, Sets, across, common_names, dealt, in_order, shingle_sets, told_apart
-from .simhash import whole_buckets
+from .simhash import forest, whole_buckets
 from .store import bound_batches, stash, unstash
 
 U = np.uint64
@@ -38,9 +38,11 @@ U = np.uint64
 PARITY, WIDEST, SUBSET = 1024, 1 << 17, 2
 #: Lists counted for the cost: one in so many; the cost of a pair that meets, in rows; sizes of a class differ by this factor.
 LISTS, MEETING, CLASS = 64, 0.1, 1.25
+#: Shingles of a set that may go by its subsets: with more, these are over thirty times its lists.
+LARGEST = 300
 #: Pairs that are compared at once.
 PAIRS = 1 << 16
-#: Farther than any partner.
+#: Farther than any pair.
 FAR = (PARITY + 1) << 32
 
 
@@ -92,33 +94,48 @@ def size_class(n: int) -> int:
 
 def cheapest(subsets: dict[int, float], lists: dict[int, float]) -> int:
     """The largest size that goes by subsets, from the costs of each size class either way; 1 where none should."""
-    classes = sorted({*subsets, *lists})
+    classes = sorted(c for c in lists if c <= max(subsets, default=-1))
 
     def cost(below: int) -> float:  # classes under ``below`` are small; the one under it is in the lists, too
-        return sum(subsets.get(c, 0) for c in classes if c < below) + sum(lists.get(c, 0) for c in classes if c >= below - 1)
+        return sum(v for c, v in subsets.items() if c < below) + sum(v for c, v in lists.items() if c >= below - 1)
 
     best = min([0, *(c + 1 for c in classes)], key=lambda b: (cost(b), b))
     return max(1, math.ceil(CLASS**best) - 1) if best else 1
 
 
 def _boundary(nodes: DataFrame) -> int:
-    """The boundary between small and large sets that costs least."""
-    of = F.floor(F.log("n") / math.log(CLASS) + 1e-9).cast("int")
-    take = (F.col("n") - F.ceil(F.col("n") * NUMER / DENOM) + SUBSET).cast("double")
-    subsets = {r.cls: r.rows for r in nodes.groupBy(of.alias("cls")).agg(F.sum(take * (take - 1) / 2).alias("rows")).collect()}
-    one = F.col("n") - F.ceil(F.col("n") * NUMER / DENOM) + 1
-    tokens = nodes.select(of.alias("cls"), F.explode(F.slice("first", F.lit(1), one.cast("int"))).alias("t")).where(F.pmod("t", F.lit(LISTS)) == 0)
-    held = tokens.groupBy("t", "cls").agg(F.count("*").alias("m")).groupBy("t").agg(F.sum("m").alias("c"), F.collect_list(F.struct("cls", "m")).alias("own"))
-    met = held.select("c", F.explode("own").alias("o")).groupBy("o.cls").agg(F.sum("o.m").alias("rows"), F.sum(F.col("o.m") * (F.col("c") - 1)).alias("pairs"))
-    return cheapest(subsets, {r.cls: LISTS * (r.rows + MEETING * r.pairs) for r in met.collect()})
+    """The boundary between small and large sets that costs least: rows and meetings, counted on one key in ``LISTS``."""
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            first, bounds = x.column(1).flatten().to_numpy().view(U), np.concatenate([[0], np.cumsum(x.column(1).value_lengths().to_numpy())])
+            out: list[tuple[np.ndarray, bool, int]] = []
+            for a, b, n in zip(bounds[:-1].tolist(), bounds[1:].tolist(), x.column(0).to_pylist(), strict=True):
+                for small in (True, False) if n <= LARGEST else (False,):
+                    keys = subset_keys(first[a:b]) if small else first[a : a + prefix_size(n)]
+                    out.append((keys[keys % U(LISTS) == 0], small, size_class(n)))
+            size = [len(k) for k, *_ in out]
+            columns = [np.concatenate([np.zeros(0, U), *(k for k, *_ in out)]).view(np.int64), np.repeat(np.array([s for _, s, _ in out], bool), size), np.repeat(np.array([c for *_, c in out], np.int32), size)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "small", "cls"])
+
+    keys = nodes.where("n > 1").select("n", "first").mapInArrow(sampled, "key bigint, small boolean, cls int")
+    held = keys.groupBy("small", "key", "cls").agg(F.count("*").alias("m")).groupBy("small", "key").agg(F.sum("m").alias("c"), F.collect_list(F.struct("cls", "m")).alias("own"))
+    met = held.select("small", "c", F.explode("own").alias("o")).groupBy("small", "o.cls").agg(F.sum("o.m").alias("rows"), F.sum(F.col("o.m") * (F.col("c") - 1)).alias("pairs")).collect()
+    cost = {small: {r.cls: LISTS * (r.rows + MEETING * r.pairs) for r in met if r.small == small} for small in (True, False)}
+    return cheapest(cost[True], cost[False])
+
+
+def subset_keys(first: np.ndarray) -> np.ndarray:
+    """Names of the subsets of two, of shingles in their order."""
+    i, j = np.triu_indices(len(first), 1)
+    return wt.mix64(first[i] * U(wt.BASE) + first[j]) ^ U(1)
 
 
 def bucket_keys(first: np.ndarray, n: int, boundary: int) -> np.ndarray:
     """Keys of the subsets of a small set, and of the lists that it stands in if large or nearly so."""
     keys = [np.zeros(0, U)]
     if SUBSET <= n <= boundary:
-        i, j = np.triu_indices(len(first), 1)
-        keys.append(wt.mix64(first[i] * U(wt.BASE) + first[j]) ^ U(1))
+        keys.append(subset_keys(first))
     if n > 1 and DENOM * n >= NUMER * (boundary + 1):
         keys.append(first[: prefix_size(n)])
     return np.concatenate(keys)
@@ -172,7 +189,8 @@ def meetings(end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _pairs(rows: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
     """``a, b``: nodes of rows ``key, chunk, node, root``, in one chunk of a bucket, of different roots and maybe similar.
 
-    With ``all_pairs`` every such pair, else each node with its closest partner by parities.
+    With ``all_pairs`` every such pair, else a forest: each component's closest pair, again and again, as if
+    all pairs that pass were links.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,21 +201,27 @@ def _pairs(rows: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
             new[1:] = (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
             starts = np.flatnonzero(new)
             end = np.append(starts[1:], len(key))[np.cumsum(new) - 1]
-            closest, found = np.full(len(key), FAR), [np.zeros((2, 0), np.int64)]
+            found, label = [np.zeros((2, 0), np.int64)], np.unique(root, return_inverse=True)[1]
             for a, b in meetings(end):
-                keep = (root[a] != root[b]) & (np.minimum(n[a], n[b]) * DENOM >= np.maximum(n[a], n[b]) * NUMER)
+                keep = (label[a] != label[b]) & (np.minimum(n[a], n[b]) * DENOM >= np.maximum(n[a], n[b]) * NUMER)
                 a, b = a[keep], b[keep]
                 # of similar sets at most a ninth of their sizes is in one of them only
                 far = np.bitwise_count(odd[a] ^ odd[b]).sum(axis=1, dtype=np.int64)
                 keep = far * (DENOM + NUMER) <= (n[a] + n[b]) * (DENOM - NUMER)
-                a, b, far = a[keep], b[keep], far[keep] << 32
+                a, b, far = a[keep], b[keep], far[keep]
                 if all_pairs:
                     found.append(np.stack([node[a], node[b]]))
-                else:
-                    np.minimum.at(closest, b, far | a)
-                    np.minimum.at(closest, a, far | b)
-            own = np.flatnonzero(closest < FAR)
-            pair = np.concatenate(found, axis=1) if all_pairs else np.stack([node[own], node[closest[own] & 0xFFFFFFFF]])
+                    continue
+                while len(a):
+                    best, order = np.full(len(key), FAR), far << 32 | np.arange(len(a))
+                    np.minimum.at(best, label[a], order)
+                    np.minimum.at(best, label[b], order)
+                    own = np.unique(best[best < FAR]) & 0xFFFFFFFF
+                    found.append(np.stack([node[a[own]], node[b[own]]]))
+                    label = forest(len(key), label[a[own]], label[b[own]])[label]
+                    live = label[a] != label[b]
+                    a, b, far = a[live], b[live], far[live]
+            pair = np.concatenate(found, axis=1)
             pair = np.unique(np.sort(pair, axis=0), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
 
