@@ -1,17 +1,18 @@
 """Phrase collocations from count tries.
 
-Each shard of the texts, some megabytes of a task's rows, becomes a count trie of limited depth: its
-nodes are the runs of words that lie within a piece of text, children are told by their parent's number
-and their word's, and words are numbered in byte order, so the trie comes out sorted. Tries are
-written as sorted paths with counts, dealt by ranges of paths, and equal paths of all shards merge.
-
-A phrase is no more frequent than its parts, so the tries are made a level at a time: the next
-level has only children whose two parts of the level before may be frequent. What is frequent
-is named to the shards by a Bloom filter of fixed size, which never misses and only costs more as it
-fills up. From the frequent paths, in order, a walk down the trie gives each node the counts of
-the nodes above it, the left parts; suffix links, from a path to the path without its first word, give
-the right parts, one link at a time. Words of a shard are told apart by 64-bit names; paths of
-different shards by their words.
+Each shard of the texts, some megabytes of a task's rows, is written as numbers of its words, in byte order
+and language by language, and becomes a count trie of limited depth: its nodes are the runs of
+words that lie within a piece of text, a child is told by its parent's number and its word's, and so
+the trie comes out sorted. Tries of a task's shards merge there; what it has is written as sorted
+paths with counts, dealt by ranges of paths, and equal paths of all tasks merge.
+
+A phrase is no more frequent than its parts, so the tries are made a level at a time: the next level
+has only children whose two parts of the level before are frequent, as a Bloom filter of fixed size
+names them, and whose cell of a count sketch of fixed size reaches the least count. Both never
+miss; they only save less as they fill up, and the merged counts decide. From the frequent paths, in order, a walk down the trie
+gives each node the counts of the nodes above it, the left parts; suffix links, from a path to the path
+without its first word, give the right parts, one link at a time. Words of a shard are told apart by
+64-bit names; paths of different shards by their words.
 """
 
 from __future__ import annotations
@@ -26,15 +27,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as wt
-from .store import bound_batches, stash
+from .store import bound_batches, stash, unstash
 
 U = np.uint64
 #: Words of the longest phrase, its least count, the share of a phrase's count at which a longer one stands for it, in percent.
 WORDS, LEAST, COVERED, TOP = 3, 10, 50, 2000
 #: Bytes of text whose trie is made at once; bytes of a text that are in it at once.
-SHARD, SEGMENT = 16 << 20, 8 << 20
+SHARD, SEGMENT = 1 << 20, 1 << 19
 #: Bits of the filter of frequent paths; parts that hot words, and languages at the end, are dealt to.
 BITS, SALTS = 1 << 26, 16
+#: Cells of the sketch that counts runs before their paths are written, and those of a row of it; paths that a task merges.
+CELLS, CHUNK, ROWS = 1 << 24, 1 << 16, 1 << 20
+OLD, JOINED = 1, 2
+READ_AT_ONCE = "spark.sql.parquet.columnarReaderBatchSize"
 UNKNOWN = "und"
 
 # fixed values: what ends a piece, and what parts its words
@@ -89,7 +94,7 @@ def _string_names(column: pa.Array) -> np.ndarray:
 
 
 class _Filter:
-    """A Bloom filter with two bits for each name."""
+    """Bits that a name is looked up by: two of a Bloom filter of ``BITS``, or one of a sketch's ``CELLS``."""
 
     def __init__(self, words: np.ndarray):
         self.words = words
@@ -98,9 +103,14 @@ class _Filter:
     def places(names: np.ndarray) -> np.ndarray:
         return np.stack([names & U(BITS - 1), (names >> U(32)) & U(BITS - 1)])
 
+    def _bit(self, at: np.ndarray) -> np.ndarray:
+        return (self.words[at >> U(6)] >> (at & U(63)) & U(1)).astype(bool)
+
     def __call__(self, names: np.ndarray) -> np.ndarray:
+        if len(self.words) * 64 == CELLS:
+            return self._bit(names & U(CELLS - 1))
         a, b = self.places(names)
-        return (((self.words[a >> U(6)] >> (a & U(63))) & (self.words[b >> U(6)] >> (b & U(63)))) & U(1)).astype(bool)
+        return self._bit(a) & self._bit(b)
 
 
 def _filter(frequent: DataFrame, depth: int) -> _Filter:
@@ -126,82 +136,199 @@ def _path(depth: int) -> list[str]:
     return [f"w{k + 1}" for k in range(depth)]
 
 
-def _trie(data: np.ndarray, offsets: np.ndarray, langs: list[str], fresh: np.ndarray, filters: list[_Filter]) -> Iterator[pa.RecordBatch]:
-    """The level below those that ``filters`` are of, of one shard's trie, as sorted paths with counts.
+def _shard(data: np.ndarray, offsets: np.ndarray, langs: list[str], fresh: np.ndarray) -> pa.RecordBatch:
+    """A shard as one row: its languages' words in order with counts, and its text as numbers of these.
 
-    In text i only runs that end with a word from byte ``fresh[i]`` on are counted.
+    Of text i only the words from byte ``fresh[i]`` on are counted; ``OLD`` marks the others, ``JOINED``
+    words whose piece goes on behind them.
     """
     low = wt.LOWER[data]
     starts, ends = _bounds(low, offsets)
-    if not len(starts):
-        return
     text = np.searchsorted(offsets, starts, "right") - 1
-    piece = np.cumsum(IS_BREAK[low])[starts] + text * (len(data) + 1)
-    old = starts < offsets[text] + fresh[text]
+    flags = ((starts < offsets[text] + fresh[text]) * OLD).astype(np.uint8)
+    broken = np.searchsorted(np.flatnonzero(IS_BREAK[low]), starts)
+    flags[:-1] |= ((broken[1:] == broken[:-1]) & (text[1:] == text[:-1])) * np.uint8(JOINED)
     names, first, word = np.unique(wt.slice_names(low, starts, ends), return_index=True, return_inverse=True)
     flat = low.tobytes()
-    words = pa.array([flat[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], pa.binary()).cast(pa.string())
-    order = pc.sort_indices(words.cast(pa.binary())).to_numpy()
+    words = pa.array([flat[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], pa.binary())
+    order = pc.sort_indices(words).to_numpy()
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    words, names, word = words.take(pa.array(order)), names[order], rank[word]
-    # level 1: languages and words, in order
     known = sorted(set(langs), key=lambda x: x.encode())
-    lang = np.array([known.index(x) for x in langs])[text]
-    code, at = np.unique(lang * len(order) + word, return_inverse=True)
-    own = [(code // len(order), code % len(order))]
-    name = _extend(_string_names(pa.array(known, pa.string()))[own[0][0]], names[own[0][1]])
-    node, here, paths = at, np.arange(len(at)), [own[0][1][:, None]]
-    one = names[own[0][1]]
-    for depth, check in enumerate(filters, 1):
-        # node[i]: the node of the run of ``depth`` words from word here[i]
-        live = check(name)[node]
-        node, here = node[live], here[live]
-        follows = np.flatnonzero((here[1:] == here[:-1] + 1) & (piece[here[1:]] == piece[here[:-1]])) if depth == 1 else np.flatnonzero((here[1:] == here[:-1] + 1) & (piece[here[1:] + depth - 1] == piece[here[:-1]]))
-        here = here[:-1][follows] if len(here) else here
-        pair, node = np.unique(node[:-1][follows] << 32 | at[here + depth] if len(follows) else np.zeros(0, np.int64), return_inverse=True)
-        up, last = pair >> 32, pair & 0xFFFFFFFF
-        name = _extend(name[up], one[last])
-        paths.append(np.concatenate([paths[-1][up], own[0][1][last][:, None]], axis=1))
-        own.append((own[-1][0][up], last))
-    depth = len(filters) + 1
-    count = np.bincount(node[~old[here + depth - 1]], minlength=len(paths[-1]))
-    some = np.flatnonzero(count)
-    for lo in range(0, len(some), 1 << 17):
-        rows = some[lo : lo + (1 << 17)]
-        columns = [words.take(pa.array(paths[-1][rows, k])) for k in range(depth)]
-        yield pa.RecordBatch.from_arrays([pa.array(known, pa.string()).take(pa.array(own[-1][0][rows])), *columns, pa.array(count[rows])], ["lang", *_path(depth), "f"])
-
-
-def _tries(docs: DataFrame, filters: list[_Filter]) -> DataFrame:
-    """The paths of one level of all shards' tries: ``lang, w1 .., f``."""
-    depth, shared = len(filters) + 1, [docs.sparkSession.sparkContext.broadcast(f.words) for f in filters]
+    place = {x: i for i, x in enumerate(known)}
+    code, at = np.unique(np.array([place[x] for x in langs], np.int64)[text] * len(order) + rank[word], return_inverse=True)
+    count = np.bincount(at[flags & OLD == 0], minlength=len(code))
+    lang, own = np.divmod(code, max(len(order), 1))
+    text = words.take(pa.array(order[own])).cast(pa.string())
+    packed = [lang.astype("<i4"), np.frombuffer(text.buffers()[1], "<i4", len(text) + 1), np.frombuffer(text.buffers()[2] or b"", np.uint8), count, at.astype("<i4"), flags]
+    return pa.RecordBatch.from_arrays([pa.array([known], pa.list_(pa.string())), *(pa.array([x.tobytes()], pa.binary()) for x in packed)], SHARD_COLUMNS)
+
+
+SHARD_COLUMNS = ["langs", "lang", "offsets", "words", "f", "at", "flags"]
+
+
+def _unpacked(x: pa.RecordBatch, i: int) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Languages, words and counts of a shard's numbers, its text as numbers, and flags."""
+    lang, offsets, words, f, at, flags = (x.column(k)[i].as_buffer() for k in range(1, 7))
+    n = len(f) // 8
+    word = pa.StringArray.from_buffers(n, offsets, words)
+    return x.column(0)[i].values.take(pa.array(np.frombuffer(lang, "<i4"))), word, np.frombuffer(f, "<i8"), np.frombuffer(at, "<i4"), np.frombuffer(flags, np.uint8)
+
+
+def _shards(docs: DataFrame, words: int) -> DataFrame:
+    """Rows of ``_shard``, for phrases of up to ``words`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        checks = [_Filter(b.value) for b in shared]
         held: list[tuple[np.ndarray, np.ndarray, list[str], np.ndarray]] = []
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
             ends = np.cumsum([0, *(len(h[0]) for h in held)])
             offsets = np.concatenate([h[1][:-1] + e for h, e in zip(held, ends, strict=False)] + [ends[-1:]])
-            yield from _trie(np.concatenate([h[0] for h in held]), offsets, [x for h in held for x in h[2]], np.concatenate([h[3] for h in held]), checks)
+            return _shard(np.concatenate([h[0] for h in held]), offsets, [x for h in held for x in h[2]], np.concatenate([h[3] for h in held]))
 
         for x in batches:
             data, offsets = wt.texts(x.column(1))
             langs = [UNKNOWN if v is None else v for v in x.column(0).to_pylist()]
             for lo, hi in wt.groups(offsets, SEGMENT):
                 raw, at = wt.group_bytes(data, offsets, lo, hi)
-                parts = [(raw, at, np.zeros(hi - lo, np.int64))] if hi - lo > 1 or len(raw) <= SEGMENT else [(s, np.array([0, len(s)]), np.array([f])) for s, f in _segments(raw, depth - 1, SEGMENT)]
+                parts = [(raw, at, np.zeros(hi - lo, np.int64))] if hi - lo > 1 or len(raw) <= SEGMENT else ((s, np.array([0, len(s)]), np.array([f])) for s, f in _segments(raw, words - 1, SEGMENT))
                 for part, bounds, fresh in parts:
                     held.append((part, bounds, langs[lo:hi], fresh))
                     if sum(len(h[0]) for h in held) >= SHARD:
-                        yield from flush()
+                        yield flush()
                         held.clear()
         if held:
-            yield from flush()
+            yield flush()
+
+    return stash(docs.mapInArrow(run, "langs array<string>, " + ", ".join(f"{c} binary" for c in SHARD_COLUMNS[1:])), "shards")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], checks: list[_Filter]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.Array]]:
+    """For each shard the runs of len(checks) + 1 words whose parts pass: names, counts, paths of words but the last, last words; and what languages and words the numbers stand for.
+
+    ``checks[k]`` is asked for names of k + 1 words. Words come once with their count, longer runs each time.
+    """
+    for x in batches:
+        for i in range(x.num_rows):
+            lang, word, f, at, flags = _unpacked(x, i)
+            one = _string_names(word)
+            name, path = _extend(_string_names(lang), one), np.arange(len(one))[:, None]
+            if not checks:
+                yield name, f, path[:, :0], path[:, 0], lang, word
+                continue
+            here = np.flatnonzero(checks[0](name)[at])
+            node = at[here].astype(np.int64)
+            for depth in range(1, len(checks) + 1):
+                follows = np.flatnonzero((here[1:] == here[:-1] + 1) & (flags[here[:-1] + depth - 1] & JOINED > 0))
+                here, up = here[follows], node[follows]
+                last = at[here + depth].astype(np.int64)
+                names = _extend(name[up], one[last])
+                if depth == len(checks):
+                    new = flags[here + depth] & OLD == 0
+                    yield names[new], np.ones(int(new.sum()), np.int64), path[up[new]], last[new], lang, word
+                    break
+                live = checks[depth](names)
+                here, names = here[live], names[live]
+                pair, first, node = np.unique(up[live] << 32 | last[live], return_index=True, return_inverse=True)
+                name, path = names[first], np.concatenate([path[pair >> 32], (pair & 0xFFFFFFFF)[:, None]], axis=1)
+
+
+def _sketched(shards: DataFrame, filters: list[_Filter], least: int) -> _Filter:
+    """The cells of a count sketch of the next level's runs that count ``least`` or more: others hold no frequent run."""
+    depth, shared, most = len(filters) + 1, [shards.sparkSession.sparkContext.broadcast(f.words) for f in filters], min(least, 255)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(CELLS, np.uint8)
+        for names, f, *_ in _runs(batches, [_Filter(b.value) for b in shared]):
+            at, each = np.unique(names & U(CELLS - 1), return_inverse=True)
+            cells[at] = np.minimum(cells[at] + np.bincount(each, f, len(at)), most)  # beyond the least count nothing is told apart
+        rows = cells.reshape(-1, CHUNK)
+        for lo in range(0, len(rows), 64):
+            own = np.flatnonzero(rows[lo : lo + 64].any(axis=1)) + lo
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([rows[k].tobytes() for k in own], pa.binary())], ["chunk", "cells"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, total = None, np.zeros(CHUNK, np.uint8)
+        out = lambda: pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([np.packbits(total >= most, bitorder="little").tobytes()])], ["chunk", "bits"])
+        for x in batches:
+            for k, cells in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
+                if k != chunk:
+                    if chunk is not None:
+                        yield out()
+                    chunk, total = k, np.zeros(CHUNK, np.uint8)
+                total = np.minimum(total.astype(np.uint16) + np.frombuffer(cells, np.uint8), most).astype(np.uint8)
+        if chunk is not None:
+            yield out()
+
+    cells = shards.mapInArrow(count, "chunk bigint, cells binary")
+    found = stash(cells.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, "chunk bigint, bits binary"), f"sketch-{depth}").toArrow()
+    words = np.zeros((CELLS // CHUNK, CHUNK // 64), U)
+    for chunk, bits in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True):
+        words[chunk] = np.frombuffer(bits, "<u8")
+    return _Filter(words.reshape(-1))
+
+
+def _tries(shards: DataFrame, filters: list[_Filter], least: int) -> DataFrame:
+    """The next level of all shards' tries as sorted paths ``lang, w1 .., f``, without those that can't be frequent."""
+    depth, sketch = len(filters) + 1, _sketched(shards, filters, least)
+    shared = [shards.sparkSession.sparkContext.broadcast(f.words) for f in (*filters, sketch)]
+
+    columns = ["lang", *_path(depth)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        *checks, dense = [_Filter(b.value) for b in shared]
+        held: list[pa.Table] = []
+
+        def merged() -> pa.Table:
+            return pa.concat_tables(held).group_by(columns, use_threads=False).aggregate([("f", "sum")]).rename_columns([*columns, "f"])
+
+        for names, f, path, last, lang, word in _runs(batches, checks):
+            keep = np.flatnonzero(dense(names) & (f > 0))
+            path = np.concatenate([path[keep], last[keep][:, None]], axis=1)
+            if depth > 1:
+                order = np.lexsort(path.T[::-1])
+                path = path[order]
+                new = np.flatnonzero(np.append(True, (path[1:] != path[:-1]).any(axis=1))[: len(path)])
+                path, f = path[new], np.diff(np.append(new, len(path)))
+            else:
+                f = f[keep]
+            held.append(pa.table([lang.take(pa.array(path[:, 0])), *[word.take(pa.array(path[:, k])) for k in range(depth)], pa.array(f)], [*columns, "f"]))
+            if sum(map(len, held)) > ROWS:  # equal paths of a task's shards merge before they leave it
+                held = [merged()]
+                if len(held[0]) > ROWS // 2:
+                    yield from held.pop().sort_by([(c, "ascending") for c in columns]).to_batches(1 << 16)
+        if held:
+            yield from merged().sort_by([(c, "ascending") for c in columns]).to_batches(1 << 16)
 
     schema = "lang string, " + "".join(f"{w} string, " for w in _path(depth)) + "f bigint"
-    return stash(docs.mapInArrow(run, schema), f"tries-{depth}")
+    return stash(shards.mapInArrow(run, schema), f"tries-{depth}")
+
+
+def _totals(shards: DataFrame) -> DataFrame:
+    """``lang, n``: all words of a language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for langs, lang, f in zip(*(c.to_pylist() for c in x.columns), strict=True):
+                n = np.bincount(np.frombuffer(lang, "<i4"), np.frombuffer(f, "<i8"), len(langs)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(n)], ["lang", "n"])
+
+    return stash(shards.select("langs", "lang", "f").mapInArrow(run, "lang string, n bigint").groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "totals")
+
+
+def _levels(shards: DataFrame, words: int, least: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Totals of languages, and the frequent paths of each length."""
+    total, levels, filters = _totals(shards), [], []
+    for depth in range(1, words + 1):
+        path = ["lang", *_path(depth)]
+        tries = _tries(shards, filters, least)
+        merged = tries.repartitionByRange(*path).groupBy(*path).agg(F.sum("f").alias("f"))
+        levels.append(stash(merged.where(F.col("f") >= least), f"frequent-{depth}"))
+        unstash(tries)
+        if depth < words:
+            filters.append(_filter(levels[-1], depth))
+    unstash(shards)
+    return total, levels
 
 
 def _suffix_links(level: DataFrame, below: DataFrame, depth: int) -> DataFrame:
@@ -241,20 +368,15 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     empty; repeated rows count again; an empty table gives no rows. Counts are exact; scores are exact
     up to counts of 10^15.
     """
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark, 200, 4)
     source = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    levels: list[DataFrame] = []
-    filters: list[_Filter] = []
-    total = None
-    for depth in range(1, words + 1):
-        tries = _tries(source, filters)
-        if depth == 1:
-            total = stash(tries.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
-        path = ["lang", *_path(depth)]
-        merged = tries.repartitionByRange(*path).groupBy(*path).agg(F.sum("f").alias("f"))
-        levels.append(stash(merged.where(F.col("f") >= least), f"frequent-{depth}"))
-        if depth < words:
-            filters.append(_filter(levels[-1], depth))
+    before = spark.conf.get(READ_AT_ONCE)
+    spark.conf.set(READ_AT_ONCE, "8")  # a shard is a row of a megabyte; all that reads shards is done when this is undone
+    try:
+        total, levels = _levels(_shards(source, words), words, least)
+    finally:
+        spark.conf.set(READ_AT_ONCE, before)
     linked = levels[:1]
     for depth in range(2, words + 1):
         linked.append(stash(_suffix_links(levels[depth - 1], linked[-1], depth), f"linked-{depth}"))
