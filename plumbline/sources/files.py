@@ -7,11 +7,13 @@ import os
 import shutil
 import tempfile
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import basename, cache_screen, strict_object
+from .hadoop import Store, local_path
 from .lines import read_lines
 
 #: Suffixes of image files (fixed values).
@@ -114,8 +116,12 @@ def read_prompts(spark: SparkSession, prompt: str | None = None, caption_json: s
 
 
 def write_atomic(path: str, text: str) -> None:
-    """Replace a local file in one step, after its bytes are on disk."""
-    folder = os.path.dirname(os.path.abspath(path))
+    """Replace a small file in one step, after its bytes are on disk; a path with a scheme by its file system."""
+    own = local_path(path)
+    if own is None:
+        Store(SparkSession.active()).write(path, text)
+        return
+    folder = os.path.dirname(os.path.abspath(own))
     os.makedirs(folder, exist_ok=True)
     handle, temporary = tempfile.mkstemp(dir=folder)
     try:
@@ -123,37 +129,51 @@ def write_atomic(path: str, text: str) -> None:
             f.write(text)
             f.flush()
             os.fsync(f.fileno())
-        os.replace(temporary, path)
+        os.replace(temporary, own)
     except BaseException:
         os.path.exists(temporary) and os.remove(temporary)
         raise
 
 
-def protect(output: str, inputs: list[str], overwrite: bool = False) -> None:
-    """Refuse outputs that exist, unless told to overwrite, and outputs in or over inputs."""
-    own = os.path.realpath(output)
-    for x in map(os.path.realpath, inputs):
-        if own == x or own.startswith(x.rstrip("/") + "/") or x.startswith(own.rstrip("/") + "/"):
+def protect(output: str, inputs: list[str], overwrite: bool = False, spark: SparkSession | None = None) -> None:
+    """Refuse outputs that exist, unless told to overwrite, and outputs in or over inputs, on any file system."""
+    store = Store(spark or SparkSession.active())
+    own = store.qualified(output)
+    for x in map(store.qualified, inputs):
+        if own == x or own.startswith(f"{x}/") or x.startswith(f"{own}/"):
             raise ValueError(f"{output} lies in or over the input {x}")
-    if not overwrite and os.path.exists(own):
+    if not overwrite and store.exists(own):
         raise FileExistsError(output)
 
 
-def write_splits(rows: DataFrame, folder: str, report: dict, order: str, overwrite: bool = False) -> None:
-    """One JSON-lines file for each split, then the report, which so marks a complete output.
+def write_splits(rows: DataFrame, folder: str, report: dict, order: str, overwrite: bool = False, parts: bool = False) -> None:
+    """JSON lines of each split in order, then the report, which so marks a complete output.
 
-    Spark sorts and writes each split in ranges, by many tasks, into a staging folder beside; their
-    files are joined in order and renamed.
+    Spark sorts and writes each split in ranges, by many tasks, into a staging folder on the same file system.
+    A split is one file that its parts were joined to, or with ``parts`` the folder of them, of
+    which no byte is written twice. One rename makes the output; where one is replaced, its report goes
+    first. A run that is killed leaves no output but its staging folder.
     """
-    staging = f"{folder.rstrip('/')}.staging"
-    if os.path.exists(folder) and not overwrite:
+    store, target = Store(rows.sparkSession), folder.rstrip("/")
+    if store.exists(target) and not overwrite:
         raise FileExistsError(folder)
-    shutil.rmtree(staging, ignore_errors=True)
-    os.makedirs(folder, exist_ok=True)
-    for name in SPLITS:
-        rows.where(F.col("split") == name).orderBy(order).write.option("ignoreNullFields", "false").json(f"{staging}/{name}")
-        os.replace(_joined(f"{staging}/{name}"), f"{folder}/{name}.jsonl")
-    shutil.rmtree(staging, ignore_errors=True)
+    staging = f"{target}.staging-{uuid.uuid4().hex}"
+    try:
+        for name in SPLITS:
+            written = f"{staging}/{name}.jsonl" if parts else f"{staging}/parts/{name}"
+            rows.where(F.col("split") == name).orderBy(order).write.option("ignoreNullFields", "false").json(written)
+            if not parts:
+                store.join(written, f"{staging}/{name}.jsonl")
+        store.delete(f"{staging}/parts")
+        if store.exists(target):
+            store.delete(f"{target}/report.json")
+            for name in SPLITS:
+                store.delete(f"{target}/{name}.jsonl")
+                store.rename(f"{staging}/{name}.jsonl", f"{target}/{name}.jsonl")
+        else:
+            store.rename(staging, target)
+    finally:
+        store.delete(staging)
     write_report(folder, report)
 
 
@@ -162,47 +182,39 @@ def write_report(folder: str, report: dict) -> None:
 
 
 def write_issues(folder: str, issues: DataFrame, order: list[str], name: str = "issues.jsonl") -> str:
-    """All rows of a report as JSON lines beside it, in order; they are streamed, never held as a whole."""
-    os.makedirs(folder, exist_ok=True)
-    handle, temporary = tempfile.mkstemp(dir=folder)
-    with os.fdopen(handle, "w", encoding="utf-8") as f:
-        for row in issues.orderBy(*order).toLocalIterator(prefetchPartitions=True):
-            f.write(json.dumps(row.asDict(True), ensure_ascii=False) + "\n")
-        f.flush()
-        os.fsync(f.fileno())
-    os.replace(temporary, f"{folder.rstrip('/')}/{name}")
+    """All rows of a report as JSON lines beside it, in order, whatever their number."""
+    store, target = Store(issues.sparkSession), folder.rstrip("/")
+    staging = f"{target}.staging-{uuid.uuid4().hex}"
+    try:
+        issues.orderBy(*order).write.option("ignoreNullFields", "false").json(f"{staging}/parts")
+        store.join(f"{staging}/parts", f"{staging}/{name}")
+        store.make(target)
+        store.rename(f"{staging}/{name}", f"{target}/{name}", overwrite=True)
+    finally:
+        store.delete(staging)
     return name
 
 
 def write_exclusive(rows: DataFrame, path: str, report: dict, order: str) -> None:
     """A manifest as one JSON-lines file and its report beside it; neither may exist, the report comes last."""
-    target = f"{path}.report.json"
+    store, target = Store(rows.sparkSession), f"{path}.report.json"
     for x in (path, target):
-        if os.path.exists(x):
+        if store.exists(x):
             raise FileExistsError(x)
-    staging = f"{path}.staging"
-    shutil.rmtree(staging, ignore_errors=True)
-    rows.orderBy(order).write.option("ignoreNullFields", "false").json(staging)
-    joined = _joined(staging)
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
     try:
-        os.link(joined, path)  # fails if another writer was first
+        rows.orderBy(order).write.option("ignoreNullFields", "false").json(f"{staging}/parts")
+        store.join(f"{staging}/parts", f"{staging}/joined")
+        own = local_path(path)
+        if own is None:
+            store.rename(f"{staging}/joined", path)
+        else:
+            os.link(local_path(f"{staging}/joined"), own)  # fails if another writer was first; a rename here would not
     finally:
-        shutil.rmtree(staging, ignore_errors=True)
+        store.delete(staging)
     write_atomic(target, json.dumps(report, ensure_ascii=False, indent=1, sort_keys=True) + "\n")
 
 
-def _joined(folder: str) -> str:
-    """The ordered part files of a written folder as one file on disk."""
-    target = f"{folder}/joined"
-    with open(target, "wb") as out:
-        for x in sorted(x for x in os.listdir(folder) if x.startswith("part-")):
-            with open(f"{folder}/{x}", "rb") as f:
-                shutil.copyfileobj(f, out)
-        out.flush()
-        os.fsync(out.fileno())
-    return target
-
-
 def write_with_pointer(folder: str, manifest: dict, pointer: str) -> None:
     """A cache's manifest, then the pointer that names its folder, which so never names an incomplete one."""
     write_atomic(f"{folder.rstrip('/')}/manifest.json", json.dumps(manifest, ensure_ascii=False) + "\n")
@@ -280,10 +292,10 @@ def _tree(folder: str) -> dict[str, bytes]:
 
 def resolve_cache(spark: SparkSession, path: str) -> DataFrame:
     """Records of a cache: a folder with manifest.json, or a pointer file that names one, relative to itself or not."""
-    if os.path.isfile(path):
-        with open(path, encoding="utf-8-sig") as f:
-            target = json.load(f)["cache_path"]
-        path = target if os.path.isabs(target) else os.path.join(os.path.dirname(os.path.abspath(path)), target)
+    store = Store(spark)
+    if not store.is_folder(path):
+        target = json.loads(store.read(path).removeprefix("\ufeff"))["cache_path"]
+        path = target if target.startswith("/") or "://" in target else f"{path.rpartition('/')[0] or '.'}/{target}"
     return spark.read.option("multiLine", "true").json(f"{path}/manifest.json")
 
 

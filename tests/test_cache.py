@@ -12,6 +12,7 @@ from plumbline.functions.text import contained, resolved
 from plumbline.operators import cache, gallery
 from plumbline.plans.staged import run_stages
 from plumbline.sources import files as src
+from plumbline.sources.hadoop import Store
 
 RECORD = "ordinal int, id string, split string, `group` string, image_sha256 string, feature_file string, feature_sha256 string"
 ROWS = [(0, "a", "train", "g1", "i1", "a.bin", "A"), (1, "b", "validation", "g2", "i2", "sub/../b.bin", "B"), (2, "c", "validation", "g3", None, "c.bin", "C"), (3, "d", "test", "g4", "i4", "d.bin", "D")]
@@ -123,6 +124,52 @@ def test_outputs(spark, tmp_path):
     assert src.resolve_cache(spark, f"{tmp_path}/latest.json").count() == 1
 
 
+def test_sinks_of_any_file_system(spark, tmp_path):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.sinks.link./t", f"file://{tmp_path}")
+    base = "viewfs://sinks/t"
+    rows = spark.createDataFrame([(i, f"v{i}", ["train", "test"][i % 2]) for i in range(40)], "k int, v string, split string").repartition(5)
+    keys = lambda path: [r.k for r in spark.read.json(path).orderBy("k").collect()]
+    for parts in (False, True):
+        out = f"{base}/out{parts}"
+        src.write_splits(rows, out, {"n": 40}, "k", parts=parts)
+        assert keys(f"{out}/train.jsonl") == list(range(0, 40, 2)) and json.loads(Store(spark).read(f"{out}/report.json")) == {"n": 40}
+        with pytest.raises(FileExistsError):
+            src.write_splits(rows, out, {}, "k", parts=parts)
+        src.write_splits(rows.where("k < 10"), out, {"n": 10}, "k", overwrite=True, parts=parts)
+        assert keys(f"{out}/test.jsonl") == [1, 3, 5, 7, 9]
+    with open(f"{tmp_path}/outFalse/train.jsonl") as f:
+        assert [json.loads(x)["k"] for x in f] == [0, 2, 4, 6, 8]
+    assert src.write_issues(f"{base}/outFalse", rows, ["k"], "all.jsonl") == "all.jsonl" and keys(f"{base}/outFalse/all.jsonl") == list(range(40))
+    src.write_exclusive(rows, f"{base}/m.jsonl", {"rows": 40}, "k")
+    assert keys(f"{base}/m.jsonl") == list(range(40))
+    with pytest.raises(FileExistsError):
+        src.write_exclusive(rows, f"{base}/m.jsonl", {}, "k")
+    Store(spark).make(f"{base}/c")
+    src.write_with_pointer(f"{base}/c", {"records": [{"id": "a"}]}, f"{base}/latest.json")
+    assert src.resolve_cache(spark, f"{base}/latest.json").count() == 1
+    src.write_status(f"{base}/c", 1, 2)
+    assert "running" in Store(spark).read(f"{base}/c/status.json")
+    for output, inputs in ((f"{base}/c/x", [f"{base}/c"]), (base, [f"{base}/c"]), (f"{base}/c/../c", [f"{base}/c"])):
+        with pytest.raises(ValueError):
+            src.protect(output, inputs, spark=spark)
+    with pytest.raises(FileExistsError):
+        src.protect(f"{base}/m.jsonl", [f"{base}/c"], spark=spark)
+    src.protect(f"{base}/new", [f"{base}/c"], spark=spark)
+    assert not [x for x in os.listdir(tmp_path) if "staging" in x]
+
+
+def test_a_run_that_ends_early_leaves_no_output(spark, tmp_path):
+    bad = spark.createDataFrame([(1, "train"), (2, "test")], "k int, split string").withColumn("v", F.when(F.col("split") == "test", F.raise_error(F.lit("no"))).otherwise("x"))
+    with pytest.raises(Exception, match="no"):
+        src.write_splits(bad, f"{tmp_path}/out", {}, "k")
+    assert os.listdir(tmp_path) == []
+    fine = bad.withColumn("v", F.lit("x"))
+    src.write_splits(fine, f"{tmp_path}/out", {"n": 2}, "k")
+    with pytest.raises(Exception, match="no"):
+        src.write_splits(bad, f"{tmp_path}/out", {}, "k", overwrite=True)
+    assert "report.json" in os.listdir(f"{tmp_path}/out")  # what was there stays
+
+
 def test_event_log_and_status(tmp_path):
     src.append_event(f"{tmp_path}/e.jsonl", event="a", loss=0.5)
     with pytest.raises(ValueError):
