@@ -3,16 +3,17 @@
 Each shard of the texts, some megabytes of a task's rows, is written as numbers of its words, in byte order
 and language by language, and becomes a count trie of limited depth: its nodes are the runs of
 words that lie within a piece of text, a child is told by its parent's number and its word's, and so
-the trie comes out sorted. Tries of a task's shards merge there; what it has is written as sorted
-paths with counts, dealt by ranges of paths, and equal paths of all tasks merge.
+the trie comes out sorted. Tries of a task's shards merge there; what it has is serialised in sorted blocks,
+one for each range of paths, and the blocks of a range merge. Ranges are of the paths' 64-bit names:
+in the order of words, the children of one hot word would be in one range.
 
 A phrase is no more frequent than its parts, so the tries are made a level at a time: the next level
 has only children whose two parts of the level before are frequent, as a Bloom filter of fixed size
 names them, and whose cell of a count sketch of fixed size reaches the least count. Both never
 miss; they only save less as they fill up, and the merged counts decide. From the frequent paths, in order, a walk down the trie
 gives each node the counts of the nodes above it, the left parts; suffix links, from a path to the path
-without its first word, give the right parts, one link at a time. Words of a shard are told apart by
-64-bit names; paths of different shards by their words.
+without its first word, give the right parts, one link at a time. Words and paths of one shard are told
+apart by 64-bit names; paths of different shards by their words.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.ipc  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ SHARD, SEGMENT = 1 << 20, 1 << 19
 #: Bits of the filter of frequent paths; parts that hot words, and languages at the end, are dealt to.
 BITS, SALTS = 1 << 26, 16
 #: Cells of the sketch that counts runs before their paths are written, and those of a row of it; paths that a task merges.
-CELLS, CHUNK, ROWS = 1 << 24, 1 << 16, 1 << 20
+CELLS, CHUNK, ROWS = 1 << 24, 1 << 16, 1 << 19
 OLD, JOINED = 1, 2
 READ_AT_ONCE = "spark.sql.parquet.columnarReaderBatchSize"
 UNKNOWN = "und"
@@ -268,11 +270,13 @@ def _sketched(shards: DataFrame, filters: list[_Filter], least: int) -> _Filter:
     return _Filter(words.reshape(-1))
 
 
-def _tries(shards: DataFrame, filters: list[_Filter], least: int) -> DataFrame:
-    """The next level of all shards' tries as sorted paths ``lang, w1 .., f``, without those that can't be frequent."""
+def _tries(shards: DataFrame, filters: list[_Filter], least: int, cut: int) -> DataFrame:
+    """``range, block``: the next level of each task's trie, without what can't be frequent, as sorted blocks of paths with counts.
+
+    A range has the paths whose names agree in the first ``cut`` bits, so that a hot prefix is in many.
+    """
     depth, sketch = len(filters) + 1, _sketched(shards, filters, least)
     shared = [shards.sparkSession.sparkContext.broadcast(f.words) for f in (*filters, sketch)]
-
     columns = ["lang", *_path(depth)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,28 +284,67 @@ def _tries(shards: DataFrame, filters: list[_Filter], least: int) -> DataFrame:
         held: list[pa.Table] = []
 
         def merged() -> pa.Table:
-            return pa.concat_tables(held).group_by(columns, use_threads=False).aggregate([("f", "sum")]).rename_columns([*columns, "f"])
+            return _summed(pa.concat_tables(held), ["name", *columns])
+
+        def blocks(trie: pa.Table) -> Iterator[pa.RecordBatch]:
+            trie = trie.sort_by([("name", "ascending")])
+            at = (trie.column("name").to_numpy() >> U(63 - cut) >> U(1)).astype(np.int64)
+            own = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+            ends, trie = np.append(own[1:], len(at))[: len(own)], trie.drop_columns(["name"])
+            for k in range(0, len(own), 64):
+                packed = [_block(trie.slice(a, b - a)) for a, b in zip(own[k : k + 64].tolist(), ends[k : k + 64].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(at[own[k : k + 64]]), pa.array(packed, pa.binary())], ["range", "block"])
 
         for names, f, path, last, lang, word in _runs(batches, checks):
             keep = np.flatnonzero(dense(names) & (f > 0))
-            path = np.concatenate([path[keep], last[keep][:, None]], axis=1)
-            if depth > 1:
-                order = np.lexsort(path.T[::-1])
-                path = path[order]
-                new = np.flatnonzero(np.append(True, (path[1:] != path[:-1]).any(axis=1))[: len(path)])
-                path, f = path[new], np.diff(np.append(new, len(path)))
-            else:
-                f = f[keep]
-            held.append(pa.table([lang.take(pa.array(path[:, 0])), *[word.take(pa.array(path[:, k])) for k in range(depth)], pa.array(f)], [*columns, "f"]))
+            # equal names of a shard are one path
+            name, first, each = np.unique(names[keep], return_index=True, return_inverse=True)
+            f, path = np.bincount(each, f[keep], len(name)).astype(np.int64), np.concatenate([path[keep[first]], last[keep[first]][:, None]], axis=1)
+            held.append(pa.table([pa.array(name), lang.take(pa.array(path[:, 0])), *[word.take(pa.array(path[:, k])) for k in range(depth)], pa.array(f)], ["name", *columns, "f"]))
             if sum(map(len, held)) > ROWS:  # equal paths of a task's shards merge before they leave it
                 held = [merged()]
                 if len(held[0]) > ROWS // 2:
-                    yield from held.pop().sort_by([(c, "ascending") for c in columns]).to_batches(1 << 16)
+                    yield from blocks(held.pop())
+        if held:
+            yield from blocks(merged())
+
+    return stash(shards.mapInArrow(run, "range bigint, block binary"), f"tries-{depth}")
+
+
+def _summed(rows: pa.Table, columns: list[str]) -> pa.Table:
+    return rows.group_by(columns, use_threads=False).aggregate([("f", "sum")]).rename_columns([*columns, "f"])
+
+
+def _block(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _merged(tries: DataFrame, depth: int, least: int) -> DataFrame:
+    """``lang, w1 .., f``: paths that all tries together count ``least`` times or more; the blocks of a range merge in one task."""
+    columns = ["lang", *_path(depth)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def out() -> list[pa.RecordBatch]:
+            whole = _summed(pa.concat_tables(held), columns)
+            return whole.filter(pc.greater_equal(whole.column("f"), least)).to_batches(1 << 16)
+
+        for x in batches:
+            for k, block in zip(x.column(0).to_pylist(), x.column(1), strict=True):
+                if k != at and held:
+                    yield from out()
+                    held = []
+                at = k
+                held.append(pa.ipc.open_stream(block.as_buffer()).read_all())
         if held:
-            yield from merged().sort_by([(c, "ascending") for c in columns]).to_batches(1 << 16)
+            yield from out()
 
     schema = "lang string, " + "".join(f"{w} string, " for w in _path(depth)) + "f bigint"
-    return stash(shards.mapInArrow(run, schema), f"tries-{depth}")
+    return stash(tries.repartition("range").sortWithinPartitions("range").mapInArrow(run, schema), f"frequent-{depth}")
 
 
 def _totals(shards: DataFrame) -> DataFrame:
@@ -319,11 +362,11 @@ def _totals(shards: DataFrame) -> DataFrame:
 def _levels(shards: DataFrame, words: int, least: int) -> tuple[DataFrame, list[DataFrame]]:
     """Totals of languages, and the frequent paths of each length."""
     total, levels, filters = _totals(shards), [], []
+    # so many ranges that one has the paths of a few shards
+    cut = min(max(6, (shards.count() // 4).bit_length()), 24)
     for depth in range(1, words + 1):
-        path = ["lang", *_path(depth)]
-        tries = _tries(shards, filters, least)
-        merged = tries.repartitionByRange(*path).groupBy(*path).agg(F.sum("f").alias("f"))
-        levels.append(stash(merged.where(F.col("f") >= least), f"frequent-{depth}"))
+        tries = _tries(shards, filters, least, cut)
+        levels.append(_merged(tries, depth, least))
         unstash(tries)
         if depth < words:
             filters.append(_filter(levels[-1], depth))
