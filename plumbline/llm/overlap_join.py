@@ -42,6 +42,8 @@ LISTS, MEETING, CLASS = 64, 0.1, 1.25
 LARGEST = 300
 #: Pairs that are compared at once.
 PAIRS = 1 << 16
+#: Keys of a set by which pairs tell where they met before; larger than any.
+LOW, NONE = 32, (1 << 63) - 1
 #: Farther than any pair.
 FAR = (PARITY + 1) << 32
 
@@ -196,6 +198,7 @@ def _pairs(rows: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in whole_buckets(batches, 2):
             key, chunk, node, root, n = (x.column(i).to_numpy() for i in range(5))
+            low = _padded(x.column(6)) if all_pairs else None
             odd = np.frombuffer(b"".join(x.column(5).to_pylist()), U).reshape(-1, PARITY // 64)
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
@@ -210,7 +213,8 @@ def _pairs(rows: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
                 keep = far * (DENOM + NUMER) <= (n[a] + n[b]) * (DENOM - NUMER)
                 a, b, far = a[keep], b[keep], far[keep]
                 if all_pairs:
-                    found.append(np.stack([node[a], node[b]]))
+                    own = first_common(low, a, b, key)
+                    found.append(np.stack([node[a[own]], node[b[own]]]))
                     continue
                 while len(a):
                     best, order = np.full(len(key), FAR), far << 32 | np.arange(len(a))
@@ -225,12 +229,33 @@ def _pairs(rows: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
             pair = np.unique(np.sort(pair, axis=0), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
 
-    facts = nodes.select(F.col("node").alias("_node"), "n", "odd").hint("merge")
-    whole = rows.select("key", "chunk", "node", "root").join(facts, F.col("node") == F.col("_node")).select("key", "chunk", "node", "root", "n", "odd")
+    facts, columns = nodes.select(F.col("node").alias("_node"), "n", "odd").hint("merge"), ["key", "chunk", "node", "root", "n", "odd"]
+    whole = rows.select("key", "chunk", "node", "root").join(facts, F.col("node") == F.col("_node")).select(*columns)
+    if all_pairs:  # a pair that meets in many buckets is given by one
+        keys = rows.select("key", "node").distinct().groupBy(F.col("node").alias("_node")).agg(F.slice(F.sort_array(F.collect_list("key")), 1, LOW).alias("low"))
+        whole = whole.join(keys.hint("merge"), F.col("node") == F.col("_node")).select(*columns, "low")
     sorted_ = whole.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
     return _plausible(stash(sorted_.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs"), nodes)
 
 
+def _padded(lists: pa.ChunkedArray) -> np.ndarray:
+    """Lists of ``LOW`` numbers at most (rows, LOW), filled up with the largest number."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    size, out = lists.value_lengths().to_numpy(), np.full((len(lists), LOW), NONE)
+    out[np.arange(LOW) < size[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def first_common(low: np.ndarray, a: np.ndarray, b: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Of pairs that meet under ``key[a]``, those that don't meet under a smaller key that is among the lowest of both."""
+    out = [np.zeros(0, np.int64)]
+    for lo in range(0, len(a), 4096):
+        x, y = low[a[lo : lo + 4096]], low[b[lo : lo + 4096]]
+        least = np.where((x[:, :, None] == y[:, None, :]).any(axis=2), x, NONE).min(axis=1)
+        out.append(np.flatnonzero((least == NONE) | (least == key[a[lo : lo + 4096]])) + lo)
+    return np.concatenate(out)
+
+
 def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs that the parities of many classes allow, too; sets of many shingles need so many."""
 

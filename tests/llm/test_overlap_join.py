@@ -111,3 +111,18 @@ def test_wide_parities_fold_to_any_width():
         small = min(len(x), len(y)) * 8
         want = np.bitwise_count(np.frombuffer(oj.parities(a, small), np.uint8) ^ np.frombuffer(oj.parities(b, small), np.uint8)).sum()
         assert oj.differing(x, y) == oj.differing(y, x) == want <= len(np.setxor1d(a, b))
+
+
+def test_a_pair_is_given_by_one_of_its_buckets():
+    r = np.random.RandomState(7)
+    sets = [np.sort(r.choice(90, r.randint(1, 50), replace=False)) for _ in range(30)]
+    low = np.full((30, oj.LOW), oj.NONE)
+    for i, s in enumerate(sets):
+        low[i, : min(len(s), oj.LOW)] = s[: oj.LOW]
+    for i, s in enumerate(sets):
+        for j in range(i):
+            common = np.intersect1d(s, sets[j])
+            given = [k for k in common if len(oj.first_common(low, np.array([i]), np.array([j]), np.full(30, k)))]
+            known = np.intersect1d(low[i], low[j])
+            known = known[known < oj.NONE]
+            assert given == ([known.min()] if len(known) else common.tolist())
