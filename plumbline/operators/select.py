@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,3 +60,28 @@ def conditions(rows: DataFrame, names: list[str], seeds: list[int]) -> DataFrame
 def epoch_order(key: Column, seed: int, epoch: Column) -> Column:
     """A key that orders an epoch; unlike a seeded shuffle of a list it needs no list."""
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), key.cast("string")), 256)
+
+
+def epoch_place(ordinal: Column, n: int, seed: int, epoch: int) -> Column:
+    """The place of row ``ordinal`` of ``n`` in an epoch: a permutation of 0 .. n-1 for each seed and epoch, without a sort.
+
+    A Feistel network over a grid of about n cells, whose rounds add digests modulo its sides; a place
+    that falls behind n walks on until it is below. At most a side's length of the grid lies behind n.
+    """
+    wide = math.isqrt(max(n - 1, 0)) + 1
+    deep = max(1, -(-n // wide))
+    key = f"{seed}:{epoch}:"
+
+    def drawn(turn: Column, value: Column, below: int) -> Column:
+        digest = F.sha2(F.concat(F.lit(key), turn.cast("string"), F.lit(":"), value.cast("string")), 256)
+        return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % below
+
+    def turned(s: Column, k: Column) -> Column:
+        left, right = F.struct(((s["l"] + drawn(k, s["r"], wide)) % wide).alias("l"), s["r"].alias("r")), F.struct(s["l"].alias("l"), ((s["r"] + drawn(k, s["l"], deep)) % deep).alias("r"))
+        return F.when(k % 2 == 0, left).otherwise(right)
+
+    def once(x: Column) -> Column:
+        start = F.struct(F.floor(x / deep).cast("long").alias("l"), (x % deep).cast("long").alias("r"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(3)), start, turned, lambda s: s["l"] * deep + s["r"])
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(min(wide, 64))), once(ordinal.cast("long")), lambda x, _: F.when(x < n, x).otherwise(once(x)))

@@ -605,6 +605,23 @@ def lr_schedule(spark, sf_dir):
     return schedule.learning_rates(spark, 1000, 50, 1e-4).select("step", F.round("lr", 12).alias("lr"))
 
 
+@query(
+    """WITH RECURSIVE g AS (SELECT n, w, greatest(1, (n + w - 1) // w) AS d FROM (SELECT n, (floor(sqrt(n - 1)) + 1)::BIGINT AS w FROM (SELECT max(c_custkey) + 1 AS n FROM customer))),
+    walk(id, l, r, k) AS (
+      SELECT c_custkey, c_custkey // d, c_custkey % d, 0 FROM customer, g
+      UNION ALL
+      SELECT id, CASE WHEN k % 2 = 0 THEN (l + ('0x' || substr(sha256('42:3:' || k % 4 || ':' || r), 1, 15))::BIGINT) % w ELSE l END,
+        CASE WHEN k % 2 = 1 THEN (r + ('0x' || substr(sha256('42:3:' || k % 4 || ':' || l), 1, 15))::BIGINT) % d ELSE r END, k + 1
+      FROM walk, g WHERE k = 0 OR k % 4 <> 0 OR l * d + r >= n
+    )
+    SELECT id AS c_custkey, (l * d + r)::BIGINT AS place FROM walk, g WHERE k > 0 AND k % 4 = 0 AND l * d + r < n"""
+)
+def epoch_places(spark, sf_dir):
+    """The places of numbered customers in an epoch; the largest number is all that is asked of the table first."""
+    rows = table(spark, sf_dir, "customer")
+    return rows.select("c_custkey", select.epoch_place(F.col("c_custkey"), (rows.agg(F.max("c_custkey")).first()[0] or 0) + 1, 42, 3).alias("place"))
+
+
 @query(
     """WITH o AS (SELECT doc_id, row_number() OVER (ORDER BY sha256('42:1:' || doc_id), doc_id) - 1 AS position, count(*) OVER () AS n FROM documents)
     SELECT doc_id, 1 AS epoch, position, ((n + 7) // 8 + position // 8 + 1)::BIGINT AS step, 1.0 / least(8, n - position // 8 * 8) AS loss_weight FROM o"""

@@ -171,3 +171,16 @@ def test_sinks_and_scans(spark, tmp_path):
         json.dump({"cache_path": "cache"}, f)
     assert src.resolve_cache(spark, f"{tmp_path}/latest.json").first().fingerprint == "f"
     assert lineage.config_digest({"b": 1, "a": "é"}) == lineage.config_digest({"a": "é", "b": 1})
+
+
+def test_epochs_are_permutations(spark):
+    from plumbline.operators.select import epoch_place
+
+    for n in (1, 2, 3, 7, 10, 99, 1000, 4097):
+        rows = spark.range(n).select("id", epoch_place(F.col("id"), n, 1, 0).alias("a"), epoch_place(F.col("id"), n, 1, 1).alias("b"), epoch_place(F.col("id"), n, 2, 0).alias("c")).collect()
+        for k in "abc":
+            assert sorted(r[k] for r in rows) == list(range(n)), (n, k)
+        if n > 90:
+            assert len({tuple(r[k] for r in rows) for k in "abc"}) == 3 and sum(r.a == r.id for r in rows) < 0.1 * n
+            assert abs(sum((r.id - n / 2) * (r.a - n / 2) for r in rows)) < 0.1 * n**3
+
