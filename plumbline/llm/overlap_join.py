@@ -94,15 +94,18 @@ def size_class(n: int) -> int:
     return math.floor(math.log(n) / math.log(CLASS) + 1e-9)
 
 
+def largest(size_class_: int) -> int:
+    """The largest size of a class."""
+    return math.ceil(CLASS ** (size_class_ + 1) - 1e-9) - 1
+
+
 def cheapest(subsets: dict[int, float], lists: dict[int, float]) -> int:
     """The largest size that goes by subsets, from the costs of each size class either way; 1 where none should."""
-    classes = sorted(c for c in lists if c <= max(subsets, default=-1))
 
-    def cost(below: int) -> float:  # classes under ``below`` are small; the one under it is in the lists, too
-        return sum(v for c, v in subsets.items() if c < below) + sum(v for c, v in lists.items() if c >= below - 1)
+    def cost(boundary: int) -> float:  # classes that reach up to 4/5 of it are in the lists, too
+        return sum(v for c, v in subsets.items() if largest(c) <= boundary) + sum(v for c, v in lists.items() if DENOM * largest(c) >= NUMER * (boundary + 1))
 
-    best = min([0, *(c + 1 for c in classes)], key=lambda b: (cost(b), b))
-    return max(1, math.ceil(CLASS**best) - 1) if best else 1
+    return min([1, *(largest(c) for c in subsets)], key=lambda x: (cost(x), -x))
 
 
 def _boundary(nodes: DataFrame) -> int:

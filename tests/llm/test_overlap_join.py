@@ -82,10 +82,11 @@ def test_keys_meet_wherever_sets_are_similar():
 
 
 def test_boundary_follows_the_cost():
-    rows, subsets = {c: 10.0 for c in range(11, 16)}, {11: 5, 12: 5, 13: 90, 14: 400, 15: 900}
+    rows, subsets = {c: 10.0 for c in range(11, 16)}, {11: 6, 12: 6, 13: 90, 14: 400, 15: 900}
     assert cheapest(subsets, rows) == 1  # lists of few meetings cost less at every size
     assert oj.CLASS**11 < cheapest(subsets, rows | {11: 500, 12: 900}) < oj.CLASS**15
     assert cheapest({10: 1, 11: 1}, {10: 99.0, 11: 99.0}) >= oj.CLASS**11
+    assert cheapest({3: 1, 4: 1}, {3: 1, 4: 2}) == 3  # as many rows, and fewer meetings
     assert cheapest({}, {}) == 1
 
 
