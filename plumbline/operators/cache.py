@@ -99,7 +99,28 @@ def adapter_issues(adapter: dict, wanted: dict, keys: tuple[str, ...]) -> list[s
     return [k for k in keys if value(adapter, k) != value(wanted, k)]
 
 
+#: Steps that a resolution comes in, workers at most, and what seeds are below (fixed values).
+RESOLUTION_STEP, MOST_WORKERS, SEEDS_BELOW = 32, 32, 2**63
+
+
 def parameter_issues(values: dict, positive: tuple[str, ...] = (), not_negative: tuple[str, ...] = ()) -> list[str]:
-    """What is wrong with parameters that must be over 0, or at least 0; those that are None or not given are not judged."""
+    """What is wrong with parameters that must be over 0, or at least 0; those that are None or not given are not judged.
+
+    Known by their names and judged where given: ``resolution`` (a multiple of 32), ``workers`` (1 to
+    32), ``seed`` and ``seeds`` (whole, from 0 and below 2^63; several differ from each other), ``ratios`` (none
+    negative, and together below 1).
+    """
     given = lambda names: [(n, values[n]) for n in names if values.get(n) is not None]
-    return [f"{n} must be positive" for n, v in given(positive) if not v > 0] + [f"{n} must not be negative" for n, v in given(not_negative) if not v >= 0]
+    whole = lambda v: isinstance(v, int) and not isinstance(v, bool)
+    out = [f"{n} must be positive" for n, v in given(positive) if not v > 0] + [f"{n} must not be negative" for n, v in given(not_negative) if not v >= 0]
+    for _, v in given(["resolution"]):
+        out += [f"resolution must be a positive multiple of {RESOLUTION_STEP}"] * (not whole(v) or v < 1 or v % RESOLUTION_STEP > 0)
+    for _, v in given(["workers"]):
+        out += [f"workers must be from 1 to {MOST_WORKERS}"] * (not whole(v) or not 1 <= v <= MOST_WORKERS)
+    for name, v in given(["seed", "seeds"]):
+        each = list(v) if name == "seeds" else [v]
+        out += [f"{name} must be whole numbers from 0 and below 2^63"] * (not each or not all(whole(x) and 0 <= x < SEEDS_BELOW for x in each))
+        out += [f"{name} must differ from each other"] * (len(set(each)) < len(each))
+    for _, v in given(["ratios"]):
+        out += ["ratios must not be negative and must sum to less than 1"] * (not all(x >= 0 for x in v) or not sum(v) < 1)
+    return out

@@ -68,6 +68,10 @@ def test_adapter_settings():
 def test_parameters():
     assert cache.parameter_issues({"rank": 8, "epochs": None, "rate": 1e-4, "warmup": 0}, ("rank", "epochs", "rate", "steps"), ("warmup",)) == []
     assert cache.parameter_issues({"rank": 0, "rate": float("nan"), "warmup": -1}, ("rank", "rate"), ("warmup",)) == ["rank must be positive", "rate must be positive", "warmup must not be negative"]
+    fine = {"resolution": 512, "workers": 32, "seed": 0, "seeds": [17, 2**63 - 1], "ratios": (0.1, 0.1)}
+    assert cache.parameter_issues(fine) == [] and cache.parameter_issues(dict.fromkeys(fine)) == []
+    for bad in ({"resolution": 500}, {"resolution": 0}, {"workers": 33}, {"workers": 0}, {"seed": -1}, {"seed": 2**63}, {"seeds": [1, 1]}, {"seeds": []}, {"seeds": [1, 2.5]}, {"ratios": (0.5, 0.5)}, {"ratios": (-0.1, 0.2)}, {"ratios": (float("nan"),)}):
+        assert len(cache.parameter_issues(fine | bad)) == 1, bad
 
 
 def test_captions_of_prepared_splits(spark, tmp_path):
