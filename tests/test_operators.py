@@ -147,6 +147,25 @@ def test_journal_as_a_stream(spark, tmp_path):
     assert got == {"a": (2, 3, 1), "b": (1, 2, 2), "c": (1, 4, 4)}
 
 
+def test_journal_bases_and_restarts(spark, tmp_path):
+    d, state = f"{tmp_path}/in", f"{tmp_path}/state"
+    os.makedirs(d)
+    want, at = {}, 0
+    for k in range(7):
+        with open(f"{d}/{k}.json", "w") as f:
+            for _ in range(5):
+                key, at = f"k{at * 7 % 11}", at + 1
+                f.write(json.dumps({"id": key, "v": at * 10, "o": at}) + "\n")
+                want[key] = (at * 10, at, want[key][2] if key in want else at)
+        follow(spark, d, "id string, v int, o long", state, f"{tmp_path}/checkpoint", "id", "o", base_every=3).awaitTermination()
+        assert {r.id: (r.v, r.o, r.first_seen) for r in current(spark, state, k).collect()} == want
+    assert sorted(x for x in os.listdir(state) if x.startswith("base=")) == ["base=2", "base=5"]
+    assert spark.read.parquet(f"{state}/batch=6").count() == 5  # a batch writes what it brings
+    # the whole journal at once, elsewhere
+    follow(spark, d, "id string, v int, o long", f"{state}2", f"{tmp_path}/checkpoint2", "id", "o").awaitTermination()
+    assert sorted(map(tuple, current(spark, f"{state}2", 0).collect())) == sorted(map(tuple, current(spark, state, 6).collect()))
+
+
 def test_sinks_and_scans(spark, tmp_path):
     a, b = f"{tmp_path}/a", f"{tmp_path}/b"
     for d, text in ((a, "x"), (b, "x")):
