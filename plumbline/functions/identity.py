@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .isbn import canonical_isbn
-from .text import SPACE, digest, nfkc
+from .text import SPACE, casefolded, digest, nfkc
 
 
 def _filled(value: Column) -> Column:
@@ -19,7 +19,7 @@ def identity_keys(isbn: Column, title: Column, context: Column, source_text: Col
     A context that is present, though empty, hides the source text.
     """
     number = _filled(F.regexp_replace(F.upper(isbn), "[^0-9X]", ""))
-    name = _filled(F.regexp_replace(F.lower(nfkc(title)), r"[^\p{L}\p{N}]", ""))
+    name = _filled(F.regexp_replace(casefolded(nfkc(title)), r"[^\p{L}\p{N}]", ""))
     text = _filled(F.regexp_replace(nfkc(F.when(has_context, context).otherwise(source_text)), SPACE, ""))
     return F.array_compact(
         F.array(

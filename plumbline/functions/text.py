@@ -41,6 +41,20 @@ def normalized(value: Column) -> Column:
     return F.coalesce(squeezed(nfkc(value)), F.lit(""))
 
 
+#: What full case folding leaves as it is or turns into capitals, unlike lower case of upper case (fixed values):
+#: the dotless i, and letters of Cherokee. A code point that is no character stands in for the first.
+DOTLESS, ASIDE = chr(0x131), chr(0xFDD0)
+CHEROKEE = "".join(map(chr, [*range(0xAB70, 0xABC0), *range(0x13F8, 0x13FE)])), "".join(map(chr, range(0x13A0, 0x13F6)))
+
+
+def casefolded(value: Column) -> Column:
+    """Full case folding: texts that differ in case only become equal, sharp s and ligatures too."""
+    # lower case straight of upper case is simplified to lower case, which is not the same
+    low = F.lower(F.translate(F.upper(F.translate(value, DOTLESS + chr(0x1E9E), ASIDE + chr(0xDF))), ASIDE, ASIDE))
+    small, capital = CHEROKEE
+    return F.translate(low, chr(0x3C2) + ASIDE + small, chr(0x3C3) + DOTLESS + capital)
+
+
 def duplicate_keys(document: Column) -> Column:
     """Whether a JSON object names a key twice on its top level."""
     keys = F.json_object_keys(document)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import casefolded
+
 
 def caption_conflicts(rows: DataFrame, content: str, caption: str) -> DataFrame:
     """``content, n_rows, n_captions`` of contents with more than one distinct caption."""
@@ -37,5 +39,5 @@ def duplicate_statistics(rows: DataFrame, content: str, caption: str) -> DataFra
 
 
 def folded_collisions(rows: DataFrame, name: str) -> DataFrame:
-    """``folded, n_names`` of lower-cased names that several names share; ASCII names fold exactly."""
-    return rows.groupBy(F.lower(name).alias("folded")).agg(F.countDistinct(name).alias("n_names")).where("n_names > 1")
+    """``folded, n_names`` of folded names that several names share."""
+    return rows.groupBy(casefolded(F.col(name)).alias("folded")).agg(F.countDistinct(name).alias("n_names")).where("n_names > 1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import basename, contained, rooted
+from ..functions.text import basename, casefolded, contained, rooted
 
 
 def pair_by_stem(images: DataFrame, labels: DataFrame, stem: str = "stem") -> DataFrame:
@@ -48,10 +48,10 @@ def resolve_references(entries: DataFrame, listing: DataFrame, root: str) -> Dat
         )
     )
     blank = F.coalesce(F.trim("filename"), F.lit("")) == ""
-    known = entries.select("entry", F.when(blank, True).otherwise(False).alias("blank"), F.lower(basename(F.coalesce("filename", F.lit("")))).alias("folded"), F.array_distinct(options).alias("options"))
+    known = entries.select("entry", F.when(blank, True).otherwise(False).alias("blank"), casefolded(basename(F.coalesce("filename", F.lit("")))).alias("folded"), F.array_distinct(options).alias("options"))
     listed = listing.select("path").distinct()
     direct = known.where("not blank").select("entry", F.explode("options").alias("path")).where(contained(F.col("path"), base)).join(listed, "path").groupBy("entry").agg(F.count("*").alias("n_direct"), F.min("path").alias("direct"))
-    by_name = listed.groupBy(F.lower(basename(F.col("path"))).alias("folded")).agg(F.count("*").alias("n_named"), F.min("path").alias("named"))
+    by_name = listed.groupBy(casefolded(basename(F.col("path"))).alias("folded")).agg(F.count("*").alias("n_named"), F.min("path").alias("named"))
     joined = known.join(direct, "entry", "left").join(by_name, "folded", "left")
     resolution = (
         F.when(F.col("blank"), "missing_image_reference")

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import basename, cache_screen, strict_object
+from ..functions.text import basename, cache_screen, casefolded, strict_object
 from .hadoop import Store, local_path
 from .lines import read_lines
 
@@ -90,9 +90,9 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
 
 
 def image_index(spark: SparkSession, folder: str) -> DataFrame:
-    """``folded, paths``: images of a folder by their lower-cased names."""
+    """``folded, paths``: images of a folder by their folded names."""
     images = list_files(spark, folder).where(F.lower("suffix").isin(*IMAGE_SUFFIXES))
-    return images.groupBy(F.lower("name").alias("folded")).agg(F.array_sort(F.collect_set("path")).alias("paths"))
+    return images.groupBy(casefolded(F.col("name")).alias("folded")).agg(F.array_sort(F.collect_set("path")).alias("paths"))
 
 
 def classify_pair_files(files: DataFrame) -> DataFrame:

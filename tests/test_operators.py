@@ -192,6 +192,17 @@ def test_sinks_and_scans(spark, tmp_path):
     assert lineage.config_digest({"b": 1, "a": "é"}) == lineage.config_digest({"a": "é", "b": 1})
 
 
+def test_case_folding_of_every_code_point(spark):
+    from plumbline.functions.text import casefolded
+
+    known = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    text = [chr(c) for c in known if chr(c) != chr(c).casefold() or chr(c) != chr(c).upper() or c % 50 == 0]
+    text += ["ΟΔΟΣ οδος", "STRASSE straße", "ﬁx İı Iı", "Ꭰꭰ Ꮿᏼ"]
+    got = spark.createDataFrame([(t,) for t in text], "t string").select("t", casefolded(F.col("t")).alias("f")).collect()
+    wrong = [(r.t, r.f) for r in got if r.f != r.t.casefold()]
+    assert len(text) > 5000 and wrong == [], wrong[:20]
+
+
 def test_epochs_are_permutations(spark):
     from plumbline.operators.select import epoch_place
 
