@@ -308,7 +308,7 @@ def _tries(shards: DataFrame, filters: list[_Filter], least: int, cut: int) -> D
         if held:
             yield from blocks(merged())
 
-    return stash(shards.mapInArrow(run, "range bigint, block binary"), f"tries-{depth}")
+    return shards.mapInArrow(run, "range bigint, block binary")
 
 
 def _summed(rows: pa.Table, columns: list[str]) -> pa.Table:
@@ -316,9 +316,10 @@ def _summed(rows: pa.Table, columns: list[str]) -> pa.Table:
 
 
 def _block(rows: pa.Table) -> bytes:
+    """Paths in order, so that neighbours begin alike, and compressed."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rows.schema) as out:
-        out.write_table(rows.combine_chunks())
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows.sort_by([(c, "ascending") for c in rows.column_names[:-1]]).combine_chunks())
     return sink.getvalue().to_pybytes()
 
 
@@ -365,9 +366,7 @@ def _levels(shards: DataFrame, words: int, least: int) -> tuple[DataFrame, list[
     # so many ranges that one has the paths of a few shards
     cut = min(max(6, (shards.count() // 4).bit_length()), 24)
     for depth in range(1, words + 1):
-        tries = _tries(shards, filters, least, cut)
-        levels.append(_merged(tries, depth, least))
-        unstash(tries)
+        levels.append(_merged(_tries(shards, filters, least, cut), depth, least))
         if depth < words:
             filters.append(_filter(levels[-1], depth))
     unstash(shards)
