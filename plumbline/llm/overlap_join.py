@@ -29,21 +29,20 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from . import words as wt
-from .similar import DENOM, NUMER, ROUNDS, SHINGLE, Sets, across, common_names, dealt, in_order, shingle_sets, told_apart
+from .meeting import DENOM, LOW, NONE, NUMER, PARITY, differing, first_common, padded, parities, plausible, several, wide_parities  # noqa: F401
+from .similar import ROUNDS, SHINGLE, Sets, across, common_names, dealt, in_order, shingle_sets, told_apart
 from .simhash import forest, whole_buckets
 from .store import bound_batches, stash, unstash
 
 U = np.uint64
-#: Classes whose parities are held; shingles that a subset has.
-PARITY, WIDEST, SUBSET = 1024, 1 << 17, 2
+#: Shingles that a subset has.
+SUBSET = 2
 #: Lists counted for the cost: one in so many; the cost of a pair that meets, in rows; sizes of a class differ by this factor.
 LISTS, MEETING, CLASS = 64, 0.1, 1.25
 #: Shingles of a set that may go by its subsets: with more, these are over thirty times its lists.
 LARGEST = 300
 #: Pairs that are compared at once.
 PAIRS = 1 << 16
-#: Keys of a set by which pairs tell where they met before; larger than any.
-LOW, NONE = 32, (1 << 63) - 1
 #: Farther than any pair.
 FAR = (PARITY + 1) << 32
 
@@ -53,26 +52,6 @@ def prefix_size(n: int, k: int = 1) -> int:
     return min(n, n - -(-NUMER * n // DENOM) + k)
 
 
-def parities(own: np.ndarray, classes: int = PARITY) -> bytes:
-    """A bit for each class: whether the set holds an odd number of it. Classes are the last bits of names."""
-    return np.packbits(np.bincount((own & U(classes - 1)).astype(np.int64), minlength=classes) & 1).tobytes()
-
-
-def wide_parities(own: np.ndarray) -> bytes | None:
-    """Parities of twice as many classes as the set has shingles, or more; None where ``PARITY`` are enough."""
-    classes = min(1 << max(2 * len(own) - 1, 1).bit_length(), WIDEST)
-    return parities(own, classes) if classes > PARITY else None
-
-
-def differing(a: bytes, b: bytes) -> int:
-    """Classes whose parities differ, in the coarser of two divisions: half as many classes are the xor of both halves."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) != len(y):
-        x, y = (x, y) if len(x) > len(y) else (y, x)
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
-
-
 def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """``id, h, n, node, check, odd, wide, first`` of each row; node and check are the digest of its set, h that of its text."""
     common, rank = common_names(docs, text_col, shingle)
@@ -156,22 +135,9 @@ def _buckets(nodes: DataFrame, boundary: int) -> DataFrame:
             node = np.repeat(x.column(0).to_numpy(), [len(k) for k in keys])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, U), *keys]).view(np.int64)), pa.array(node)], ["key", "node"])
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # keys come sorted; a row goes on if a neighbour has its key, so all but few end here
-        key, node, same = np.zeros(0, np.int64), np.zeros(0, np.int64), False
-        for x in batches:
-            key, node = np.append(key, x.column(0).to_numpy()), np.append(node, x.column(1).to_numpy())
-            equal = key[1:] == key[:-1]
-            keep = np.append(same, equal)[: len(equal)] | equal  # the last row waits for the next
-            yield pa.RecordBatch.from_arrays([pa.array(key[:-1][keep]), pa.array(node[:-1][keep])], ["key", "node"])
-            same = bool(equal[-1]) if len(equal) else same
-            key, node = key[-1:], node[-1:]
-        if same:
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], ["key", "node"])
-
     schema = "key bigint, node bigint"
     under = nodes.select("node", "n", "first").mapInArrow(run, schema).repartition("key").sortWithinPartitions("key")
-    held = stash(under.mapInArrow(shared, schema), "held")
+    held = stash(under.mapInArrow(several, schema), "held")
     sizes = held.groupBy("key").agg(F.count("*").alias("c"))
     out = stash(held.join(sizes.hint("merge"), "key").withColumn("root", F.col("node")), "buckets")
     unstash(held)
@@ -201,7 +167,7 @@ def _pairs(rows: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in whole_buckets(batches, 2):
             key, chunk, node, root, n = (x.column(i).to_numpy() for i in range(5))
-            low = _padded(x.column(6)) if all_pairs else None
+            low = padded(x.column(6)) if all_pairs else None
             odd = np.frombuffer(b"".join(x.column(5).to_pylist()), U).reshape(-1, PARITY // 64)
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
@@ -238,39 +204,7 @@ def _pairs(rows: DataFrame, nodes: DataFrame, all_pairs: bool) -> DataFrame:
         keys = rows.select("key", "node").distinct().groupBy(F.col("node").alias("_node")).agg(F.slice(F.sort_array(F.collect_list("key")), 1, LOW).alias("low"))
         whole = whole.join(keys.hint("merge"), F.col("node") == F.col("_node")).select(*columns, "low")
     sorted_ = whole.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
-    return _plausible(stash(sorted_.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs"), nodes)
-
-
-def _padded(lists: pa.ChunkedArray) -> np.ndarray:
-    """Lists of ``LOW`` numbers at most (rows, LOW), filled up with the largest number."""
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    size, out = lists.value_lengths().to_numpy(), np.full((len(lists), LOW), NONE)
-    out[np.arange(LOW) < size[:, None]] = lists.flatten().to_numpy()
-    return out
-
-
-def first_common(low: np.ndarray, a: np.ndarray, b: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Of pairs that meet under ``key[a]``, those that don't meet under a smaller key that is among the lowest of both."""
-    out = [np.zeros(0, np.int64)]
-    for lo in range(0, len(a), 4096):
-        x, y = low[a[lo : lo + 4096]], low[b[lo : lo + 4096]]
-        least = np.where((x[:, :, None] == y[:, None, :]).any(axis=2), x, NONE).min(axis=1)
-        out.append(np.flatnonzero((least == NONE) | (least == key[a[lo : lo + 4096]])) + lo)
-    return np.concatenate(out)
-
-
-def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that the parities of many classes allow, too; sets of many shingles need so many."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            rows = zip(*(x.column(i).to_pylist() for i in range(2, 6)), strict=True)
-            keep = [differing(p, q) * (DENOM + NUMER) <= (m + n) * (DENOM - NUMER) for m, n, p, q in rows]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in x.columns[:2]], ["a", "b"])
-
-    of = lambda to, n, odd: nodes.select(F.col("node").alias(to), F.col("n").alias(n), F.coalesce("wide", "odd").alias(odd)).hint("merge")
-    held = pairs.join(of("a", "m", "p"), "a").join(of("b", "n", "q"), "b").select("a", "b", "m", "n", "p", "q")
-    return stash(held.mapInArrow(run, "a bigint, b bigint"), "plausible")
+    return plausible(stash(sorted_.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs"), nodes.select("node", "n", F.coalesce("wide", "odd").alias("odd")))
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:

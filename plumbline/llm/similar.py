@@ -12,13 +12,16 @@ Buckets are compared as in ``simhash``: bit planes of fingerprints, carry-save c
 once all are beyond the radius. At the radius of 24 bits about one in a million pairs of exactly
 0.8 is missed (64 draws at a chance of 0.15), fewer the more similar the texts are. Pairs within it
 go on if two bounds that lose nothing allow: sizes, and the parities of 256 classes of shingles, of
-which no more can differ than shingles do. They are confirmed by counting their shingles in full.
+which no more can differ than shingles do. Long texts have more shingles than so few classes tell
+apart, and many chance partners within the radius; so what a pair of them has left is held to the
+parities of twice as many classes as shingles, which pass next to nothing under a similarity of
+three quarters. What is left then is confirmed by counting shingles in full.
 
 At first each text is held against its closest partner only; what is linked then is one component,
 and only buckets with several components go on. If these have many pairs across components, as in a
 crowd of near copies, each text is held against its closest partner in another component, in chunks
 that are dealt anew (more such rounds linked few on a crowd of thousands); at last every pair across
-components is.
+components is, and is given by one of the buckets that it meets in.
 """
 
 from __future__ import annotations
@@ -34,17 +37,20 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from .columns import spare
+from .meeting import DENOM, NUMER, WIDEST, first_common, padded, parities, plausible, several
 from .simhash import fingerprint_hashes, near, shingle_hashes, whole_buckets
 from .store import bound_batches, stash, unstash
 
 U = np.uint64
-#: Words of a shingle; the similarity that links is 4 of 5; different bits that are looked into.
-SHINGLE, NUMER, DENOM, RADIUS = 5, 4, 5, 24
+#: Words of a shingle; different bits that are looked into.
+SHINGLE, RADIUS = 5, 24
 #: About so many rows say which shingles are common; held by so many of them; at most so many are named.
 SAMPLE, COMMON, NAMED = 5000, 3, 200_000
 #: Classes whose parities are held, a multiple of 64.
 PARITY = 256
 PARITIES = [f"p{k}" for k in range(PARITY // 64)]
+#: Keys of a set by which pairs tell where they met before.
+LOWEST = 16
 #: Rows of a bucket that are compared together; rounds of closest partners, while pairs are over so many times the rows.
 BUCKET, ROUNDS, MANY = 2048, 2, 8
 
@@ -87,8 +93,13 @@ def common_names(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarr
     return names[order], (len(names) - np.arange(len(names)))[order]
 
 
+def classes(n: int) -> int:
+    """How many classes of parities a set of ``n`` shingles is held by: twice as many or more."""
+    return min(max(1 << max(2 * n - 1, 1).bit_length(), PARITY), WIDEST)
+
+
 def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``id, h, n, node, check, fp``, PARITIES and ``prefix`` of each row; node and check are the digest of its set, h that of its text."""
+    """``id, h, n, node, check, fp``, PARITIES, ``wide`` and ``prefix`` of each row; node and check are the digest of its set, h that of its text."""
     common, rank = common_names(docs, text_col, shingle)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,12 +113,13 @@ def _facts(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
             for i, own in enumerate(sets):
                 odd[i] = np.bincount((own & U(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
             odd = np.packbits(odd, axis=1).view(np.int64)
+            wide = pa.array([parities(own, classes(len(own))) for own in sets], pa.binary())
             arrays = [n, digest[:, 0].copy(), digest[:, 1].copy(), fps.view(np.int64), *(c.copy() for c in odd.T)]
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), *map(pa.array, arrays), pa.array(first, pa.list_(pa.int64()))], ["id", "h", "n", "node", "check", "fp", *PARITIES, "prefix"])
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), *map(pa.array, arrays), wide, pa.array(first, pa.list_(pa.int64()))], ["id", "h", "n", "node", "check", "fp", *PARITIES, "wide", "prefix"])
 
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    facts = stash(source.mapInArrow(run, f"id {kind}, h bigint, n bigint, node bigint, check bigint, fp bigint, " + "".join(f"{c} bigint, " for c in PARITIES) + "prefix array<bigint>"), "facts")
+    facts = stash(source.mapInArrow(run, f"id {kind}, h bigint, n bigint, node bigint, check bigint, fp bigint, " + "".join(f"{c} bigint, " for c in PARITIES) + "wide binary, prefix array<bigint>"), "facts")
     return told_apart(facts)
 
 
@@ -124,10 +136,11 @@ def told_apart(facts: DataFrame) -> DataFrame:
     return named
 
 
-def _pairs(rows: DataFrame, all_pairs: bool) -> DataFrame:
+def met(rows: DataFrame, all_pairs: bool) -> DataFrame:
     """``a, b``: nodes of rows ``key, chunk, node, root`` and facts, in one chunk of a bucket, of different roots and maybe similar.
 
-    With ``all_pairs`` every such pair, else each node with its closest partner by fingerprint.
+    With ``all_pairs`` every such pair, by the first bucket that it is known to meet in, else each node with its
+    closest partner by fingerprint, in each bucket.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,6 +149,7 @@ def _pairs(rows: DataFrame, all_pairs: bool) -> DataFrame:
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
             bucket, fps, odd = np.cumsum(new), fps.view(U), np.stack(odd).view(U)
+            low = padded(x.column(6 + len(PARITIES)), LOWEST) if all_pairs else None
             closest = np.full(len(key), 65 << 32)
             found = [(np.zeros(0, np.int64),) * 2]
             for a, b in near(fps, bucket, RADIUS):
@@ -146,7 +160,8 @@ def _pairs(rows: DataFrame, all_pairs: bool) -> DataFrame:
                 keep = np.bitwise_count(odd[:, a] ^ odd[:, b]).sum(axis=0, dtype=np.int64) * (DENOM + NUMER) <= (n[a] + n[b]) * (DENOM - NUMER)
                 a, b = a[keep], b[keep]
                 if all_pairs:
-                    found.append((a, b))
+                    own = first_common(low, a, b, key)
+                    found.append((a[own], b[own]))
                 else:
                     far = np.bitwise_count(fps[a] ^ fps[b]).astype(np.int64) << 32
                     np.minimum.at(closest, b, far | a)
@@ -156,8 +171,21 @@ def _pairs(rows: DataFrame, all_pairs: bool) -> DataFrame:
             pair = np.unique(np.sort(np.stack([node[a], node[b]]), axis=0), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
 
-    sorted_ = rows.select("key", "chunk", "node", "root", "n", "fp", *PARITIES).repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
-    return stash(sorted_.mapInArrow(run, "a bigint, b bigint").distinct(), "pairs")
+    columns = ["key", "chunk", "node", "root", "n", "fp", *PARITIES]
+    if all_pairs:
+        keys = rows.select("key", "node").distinct().groupBy(F.col("node").alias("_node")).agg(F.slice(F.sort_array(F.collect_list("key")), 1, LOWEST).alias("low"))
+        rows = rows.join(keys.hint("merge"), F.col("node") == F.col("_node"))
+        columns.append("low")
+    sorted_ = rows.select(*columns).repartition("key", "chunk").sortWithinPartitions("key", "chunk", "node")
+    return sorted_.mapInArrow(run, "a bigint, b bigint")
+
+
+def _pairs(rows: DataFrame, wide: DataFrame, all_pairs: bool) -> DataFrame:
+    """The pairs that ``met``, each once, as far as the parities ``wide`` of their nodes allow."""
+    pairs = stash(met(rows, all_pairs).distinct(), "pairs")
+    out = plausible(pairs, wide)
+    unstash(pairs)
+    return out
 
 
 def dealt(rows: DataFrame, turn: int, all_pairs: bool) -> DataFrame:
@@ -231,21 +259,25 @@ def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # of texts with one set, the smallest id; of rows that repeat it, the smallest digest; of equal rows, any
     alike = facts.groupBy("node", "id", "h").agg(F.count("*").alias("c"))
     best = stash(alike.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "c")).alias("best")), "best")
-    nodes = stash(facts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "fp", *PARITIES, "prefix")]), "nodes")
-    under = nodes.select("node", F.explode("prefix").alias("key"))
-    shared = under.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    held = stash(under.join(shared.hint("merge"), "key"), "held")
-    buckets = stash(held.join(nodes.drop("prefix").hint("merge"), "node").withColumn("root", F.col("node")), "buckets")
+    nodes = stash(facts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "fp", *PARITIES, "wide", "prefix")]), "nodes")
+    unstash(facts)
+    wide = stash(nodes.select("node", "n", F.col("wide").alias("odd")), "wide")
+    under = nodes.select(F.explode("prefix").alias("key"), "node").repartition("key").sortWithinPartitions("key")
+    held = stash(under.mapInArrow(several, "key bigint, node bigint"), "held")
+    sizes = held.groupBy("key").agg(F.count("*").alias("c"))
+    few = nodes.select(F.col("node").alias("_node"), "n", "fp", *PARITIES)
+    buckets = stash(held.join(sizes.hint("merge"), "key").join(few.hint("merge"), F.col("node") == F.col("_node")).drop("_node").withColumn("root", F.col("node")), "buckets")
     unstash(held, nodes)
     sets = Sets(docs, best, id_col, text_col, shingle)
-    links = [sets.similar(_pairs(dealt(buckets, 0, False), False))]
+    links = [sets.similar(_pairs(dealt(buckets, 0, False), wide, False))]
     for turn in range(1, ROUNDS + 1):
         mixed, many = across(buckets, links)
         few = not many or turn == ROUNDS
-        links.append(sets.similar(_pairs(dealt(mixed, turn, few), few)))
+        links.append(sets.similar(_pairs(dealt(mixed, turn, few), wide, few)))
         unstash(mixed)
         if few:
             break
+    unstash(buckets, wide)
     tree = components(reduce(DataFrame.unionByName, links))
     rooted = best.join(tree.withColumnRenamed("node", "_node").hint("merge"), F.col("node") == F.col("_node"), "left")
     keep = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))

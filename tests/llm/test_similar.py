@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 
 from plumbline.llm import similar
+from plumbline.llm.meeting import differing, parities
 from plumbline.llm.similar import keep_one_similar
 from plumbline.llm.simhash import simhash_components
 
@@ -91,3 +93,31 @@ def test_one_row_of_repeated_and_null_ids(spark):
     rows = [(7, "x y z"), (7, "x y z"), (None, "x y z"), (None, "u v"), (None, "u v"), (None, "q")]
     got = keep_one_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((x.doc_id or 0, x.text) for x in got) == [(0, "q"), (0, "u v"), (7, "x y z")]
+
+
+def test_long_texts_below_the_threshold_are_not_counted_and_meet_once(spark, monkeypatch):
+    r = random.Random(6)
+    base = [f"w{r.randrange(900)}" for _ in range(1004)]
+    # 1000 common shingles of 1220 in each, some twenty of them in prefixes: a similarity of 0.7, too long for 256 classes
+    rows = [(i, " ".join(base + [f"v{r.randrange(9999)}" for _ in range(220)])) for i in range(30)]
+    rows += [(100, rows[0][1] + " x"), (101, rows[1][1] + " y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counted, given = [], []
+    similar_, met = similar.Sets.similar, similar.met
+    monkeypatch.setattr(similar.Sets, "similar", lambda self, pairs: (counted.append(pairs.count()), similar_(self, pairs))[1])
+    monkeypatch.setattr(similar, "met", lambda rows, all_pairs: (given.append((all_pairs, met(rows, all_pairs).count(), met(rows, all_pairs).distinct().count())), met(rows, all_pairs))[1])
+    assert sorted(x.doc_id for x in keep_one_similar(docs).collect()) == brute(rows)
+    assert sum(counted) <= 10, counted  # of 496 pairs
+    assert given[-1][0] and 0 < given[-1][1] <= 1.2 * given[-1][2], given  # one row a pair, not one for each common shingle
+
+
+def test_parities_of_long_sets_part_pairs_that_short_parities_pass():
+    r = random.Random(2)
+    a, b = ([r.randrange(2**62) for _ in range(2000)] for _ in range(2))
+    b[:1500] = a[:1500]  # similarity 0.6
+    c = a[:1900] + b[1900:]  # 0.9
+    sets = [np.unique(np.array(x, np.uint64)) for x in (a, b, c)]
+    wide, short = ([parities(s, n) for s in sets] for n in (similar.classes(2000), similar.PARITY))
+    limit = (2000 + 2000) / 9
+    assert differing(short[0], short[1]) <= limit < differing(wide[0], wide[1])
+    assert differing(wide[0], wide[2]) <= limit
