@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ NUMER, DENOM = 4, 5
 PARITY, WIDEST = 1024, 1 << 17
 #: Keys of a set by which pairs tell where they met before; larger than any.
 LOW, NONE = 32, (1 << 63) - 1
+#: Bytes that pairs carry through a shuffle at once: so many for each text, or so many in all if that is more.
+CARRIED, LEAST = 128, 64 << 20
 
 
 def parities(own: np.ndarray, classes: int = PARITY) -> bytes:
@@ -72,6 +76,17 @@ def first_common(low: np.ndarray, a: np.ndarray, b: np.ndarray, key: np.ndarray)
     return np.concatenate(out)
 
 
+def sliced(pairs: DataFrame, sizes: DataFrame, texts: int) -> list[DataFrame]:
+    """``pairs`` in parts, each with about as many bytes of its nodes ``a``, by ``node, size``, as may be carried at once.
+
+    Pairs grow faster than texts where many meet by chance, or almost alike in a crowd. What a part
+    carries is gone before the next one starts, so that its disk grows with the texts alone.
+    """
+    carried = pairs.join(sizes.select(F.col("node").alias("a"), "size").hint("merge"), "a").agg(F.sum("size").alias("size"))
+    n = max(1, math.ceil((stash(carried, "carried").first().size or 0) / max(CARRIED * texts, LEAST)))
+    return [pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(n)) == k) for k in range(n)] if n > 1 else [pairs]
+
+
 def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that the parities ``odd`` of ``node, n, odd`` allow, too; sets of many shingles need many classes."""
 
@@ -82,5 +97,6 @@ def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in x.columns[:2]], ["a", "b"])
 
     of = lambda to, n, odd: nodes.select(F.col("node").alias(to), F.col("n").alias(n), F.col("odd").alias(odd)).hint("merge")
-    held = pairs.join(of("a", "m", "p"), "a").join(of("b", "n", "q"), "b").select("a", "b", "m", "n", "p", "q")
-    return stash(held.mapInArrow(run, "a bigint, b bigint"), "plausible")
+    parts = sliced(pairs, nodes.select("node", F.length("odd").alias("size")), nodes.count())
+    held = (x.join(of("a", "m", "p"), "a").join(of("b", "n", "q"), "b").select("a", "b", "m", "n", "p", "q") for x in parts)
+    return reduce(DataFrame.unionByName, [stash(x.mapInArrow(run, "a bigint, b bigint"), "plausible") for x in held])

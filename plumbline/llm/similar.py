@@ -15,7 +15,8 @@ go on if two bounds that lose nothing allow: sizes, and the parities of 256 clas
 which no more can differ than shingles do. Long texts have more shingles than so few classes tell
 apart, and many chance partners within the radius; so what a pair of them has left is held to the
 parities of twice as many classes as shingles, which pass next to nothing under a similarity of
-three quarters. What is left then is confirmed by counting shingles in full.
+three quarters. What is left then is confirmed by counting shingles in full. Parities and shingles
+are carried to pairs in slices, whose disk is bounded by the number of texts.
 
 At first each text is held against its closest partner only; what is linked then is one component,
 and only buckets with several components go on. If these have many pairs across components, as in a
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from .columns import spare
-from .meeting import DENOM, NUMER, WIDEST, first_common, padded, parities, plausible, several
+from .meeting import DENOM, NUMER, WIDEST, first_common, padded, parities, plausible, several, sliced
 from .simhash import fingerprint_hashes, near, shingle_hashes, whole_buckets
 from .store import bound_batches, stash, unstash
 
@@ -229,8 +230,9 @@ class Sets:
         self._fetch(stash(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted"))
         left, right = self.have.select(F.col("node").alias("a"), F.col("own").alias("x")), self.have.select(F.col("node").alias("b"), F.col("own").alias("y"))
         both = F.size(F.array_intersect("x", "y"))
-        held = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-        return stash(held.where(both * (DENOM + NUMER) >= (F.size("x") + F.size("y")) * NUMER).select("a", "b"), "similar")
+        parts = sliced(pairs, self.have.select("node", (8 * F.size("own")).alias("size")), self.best.count())
+        held = (p.join(left.hint("merge"), "a").join(right.hint("merge"), "b") for p in parts)
+        return reduce(DataFrame.unionByName, [stash(x.where(both * (DENOM + NUMER) >= (F.size("x") + F.size("y")) * NUMER).select("a", "b"), "similar") for x in held])
 
 
 def across(buckets: DataFrame, links: list[DataFrame]) -> tuple[DataFrame, bool]:

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from plumbline.llm import similar
+from plumbline.llm import meeting, similar
 from plumbline.llm.meeting import differing, parities
 from plumbline.llm.similar import keep_one_similar
 from plumbline.llm.simhash import simhash_components
@@ -121,3 +121,29 @@ def test_parities_of_long_sets_part_pairs_that_short_parities_pass():
     limit = (2000 + 2000) / 9
     assert differing(short[0], short[1]) <= limit < differing(wide[0], wide[1])
     assert differing(wide[0], wide[2]) <= limit
+
+
+def test_what_pairs_carry_is_bounded(spark, monkeypatch):
+    r = random.Random(8)
+    base = [f"w{r.randrange(900)}" for _ in range(404)]
+    # 400 common shingles of 500: similarities of two thirds; some are near copies
+    rows = [(i, " ".join(base + [f"v{r.randrange(9999)}" for _ in range(100)])) for i in range(20)]
+    rows += [(100 + i, f"{rows[i][1]} x{k}") for i in range(3) for k in range(4)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    seen = []
+
+    def spy(pairs, sizes, texts):
+        parts = original(pairs, sizes, texts)
+        size = {x.node: x.size for x in sizes.collect()}
+        rows = [[(x.a, x.b) for x in p.collect()] for p in parts]
+        assert sorted(sum(rows, [])) == sorted((x.a, x.b) for x in pairs.collect())  # each pair in one part
+        seen.append((sum(len(p) for p in rows), max(sum(size[a] for a, _ in p) for p in rows), len(parts)))
+        return parts
+
+    original, at_once = meeting.sliced, 24_000
+    monkeypatch.setattr(meeting, "CARRIED", 0)
+    monkeypatch.setattr(meeting, "LEAST", at_once)
+    for module in (meeting, similar):
+        monkeypatch.setattr(module, "sliced", spy)
+    assert sorted(x.doc_id for x in keep_one_similar(docs).collect()) == brute([(i, t) for i, (_, t) in enumerate(rows)])
+    assert max(n for *_, n in seen) > 1 and all(most <= 2 * at_once for _, most, _ in seen), seen
